@@ -16,7 +16,9 @@ from ledgerline.functions.coerce import coerce_types, stamp_load_time
 
 BATCH_PATTERN = r"batch=(\d{8}-\d{6})"
 BATCH_FORMAT = "yyyyMMdd-HHmmss"
-CSV_OPTIONS = {"header": "true", "sep": "|", "quote": '"', "escape": '"', "multiLine": "true"}
+# NULL is written as \N so that an empty string survives the round trip.
+CSV_OPTIONS = {"header": "true", "sep": "|", "quote": '"', "escape": '"', "multiLine": "true",
+               "nullValue": "\\N"}
 
 
 def file_time(path_col: str = "_metadata.file_path") -> F.Column:
@@ -56,10 +58,16 @@ def read_cdc(spark: SparkSession, path: str, columns: list[str], types: dict[str
     if full:
         df = reader.csv(f"{path.rstrip('/')}/LOAD")
         return coerce_types(df, types)
-    df = reader.option("recursiveFileLookup", "false").csv(path)
-    df = df.withColumn("file_time", file_time())
-    if since:
-        df = df.where(F.col("file_time") > F.lit(since).cast("timestamp_ntz"))
+    df = reader.csv(path)
+    if "batch" in df.columns:
+        # Partition column: batches at or before ``since`` are pruned at listing.
+        if since:
+            df = df.where(F.col("batch") > F.date_format(F.lit(since).cast("timestamp_ntz"), BATCH_FORMAT))
+        df = df.withColumn("file_time", F.to_timestamp_ntz(F.col("batch"), F.lit(BATCH_FORMAT))).drop("batch")
+    else:
+        df = df.withColumn("file_time", file_time())
+        if since:
+            df = df.where(F.col("file_time") > F.lit(since).cast("timestamp_ntz"))
     return coerce_types(df, types)
 
 

@@ -27,7 +27,8 @@ def cdc_stream(spark: SparkSession, source_path: str, columns: list[str], types:
     """
     stream = (spark.readStream.options(**CSV_OPTIONS).schema(text_schema(columns))
               .option("maxFilesPerTrigger", max_files or 1_000_000).csv(source_path))
-    stream = coerce_types(stream.withColumn("file_time", file_time()), types)
+    stream = stream.withColumn("file_time", file_time())
+    stream = coerce_types(stream.drop("batch") if "batch" in stream.columns else stream, types)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         current = _current_version(spark, target_path)
