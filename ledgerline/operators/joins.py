@@ -87,12 +87,15 @@ def _nearest(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str
     order = [t_order, F.col("__side").asc()]
     agg = F.min if forward else F.max
     w = Window.partitionBy("__k", "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    within = u.withColumn("__best", agg("__r").over(w)).where(F.col("__l").isNotNull())
+    windowed = u.withColumn("__best", agg("__r").over(w))
+    within = windowed.where(F.col("__l").isNotNull())
     if bucket_seconds:
         # Best right row of the other buckets: per (key, bucket) summary of
-        # rights, plus every left bucket, then a prefix (as-of) or suffix
-        # (forward) running extreme over buckets, excluding the own bucket.
-        summary = (u.groupBy("__k", "__b").agg(agg("__r").alias("__r")))
+        # rights and left buckets, then a prefix (as-of) or suffix (forward)
+        # running extreme over buckets, excluding the own bucket.  The
+        # summary is aggregated from the windowed rows, which are already
+        # partitioned by (key, bucket): the input shuffle is reused, not redone.
+        summary = windowed.groupBy("__k", "__b").agg(agg("__r").alias("__r"))
         bo = F.col("__b").desc() if forward else F.col("__b").asc()
         ws = Window.partitionBy("__k").orderBy(bo).rowsBetween(Window.unboundedPreceding, -1)
         carry = summary.select("__k", "__b", agg("__r").over(ws).alias("__carry"))
@@ -106,14 +109,57 @@ def _nearest(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str
     return within.select("__l.*", *[best.getField("v").getField(n).alias(n) for n in payload])
 
 
+def version_intervals(right: DataFrame, right_key: str, right_time: str, tiebreak: list[str],
+                      payload: dict[str, Column], bucket_seconds: int) -> tuple[DataFrame, DataFrame]:
+    """Validity intervals of a versioned dimension.
+
+    Version i of a key is valid on ``[start_i, start_(i+1))`` in the order
+    (time, tiebreak...): of versions starting at the same time only the last
+    gets a non-empty interval, i.e. the as-of winner.  Returns the closed
+    intervals exploded over the time buckets they touch (key, bucket) and
+    the open last interval of every key (one row per key).
+    """
+    v = right.where(F.col(right_key).isNotNull() & F.col(right_time).isNotNull())
+    w = Window.partitionBy(right_key).orderBy(F.col(right_time), *[F.col(c) for c in tiebreak])
+    iv = v.select(F.col(right_key).alias("__k"), F.col(right_time).alias("__start"),
+                  F.lead(right_time).over(w).alias("__end"),
+                  F.struct(*[c.alias(n) for n, c in payload.items()]).alias("__v"))
+    closed = (iv.where(F.col("__end").isNotNull() & (F.col("__end") > F.col("__start")))
+              .withColumn("__b", F.explode(F.sequence(_epoch_bucket(F.col("__start"), bucket_seconds),
+                                                      _epoch_bucket(F.col("__end"), bucket_seconds)))))
+    open_ = iv.where(F.col("__end").isNull()).select(
+        F.col("__k").alias("__ko"), F.col("__start").alias("__starto"), F.col("__v").alias("__vo"))
+    return closed, open_
+
+
 def join_asof(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
               left_time: str, right_time: str, tiebreak: list[str], columns: dict[str, str],
-              bucket_seconds: int | None = None) -> DataFrame:
+              bucket_seconds: int | None = None, broadcast_max_rows: int = 0) -> DataFrame:
     """Left rows with ``columns`` of the latest right row of the same key
     whose time is at or before the left time (ties on time -> largest
-    ``tiebreak``); NULL when none."""
-    pick = [F.col(right_time)] + [F.col(c) for c in tiebreak]
+    ``tiebreak``); NULL when none.
+
+    When ``broadcast_max_rows`` is set and the right side's bucketed
+    validity intervals number at most that many rows (checked with a
+    bounded count on the right side only), the join is two broadcast hash
+    joins: the left side is not shuffled at all and every left row meets
+    only the intervals of its (key, bucket), one of which matches.
+    Otherwise the windowed form below is used.
+    """
     payload = {alias: F.col(c) for c, alias in columns.items()}
+    if broadcast_max_rows and bucket_seconds:
+        closed, open_ = version_intervals(right, right_key, right_time, tiebreak, payload, bucket_seconds)
+        if closed.limit(broadcast_max_rows + 1).count() + open_.limit(broadcast_max_rows + 1).count() \
+                <= broadcast_max_rows:
+            t = F.col(left_time)
+            j = left.join(F.broadcast(closed), (F.col(left_key) == F.col("__k"))
+                          & (_epoch_bucket(t, bucket_seconds) == F.col("__b"))
+                          & (F.col("__start") <= t) & (t < F.col("__end")), "left")
+            j = j.join(F.broadcast(open_), (F.col(left_key) == F.col("__ko")) & (F.col("__starto") <= t), "left")
+            best = F.coalesce(F.col("__v"), F.col("__vo"))
+            return j.select(*[F.col(c) for c in left.columns],
+                            *[best.getField(n).alias(n) for n in payload])
+    pick = [F.col(right_time)] + [F.col(c) for c in tiebreak]
     return _nearest(left, right, left_key=left_key, right_key=right_key, left_time=left_time,
                     right_time=right_time, pick=pick, payload=payload, forward=False, strict=False,
                     bucket_seconds=bucket_seconds)

@@ -17,6 +17,9 @@ from ledgerline.operators.joins import join_asof, join_next, join_versions_all
 # Time buckets that split a hot product tag / e-mail into bounded partitions.
 VERSION_BUCKET_SECONDS = 90 * 86400
 EVENT_BUCKET_SECONDS = 30 * 86400
+# Product versions are broadcast (as bucketed validity intervals) up to
+# this many interval rows; a larger dimension takes the windowed path.
+VERSION_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def prepare_payments(payments: DataFrame, package_field: str | None = None) -> DataFrame:
@@ -25,7 +28,8 @@ def prepare_payments(payments: DataFrame, package_field: str | None = None) -> D
     from ledgerline.schemas import payment_payload_ddl
     ddl = payment_payload_ddl(package_field) if package_field else None
     parsed = parse_payload(strip_outer_quote("payment_data"), "payment", ddl=ddl)
-    return payments.withColumn("payment_data", parsed).withColumns(extract_payment_fields("payment_data"))
+    fields = extract_payment_fields(parsed)
+    return payments.withColumns(fields).drop("payment_data")
 
 
 def purchase_base(payments: DataFrame, refunds: DataFrame, versions: DataFrame,
@@ -45,7 +49,8 @@ def purchase_base(payments: DataFrame, refunds: DataFrame, versions: DataFrame,
     if version_mode == "asof":
         j = join_asof(j, versions, left_key="productTag", right_key="tag",
                       left_time="payment_created_at", right_time="starting_at", tiebreak=["id"],
-                      columns=vcols, bucket_seconds=VERSION_BUCKET_SECONDS)
+                      columns=vcols, bucket_seconds=VERSION_BUCKET_SECONDS,
+                      broadcast_max_rows=VERSION_BROADCAST_MAX_ROWS)
     elif version_mode == "all":
         j = join_versions_all(j, versions, "productTag", "payment_created_at", vcols)
     else:

@@ -30,11 +30,27 @@ EARLIER_PURCHASE_CUT = "1999-01-01 00:00:00"
 
 
 def _payments(s, d):
-    return tb.payments(s, d)
+    return tb.lake_table(s, d, "payment")
 
 
 def _cdc_rows(s, d):
-    return tb.cdc_log(s, d)
+    return tb.lake_table(s, d, "cdc")
+
+
+def _refunds(s, d, flag="R"):
+    return tb.lake_table(s, d, "refund" if flag == "R" else "refund_updates")
+
+
+def _disputes(s, d, later=False):
+    return tb.lake_table(s, d, "dispute_updates" if later else "dispute")
+
+
+def _versions(s, d):
+    return tb.lake_table(s, d, "product_history")
+
+
+def _events(s, d):
+    return tb.lake_table(s, d, "referral_event")
 
 
 # --- scans -----------------------------------------------------------------
@@ -77,20 +93,20 @@ def q_append_by_name(s, d):
 # --- merges ------------------------------------------------------------------
 
 def q_merge_payment(s, d):
-    return merge.merge_upsert(_payments(s, d), tb.payment_updates(s, d), merge.PAYMENT_MERGE)
+    return merge.merge_upsert(_payments(s, d), tb.lake_table(s, d, "payment_updates"), merge.PAYMENT_MERGE)
 
 
 def q_merge_refund(s, d):
-    return merge.merge_upsert(tb.refunds(s, d, "R"), tb.refunds(s, d, "A"), merge.REFUND_MERGE)
+    return merge.merge_upsert(_refunds(s, d, "R"), _refunds(s, d, "A"), merge.REFUND_MERGE)
 
 
 def q_merge_dispute(s, d):
-    return merge.merge_upsert(tb.disputes(s, d), tb.disputes(s, d, later=True), merge.DISPUTE_MERGE)
+    return merge.merge_upsert(_disputes(s, d), _disputes(s, d, later=True), merge.DISPUTE_MERGE)
 
 
 def _purchases(s, d, payments, run_ts):
-    return npur.normalize_purchases(payments, tb.refunds(s, d), tb.product_history(s, d),
-                                    tb.referral_events(s, d), run_ts=run_ts)
+    return npur.normalize_purchases(payments, _refunds(s, d), _versions(s, d),
+                                    _events(s, d), run_ts=run_ts)
 
 
 def q_merge_purchase(s, d):
@@ -105,7 +121,7 @@ def q_merge_purchase(s, d):
 
 
 def _norm_refunds(s, d, flag, run_ts):
-    return nref.normalize_refunds(tb.refunds(s, d, flag), _payments(s, d), tb.product_history(s, d),
+    return nref.normalize_refunds(_refunds(s, d, flag), _payments(s, d), _versions(s, d),
                                   tb.TEST_INTERNAL_EMAIL_PATTERNS, run_ts=run_ts)
 
 
@@ -115,8 +131,8 @@ def q_merge_norm_refund(s, d):
 
 
 def q_merge_norm_dispute(s, d):
-    target = nd.normalize_disputes(tb.disputes(s, d), _payments(s, d), tb.EARLIER_RUN_TS)
-    source = nd.normalize_disputes(tb.disputes(s, d, later=True), _payments(s, d), tb.RUN_TS)
+    target = nd.normalize_disputes(_disputes(s, d), _payments(s, d), tb.EARLIER_RUN_TS)
+    source = nd.normalize_disputes(_disputes(s, d, later=True), _payments(s, d), tb.RUN_TS)
     return merge.merge_upsert(target, source, merge.NORM_DISPUTE_MERGE)
 
 
@@ -125,16 +141,16 @@ def q_merge_norm_dispute(s, d):
 def q_holdback_watermark(s, d):
     return watermark.holdback_watermark(
         (_payments(s, d), "payment_created_at"),
-        (tb.client_billing(s, d), "created_at"),
-        (tb.referral_events(s, d), "inserted_at"))
+        (tb.lake_table(s, d, "client_billing"), "created_at"),
+        (_events(s, d), "inserted_at"))
 
 
 def q_latest_ts(s, d):
-    return watermark.latest_ts(tb.refunds(s, d), "created_at")
+    return watermark.latest_ts(_refunds(s, d), "created_at")
 
 
 def q_watermark_put(s, d):
-    pay, ref, dis = _payments(s, d), tb.refunds(s, d), tb.disputes(s, d)
+    pay, ref, dis = _payments(s, d), _refunds(s, d), _disputes(s, d)
     store = (watermark.watermark_rows(pay.agg(F.min("created_at").alias("t")), "stripe_payment", "merge",
                                       "delta merge", "t")
              .unionByName(watermark.watermark_rows(ref.agg(F.min("created_at").alias("t")), "stripe_refund",
@@ -175,7 +191,7 @@ def q_extract_payload(s, d):
 
 
 def q_parse_refund(s, d):
-    r = tb.refunds(s, d)
+    r = _refunds(s, d)
     j = parse_payload(strip_outer_quote("refund_data"), "refund")
     return r.select("payment_intent_id", j.alias("j")).select(
         "payment_intent_id", F.col("j.id").alias("refund_id"), F.col("j.object").alias("object"),
@@ -183,7 +199,7 @@ def q_parse_refund(s, d):
 
 
 def q_epoch_to_ts(s, d):
-    x = nd.enrich_disputes(tb.disputes(s, d), _payments(s, d))
+    x = nd.enrich_disputes(_disputes(s, d), _payments(s, d))
     return x.select("dispute_id", F.col("dispute_data.evidence_details.due_by").alias("due_by"),
                     "dispute_response_required_by", "dispute_status")
 
@@ -204,12 +220,12 @@ def q_coerce_types(s, d):
 # --- joins -------------------------------------------------------------------
 
 def q_join_payment_refund(s, d):
-    j = joins.join_payment_refund(_payments(s, d), tb.refunds(s, d))
+    j = joins.join_payment_refund(_payments(s, d), _refunds(s, d))
     return j.select("payment_intent_id", "amount", "amount_refunded", "refunded_at")
 
 
 def _payment_refund(s, d):
-    return joins.join_payment_refund(_payments(s, d), tb.refunds(s, d))
+    return joins.join_payment_refund(_payments(s, d), _refunds(s, d))
 
 
 def q_is_fully_refunded_short_term(s, d):
@@ -221,31 +237,32 @@ def q_is_fully_refunded_short_term(s, d):
 
 def q_join_asof(s, d):
     p = npur.prepare_payments(_payments(s, d)).select("payment_intent_id", "productTag", "payment_created_at")
-    j = joins.join_asof(p, tb.product_history(s, d), left_key="productTag", right_key="tag",
+    j = joins.join_asof(p, _versions(s, d), left_key="productTag", right_key="tag",
                         left_time="payment_created_at", right_time="starting_at", tiebreak=["id"],
                         columns={"id": "product_history_id", "starting_at": "version_start"},
-                        bucket_seconds=npur.VERSION_BUCKET_SECONDS)
+                        bucket_seconds=npur.VERSION_BUCKET_SECONDS,
+                        broadcast_max_rows=npur.VERSION_BROADCAST_MAX_ROWS)
     return j
 
 
 def q_attribute_first_event(s, d):
-    base = npur.purchase_base(_payments(s, d), tb.refunds(s, d), tb.product_history(s, d))
+    base = npur.purchase_base(_payments(s, d), _refunds(s, d), _versions(s, d))
     base = base.select("external_id", "email", "created_at", "is_full_fare")
-    return npur.attribute_referrals(base, tb.referral_events(s, d))
+    return npur.attribute_referrals(base, _events(s, d))
 
 
 def q_join_refund_payment(s, d):
-    j = joins.join_refund_payment(tb.refunds(s, d), _payments(s, d))
+    j = joins.join_refund_payment(_refunds(s, d), _payments(s, d))
     return j.select("payment_intent_id", "amount_refunded", "payment_created_at", "email", "payment_amount")
 
 
 def q_join_dispute_payment(s, d):
-    j = joins.join_dispute_payment(tb.disputes(s, d), _payments(s, d))
+    j = joins.join_dispute_payment(_disputes(s, d), _payments(s, d))
     return j.select("dispute_id", "charge_id", "payment_created_at", "email")
 
 
 def q_product_history_view(s, d):
-    v = tb.product_history(s, d)
+    v = _versions(s, d)
     return v.withColumns({
         "is_in_app_purchase": F.col("purchase_location") == "In-App",
         "is_renewal": F.col("type") == "Renewal",
@@ -254,13 +271,13 @@ def q_product_history_view(s, d):
 
 
 def q_exclude_accounts(s, d):
-    r = nref.enrich_refunds(tb.refunds(s, d), _payments(s, d))
+    r = nref.enrich_refunds(_refunds(s, d), _payments(s, d))
     return r.where(nref.exclude_accounts("email", tb.TEST_INTERNAL_EMAIL_PATTERNS)).select(
         "payment_intent_id", "email")
 
 
 def q_purchase_flags(s, d):
-    base = npur.purchase_base(_payments(s, d), tb.refunds(s, d), tb.product_history(s, d))
+    base = npur.purchase_base(_payments(s, d), _refunds(s, d), _versions(s, d))
     return base.select("external_id", "product_tag", "is_full_fare", "is_renewal", "is_renewal_new",
                        "is_other", "is_addon", "has_appointment",
                        operational_costs("has_appointment", "is_full_fare", "is_renewal", "is_addon",
@@ -270,7 +287,7 @@ def q_purchase_flags(s, d):
 def q_operational_costs(s, d):
     # The decision list over every flag combination the product dimension
     # and a payment time can produce: versions x add-on cutover sides.
-    v = tb.product_history(s, d)
+    v = _versions(s, d)
     flags = purchase_flags(F.col("tag"), F.col("category"))
     t = v.select("id", "tag", "starting_at", *[c.alias(n) for n, c in flags.items()])
     return t.select("id", "tag", "has_appointment", "is_full_fare", "is_renewal", "is_addon",
@@ -304,7 +321,7 @@ def q_normalize_refunds(s, d):
 
 
 def q_normalize_disputes(s, d):
-    return nd.normalize_disputes(tb.disputes(s, d), _payments(s, d), tb.RUN_TS)
+    return nd.normalize_disputes(_disputes(s, d), _payments(s, d), tb.RUN_TS)
 
 
 def q_run_metrics(s, d):

@@ -11,7 +11,7 @@ from ledgerline import constants as K
 from ledgerline.functions import extract_payment_fields, is_full_refund, parse_payload, strip_outer_quote
 from ledgerline.functions.coerce import load_time
 from ledgerline.operators.joins import join_asof, join_refund_payment
-from ledgerline.plans.purchases import VERSION_BUCKET_SECONDS
+from ledgerline.plans.purchases import VERSION_BROADCAST_MAX_ROWS, VERSION_BUCKET_SECONDS
 
 
 def exclude_accounts(email: Column | str, patterns: Sequence[str]) -> Column:
@@ -29,8 +29,7 @@ def enrich_refunds(refunds: DataFrame, payments: DataFrame) -> DataFrame:
     tag of the payment's payload."""
     j = join_refund_payment(refunds, payments)
     parsed = parse_payload(strip_outer_quote("payment_data"), "payment")
-    return (j.withColumn("payment_data", parsed)
-            .withColumn("productTag", extract_payment_fields("payment_data")["productTag"]))
+    return j.withColumn("productTag", extract_payment_fields(parsed)["productTag"]).drop("payment_data")
 
 
 def normalize_refunds(refunds: DataFrame, payments: DataFrame, versions: DataFrame,
@@ -43,7 +42,8 @@ def normalize_refunds(refunds: DataFrame, payments: DataFrame, versions: DataFra
     r = join_asof(r, versions, left_key="productTag", right_key="tag", left_time="payment_created_at",
                   right_time="starting_at", tiebreak=["id"],
                   columns={"id": "product_history_id", "name": "product_name"},
-                  bucket_seconds=VERSION_BUCKET_SECONDS)
+                  bucket_seconds=VERSION_BUCKET_SECONDS,
+                      broadcast_max_rows=VERSION_BROADCAST_MAX_ROWS)
     return r.select(
         F.lit(1).alias("q"),
         F.lit(processor).alias("payment_processor"),

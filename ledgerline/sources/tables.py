@@ -59,6 +59,29 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Derived lake tables already written in this session: (app id, sf_dir, name) -> path.
+_LAKE: dict[tuple[str, str, str], str] = {}
+
+
+def lake_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A derived lake table, written once per session to the shared folder
+    (``spark.checkpoint.dir``) and read back as parquet, the way the
+    pipeline jobs read their lake tables: scans get column pruning and
+    filter pushdown, and repeated use does not repeat the derivation."""
+    from ledgerline.session import shared_dir
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    path = _LAKE.get(key)
+    if path is None:
+        path = shared_dir(spark, f"lake-{name}")
+        # Stored hash-partitioned by the table key, several files per table.
+        files = max(spark.sparkContext.defaultParallelism, 1)
+        (LAKE_BUILDERS[name](spark, sf_dir).repartition(files, LAKE_KEYS[name])
+         .write.mode("overwrite").parquet(path))
+        _LAKE[key] = path
+    return spark.read.parquet(path)
+
+
 def _ntz(s: str) -> Column:
     return F.lit(s).cast("timestamp_ntz")
 
@@ -339,3 +362,25 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         file_time.alias("created_at"),
         file_time.alias("file_time"),
     )
+
+
+LAKE_BUILDERS = {
+    "payment": payments,
+    "payment_updates": payment_updates,
+    "refund": lambda s, d: refunds(s, d, "R"),
+    "refund_updates": lambda s, d: refunds(s, d, "A"),
+    "dispute": disputes,
+    "dispute_updates": lambda s, d: disputes(s, d, later=True),
+    "product_history": product_history,
+    "referral_event": referral_events,
+    "client_billing": client_billing,
+    "cdc": cdc_log,
+}
+
+LAKE_KEYS = {
+    "payment": "payment_intent_id", "payment_updates": "payment_intent_id",
+    "refund": "payment_intent_id", "refund_updates": "payment_intent_id",
+    "dispute": "payment_intent_id", "dispute_updates": "payment_intent_id",
+    "product_history": "tag", "referral_event": "user_email", "client_billing": "l_orderkey",
+    "cdc": "payment_intent_id",
+}
