@@ -149,8 +149,8 @@ def join_asof(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
     payload = {alias: F.col(c) for c, alias in columns.items()}
     if broadcast_max_rows and bucket_seconds:
         closed, open_ = version_intervals(right, right_key, right_time, tiebreak, payload, bucket_seconds)
-        if closed.limit(broadcast_max_rows + 1).count() + open_.limit(broadcast_max_rows + 1).count() \
-                <= broadcast_max_rows:
+        rows = closed.select(F.lit(1).alias("n")).unionByName(open_.select(F.lit(1).alias("n")))
+        if rows.limit(broadcast_max_rows + 1).count() <= broadcast_max_rows:
             t = F.col(left_time)
             j = left.join(F.broadcast(closed), (F.col(left_key) == F.col("__k"))
                           & (_epoch_bucket(t, bucket_seconds) == F.col("__b"))

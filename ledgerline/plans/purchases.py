@@ -13,6 +13,7 @@ from ledgerline.functions import (extract_payment_fields, is_fully_refunded_shor
                                   purchase_flags, state_name, strip_outer_quote)
 from ledgerline.functions.coerce import load_time
 from ledgerline.operators.joins import join_asof, join_next, join_versions_all
+from ledgerline.session import materialize
 
 # Time buckets that split a hot product tag / e-mail into bounded partitions.
 VERSION_BUCKET_SECONDS = 90 * 86400
@@ -93,7 +94,9 @@ def normalize_purchases(payments: DataFrame, refunds: DataFrame, versions: DataF
                         events: DataFrame, run_ts: str | None = None,
                         processor: str = K.PAYMENT_PROCESSOR) -> DataFrame:
     """Purchase rows ready to merge into the purchase table (no ``id``)."""
-    base = purchase_base(payments, refunds, versions)
+    # The enriched increment feeds the referral join twice (rows and the
+    # per-bucket summary); it is written once instead of recomputed.
+    base = materialize(purchase_base(payments, refunds, versions), "purchase-base")
     p = attribute_referrals(base, events)
     state = F.coalesce(F.col("state"), F.lit("NULL"))
     return p.select(

@@ -69,3 +69,11 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/") + "/" + (name or "tmp") + "-" + uuid.uuid4().hex[:12]
+
+
+def materialize(df, name: str = "stage"):
+    """Cut the lineage of ``df``: write it once to the shared checkpoint
+    folder and continue from the written copy (reliable, survives executor
+    loss; used where a plan would otherwise recompute an expensive input)."""
+    shared_dir(df.sparkSession, name)  # makes sure a checkpoint folder is set
+    return df.checkpoint(eager=True)
