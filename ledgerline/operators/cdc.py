@@ -34,8 +34,16 @@ def apply_delta(target: DataFrame, batch: DataFrame, spec: MergeSpec, ts: str,
 
 def cdc_fold(target: DataFrame, log: DataFrame, spec: MergeSpec, ts: str,
              file_col: str = "file_time") -> DataFrame:
-    """Target after applying every batch of ``log`` in ``file_col`` order,
-    computed in one pass instead of one job per file.
+    """Target after applying every batch of ``log`` in ``file_col`` order;
+    see :func:`fold_log` for the per-key rule."""
+    return merge_upsert(target, fold_log(log, spec, ts, [c for c in target.columns], file_col), spec)
+
+
+def fold_log(log: DataFrame, spec: MergeSpec, ts: str, columns: list[str],
+             file_col: str = "file_time") -> DataFrame:
+    """One source row per key that, merged into the target, gives the
+    target after applying every batch of ``log`` in ``file_col`` order:
+    one pass instead of one job per file.
 
     Per key, with sequence (file time, insert before update, update time):
     columns in ``spec.update`` come from the last row of the sequence (a
@@ -50,7 +58,7 @@ def cdc_fold(target: DataFrame, log: DataFrame, spec: MergeSpec, ts: str,
     partially aggregated ``groupBy`` (skew-proof) plus the merge join.
     """
     key = list(spec.on)
-    cols = [c for c in target.columns if c in log.columns and c not in key]
+    cols = [c for c in columns if c in log.columns and c not in key]
     rows = log.where((F.col(OP) == "I") | ((F.col(OP) == "U") & F.col(ts).isNotNull()))
     op_rank = F.when(F.col(OP) == "I", 0).otherwise(1)
     last_seq = F.struct(F.col(file_col), op_rank, F.col(ts))
@@ -64,9 +72,8 @@ def cdc_fold(target: DataFrame, log: DataFrame, spec: MergeSpec, ts: str,
         F.min(F.struct(first_seq.alias("seq"), payload.alias("row"))).alias("__first"),
     )
     insert_only = [c for c in spec.insert if c not in spec.update and c not in key]
-    src = folded.select(
+    return folded.select(
         *key,
         *[F.col(f"__last.row.{c}").alias(c) for c in cols if c not in insert_only],
         *[F.col(f"__first.row.{c}").alias(c) for c in cols if c in insert_only],
     )
-    return merge_upsert(target, src, spec)

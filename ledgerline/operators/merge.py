@@ -180,7 +180,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: MergeSpec,
-                     buckets: int, validate: bool = True) -> None:
+                     buckets: int, validate: bool = True, like: DataFrame | None = None) -> None:
     """Apply ``merge_upsert`` to a bucket-partitioned parquet table in place.
 
     Touched bucket ids (at most ``buckets`` small integers) are collected to
@@ -192,7 +192,14 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: Me
     touched = [r[0] for r in source.select(key.alias("b")).distinct().collect()]
     if not touched:
         return
-    target = read_table(spark, path).where(F.col(BUCKET_COL).isin(touched))
+    if like is not None:
+        # Table schema given explicitly: a new, still empty table has no
+        # files to infer it from.
+        schema = like.withColumn(BUCKET_COL, F.lit(0).cast("int")).schema
+        target = spark.read.schema(schema).parquet(path)
+    else:
+        target = read_table(spark, path)
+    target = target.where(F.col(BUCKET_COL).isin(touched))
     merged = merge_upsert(target.drop(BUCKET_COL), source, spec, validate=validate)
     stage = shared_dir(spark, "merge-stage")
     merged.withColumn(BUCKET_COL, key_bucket(spec.on, buckets)) \

@@ -21,6 +21,11 @@ CSV_OPTIONS = {"header": "true", "sep": "|", "quote": '"', "escape": '"', "multi
                "nullValue": "\\N"}
 
 
+def batch_glob(path: str) -> str:
+    """Only the batch folders of a CDC location (full-load files live beside them)."""
+    return f"{path.rstrip('/')}/batch=*"
+
+
 def file_time(path_col: str = "_metadata.file_path") -> F.Column:
     """Batch time parsed from a CDC file path (NULL when it has none)."""
     stamp = F.regexp_extract(F.col(path_col), BATCH_PATTERN, 1)
@@ -58,7 +63,7 @@ def read_cdc(spark: SparkSession, path: str, columns: list[str], types: dict[str
     if full:
         df = reader.csv(f"{path.rstrip('/')}/LOAD")
         return coerce_types(df, types)
-    df = reader.csv(path)
+    df = reader.option("basePath", path).csv(batch_glob(path))
     if "batch" in df.columns:
         # Partition column: batches at or before ``since`` are pruned at listing.
         if since:
@@ -74,8 +79,9 @@ def read_cdc(spark: SparkSession, path: str, columns: list[str], types: dict[str
 def pending_batches(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
     """Distinct batch times after ``since``, in time order (for progress
     reporting; the pipelines consume batches as one DataFrame)."""
-    df = spark.read.options(**CSV_OPTIONS).schema(T.StructType([T.StructField("Op", T.StringType())])).csv(path)
-    t = df.select(file_time().alias("file_time")).distinct()
+    df = (spark.read.options(**CSV_OPTIONS).schema(T.StructType([T.StructField("Op", T.StringType())]))
+          .option("basePath", path).csv(batch_glob(path)))
+    t = df.select(F.to_timestamp_ntz(F.col("batch"), F.lit(BATCH_FORMAT)).alias("file_time")).distinct()
     if since:
         t = t.where(F.col("file_time") > F.lit(since).cast("timestamp_ntz"))
     return t.orderBy("file_time")

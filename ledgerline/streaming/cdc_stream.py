@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.cdc import cdc_fold
 from ledgerline.operators.merge import MergeSpec
-from ledgerline.sources.cdc_files import CSV_OPTIONS, file_time, text_schema
+from ledgerline.sources.cdc_files import CSV_OPTIONS, batch_glob, file_time, text_schema
 from ledgerline.functions.coerce import coerce_types
 
 
@@ -26,7 +26,8 @@ def cdc_stream(spark: SparkSession, source_path: str, columns: list[str], types:
     batch rewrites the same folder (idempotent, exactly-once).
     """
     stream = (spark.readStream.options(**CSV_OPTIONS).schema(text_schema(columns))
-              .option("maxFilesPerTrigger", max_files or 1_000_000).csv(source_path))
+              .option("maxFilesPerTrigger", max_files or 1_000_000)
+              .option("basePath", source_path).csv(batch_glob(source_path)))
     stream = stream.withColumn("file_time", file_time())
     stream = coerce_types(stream.drop("batch") if "batch" in stream.columns else stream, types)
 
