@@ -54,6 +54,17 @@ def join_versions_all(facts: DataFrame, versions: DataFrame, fact_key: str, fact
     return facts.join(v, cond, "left").drop("__tag", "__start")
 
 
+def join_following_events(facts: DataFrame, events: DataFrame, fact_key: str, fact_time: str,
+                          event_cols: list[str]) -> DataFrame:
+    """Definition form of the referral join: every event of the buyer
+    strictly after the purchase (all pairs of a key).  Used as the
+    brute-force reference in tests; pipelines use :func:`join_next`."""
+    e = events.select(F.col("user_email").alias("__email"), F.col("event_date").alias("__date"),
+                      *[F.col(c) for c in event_cols])
+    cond = (F.col(fact_key) == F.col("__email")) & (F.col("__date") > F.col(fact_time))
+    return facts.join(e, cond, "left").withColumnRenamed("__date", "event_date").drop("__email")
+
+
 def _epoch_bucket(t: Column, seconds: int | None) -> Column:
     if not seconds:
         return F.lit(0).cast("bigint")

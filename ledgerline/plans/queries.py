@@ -344,6 +344,15 @@ def q_read_cdc(s, d):
     return cdc_files.read_cdc(s, path, _CDC_COLUMNS, schemas.CDC_COERCE["payment"] | {"created_at": "timestamp_ntz"})
 
 
+PENDING_SINCE = "2024-01-15 00:00:00"
+
+
+def q_pending_batches(s, d):
+    path = shared_dir(s, "cdc-pending")
+    cdc_files.write_cdc_batches(_cdc_rows(s, d), path)
+    return cdc_files.pending_batches(s, path, since=PENDING_SINCE)
+
+
 def q_initial_load(s, d):
     path = shared_dir(s, "cdc-full")
     cdc_files.write_full_load(_payments(s, d).drop("created_at"), path)
@@ -406,6 +415,7 @@ QUERIES: dict[str, Query] = {
     "normalize_disputes": q_normalize_disputes,
     "run_metrics": q_run_metrics,
     "read_cdc": q_read_cdc,
+    "pending_batches": q_pending_batches,
     "initial_load": q_initial_load,
     "cdc_stream": q_cdc_stream,
 }

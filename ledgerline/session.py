@@ -72,8 +72,11 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
 
 
 def materialize(df, name: str = "stage"):
-    """Cut the lineage of ``df``: write it once to the shared checkpoint
-    folder and continue from the written copy (reliable, survives executor
-    loss; used where a plan would otherwise recompute an expensive input)."""
-    shared_dir(df.sparkSession, name)  # makes sure a checkpoint folder is set
-    return df.checkpoint(eager=True)
+    """Cut the lineage of ``df``: write it once as parquet to a fresh folder
+    under the shared checkpoint folder and continue from the written copy
+    (one job; survives executor loss; used where a plan would otherwise
+    recompute an expensive input)."""
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -134,12 +134,17 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their line summary, customer and first line's part."""
+    """Orders with their line summary, customer and first line's part
+    (shared by several lake tables: written once per session)."""
+    return lake_table(spark, sf_dir, "order_facts")
+
+
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    lines = order_lines(spark, sf_dir)
+    lines = lake_table(spark, sf_dir, "order_lines")
     return (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
             .join(c, o.o_custkey == c.c_custkey, "left")
             .join(p, F.col("first_line.l_partkey") == p.p_partkey, "left")
@@ -219,7 +224,7 @@ def refunds(spark: SparkSession, sf_dir: str, flag: str = "R") -> DataFrame:
     """Refund rows of the orders with ``flag`` lines (``R``: the refund
     table; ``A``: a later refund batch)."""
     o = read_table(spark, sf_dir, "orders")
-    lines = order_lines(spark, sf_dir)
+    lines = lake_table(spark, sf_dir, "order_lines")
     cents_col, count_col = ("r_cents", "r_lines") if flag == "R" else ("a_cents", "a_lines")
     f = lines.where(F.col(count_col) > 0).join(o, lines.l_orderkey == o.o_orderkey, "inner")
     k = F.col("o_orderkey").cast("string")
@@ -365,6 +370,8 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LAKE_BUILDERS = {
+    "order_lines": order_lines,
+    "order_facts": order_facts,
     "payment": payments,
     "payment_updates": payment_updates,
     "refund": lambda s, d: refunds(s, d, "R"),
@@ -378,6 +385,7 @@ LAKE_BUILDERS = {
 }
 
 LAKE_KEYS = {
+    "order_lines": "l_orderkey", "order_facts": "o_orderkey",
     "payment": "payment_intent_id", "payment_updates": "payment_intent_id",
     "refund": "payment_intent_id", "refund_updates": "payment_intent_id",
     "dispute": "payment_intent_id", "dispute_updates": "payment_intent_id",

@@ -6,7 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import join_asof, join_next, join_versions_all
+from ledgerline.operators.joins import join_asof, join_following_events, join_next, join_versions_all
+from pyspark.sql import Window
 from tests.conftest import rows
 
 T0 = datetime(2020, 1, 1)
@@ -107,3 +108,29 @@ def test_next_is_strict_and_asof_inclusive(spark):
     asof = join_asof(L, V, left_key="k", right_key="tag", left_time="t", right_time="starting_at", tiebreak=["id"],
                      columns={"id": "vid"})
     assert asof.collect()[0]["vid"] == 9
+
+
+def test_next_equals_ranked_definition_form(spark):
+    """join_next == row_number over the all-pairs definition (rank 1)."""
+    rnd = random.Random(3)
+    facts = [(i, f"u{rnd.randrange(4)}", T0 + timedelta(days=rnd.randrange(60))) for i in range(80)]
+    events = [(j, f"u{rnd.randrange(4)}", T0 + timedelta(days=rnd.randrange(60), hours=rnd.randrange(3)),
+               rnd.choice(["a", "b"])) for j in range(60)]
+    L = spark.createDataFrame(facts, "i long, email string, t timestamp_ntz")
+    R = spark.createDataFrame(events, "event_id long, user_email string, event_date timestamp_ntz, event_type string")
+    pairs = join_following_events(L, R, "email", "t", ["event_id", "event_type"])
+    w = Window.partitionBy("i").orderBy(F.unix_timestamp("event_date") - F.unix_timestamp("t"), "event_id")
+    ranked = pairs.withColumn("rk", F.row_number().over(w)).where("rk = 1").select("i", "email", "t", F.col("event_type").alias("et"))
+    fast = join_next(L, R, left_key="email", right_key="user_email", left_time="t", right_time="event_date",
+                     rank=[F.unix_timestamp("event_date"), F.col("event_id")], columns={"event_type": "et"},
+                     bucket_seconds=7 * 86400)
+    assert rows(fast) == rows(ranked)
+
+
+def test_asof_broadcast_plan_does_not_shuffle_facts(spark):
+    L = spark.createDataFrame([(1, "a", T0)], "i long, k string, t timestamp_ntz")
+    V = spark.createDataFrame([(9, "a", T0)], "id long, tag string, starting_at timestamp_ntz")
+    j = join_asof(L, V, left_key="k", right_key="tag", left_time="t", right_time="starting_at", tiebreak=["id"],
+                  columns={"id": "vid"}, bucket_seconds=86400, broadcast_max_rows=1000)
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Window" not in plan.split("BroadcastExchange")[0]
