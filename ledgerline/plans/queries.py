@@ -361,13 +361,12 @@ def q_initial_load(s, d):
 
 
 def q_cdc_stream(s, d):
-    from ledgerline.streaming.cdc_stream import cdc_stream, read_current
+    from ledgerline.streaming.cdc_stream import cdc_stream, read_current, set_initial_version
     src, tgt, ck = shared_dir(s, "cdc-src"), shared_dir(s, "cdc-tgt"), shared_dir(s, "cdc-ckpt")
     cdc_files.write_cdc_batches(_cdc_rows(s, d), src)
     target = _payments(s, d)
     target.write.mode("overwrite").parquet(f"{tgt}/v=init")
-    s.createDataFrame([(f"{tgt}/v=init",)], "path string").coalesce(1).write.mode("overwrite").text(
-        f"{tgt}/_current")
+    set_initial_version(s, tgt, f"{tgt}/v=init")
     q = cdc_stream(s, src, _CDC_COLUMNS, schemas.CDC_COERCE["payment"] | {"created_at": "timestamp_ntz"},
                    tgt, target, merge.PAYMENT_MERGE, "payment_updated_at", ck)
     q.awaitTermination()

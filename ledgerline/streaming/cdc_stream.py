@@ -20,10 +20,14 @@ def cdc_stream(spark: SparkSession, source_path: str, columns: list[str], types:
     """Start an ``availableNow`` query that folds every pending batch file
     into the parquet table at ``target_path``; returns the query handle.
 
-    Each micro-batch is applied with ``cdc_fold`` (batches ordered by their
-    file time) and written as a new table version: the batch id names the
-    version folder and a ``_current`` pointer is replaced last, so a retried
-    batch rewrites the same folder (idempotent, exactly-once).
+    Each micro-batch is applied with ``cdc_fold`` (batches inside it are
+    ordered by their batch time) and written as a new table version: the
+    batch id names the version folder and a ``_current`` pointer (version
+    path + newest batch time applied) is replaced last, so a retried batch
+    rewrites the same folder (idempotent, exactly-once).  Batches must
+    arrive in time order across micro-batches, as a replication tool writes
+    them; a micro-batch holding a batch older than one already applied
+    fails instead of being applied out of order.
     """
     stream = (spark.readStream.options(**CSV_OPTIONS).schema(text_schema(columns))
               .option("maxFilesPerTrigger", max_files or 1_000_000)
@@ -32,27 +36,40 @@ def cdc_stream(spark: SparkSession, source_path: str, columns: list[str], types:
     stream = coerce_types(stream.drop("batch") if "batch" in stream.columns else stream, types)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        current = _current_version(spark, target_path)
+        current, applied = _pointer(spark, target_path)
+        oldest, newest = batch.agg(F.min("file_time"), F.max("file_time")).collect()[0]
+        if newest is None:
+            return
+        if applied is not None and oldest is not None and oldest.isoformat() < applied:
+            raise ValueError(f"CDC batch {oldest} arrived after batch {applied} was applied")
         target = (spark.read.parquet(current) if current
                   else spark.createDataFrame([], target_schema_df.schema))
         merged = cdc_fold(target, batch, spec, ts)
         version = f"{target_path.rstrip('/')}/v={batch_id:012d}"
         merged.write.mode("overwrite").parquet(version)
-        spark.createDataFrame([(version,)], "path string").coalesce(1) \
-            .write.mode("overwrite").text(f"{target_path.rstrip('/')}/_current")
+        spark.createDataFrame([(version, newest.isoformat())], "path string, applied string").coalesce(1) \
+            .write.mode("overwrite").json(f"{target_path.rstrip('/')}/_current")
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def _current_version(spark: SparkSession, target_path: str) -> str | None:
+def _pointer(spark: SparkSession, target_path: str) -> tuple[str | None, str | None]:
+    """(current version path, newest batch time applied) - one row."""
     try:
-        rows = spark.read.text(f"{target_path.rstrip('/')}/_current").limit(1).collect()
+        rows = (spark.read.schema("path string, applied string")
+                .json(f"{target_path.rstrip('/')}/_current").limit(1).collect())
     except Exception:  # noqa: BLE001 - first batch
-        return None
-    return rows[0][0] if rows else None
+        return None, None
+    return (rows[0][0], rows[0][1]) if rows else (None, None)
+
+
+def set_initial_version(spark: SparkSession, target_path: str, version_path: str) -> None:
+    """Point the stream's table at an existing snapshot (e.g. a full load)."""
+    spark.createDataFrame([(version_path, None)], "path string, applied string").coalesce(1) \
+        .write.mode("overwrite").json(f"{target_path.rstrip('/')}/_current")
 
 
 def read_current(spark: SparkSession, target_path: str) -> DataFrame:
     """The table version written by the last completed micro-batch."""
-    return spark.read.parquet(_current_version(spark, target_path))
+    return spark.read.parquet(_pointer(spark, target_path)[0])

@@ -108,10 +108,10 @@ def test_stream_equals_batch_fold_and_restarts(spark):
         q.awaitTermination()
         return rows(read_current(spark, tgt))
 
-    # Uninterrupted, one file per micro-batch.
+    # Uninterrupted: every pending batch in one micro-batch.
     src, tgt, ck = shared_dir(spark, "s-src"), shared_dir(spark, "s-tgt"), shared_dir(spark, "s-ck")
     write_cdc_batches(log, src)
-    assert run(src, tgt, ck, max_files=1) == expected
+    assert run(src, tgt, ck) == expected
 
     # Stop after half the batches, restart from the checkpoint with the rest.
     src, tgt, ck = shared_dir(spark, "r-src"), shared_dir(spark, "r-tgt"), shared_dir(spark, "r-ck")
@@ -125,3 +125,13 @@ def test_stream_equals_batch_fold_and_restarts(spark):
         if d.startswith("batch="):
             shutil.copytree(os.path.join(src, "part2", d), os.path.join(src, "part1", d))
     assert run(src + "/part1", tgt, ck) == expected
+
+    # A batch older than one already applied is refused, not applied out of order.
+    late = log.where(F.col("file_time") == T0 + timedelta(days=1)).withColumn("v", F.lit("late"))
+    write_cdc_batches(late.withColumn("file_time", F.col("file_time") + F.expr("INTERVAL 1 SECOND")), src + "/late")
+    for d in os.listdir(src + "/late"):
+        if d.startswith("batch="):
+            shutil.copytree(os.path.join(src, "late", d), os.path.join(src, "part1", d))
+    import pytest
+    with pytest.raises(Exception):
+        run(src + "/part1", tgt, ck)
