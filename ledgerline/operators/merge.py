@@ -70,6 +70,16 @@ def merge_upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
     s = source.select(*[F.col(c).alias(_s(c)) for c in needed]).withColumn(_S, F.lit(True))
     t = target.withColumn(_T, F.lit(True))
     conds = []
+    if not null_safe:
+        # A NULL key never matches, but hashing would send every NULL-key
+        # row to one partition.  An extra join key spreads them: -1 for
+        # complete keys, a row id (even for target, odd for source, so the
+        # two sides never meet) when a key column is NULL.
+        t = t.withColumn("__nk", F.when(_any_null(spec.on), F.monotonically_increasing_id() * 2)
+                         .otherwise(F.lit(-1)))
+        s = s.withColumn("__s_nk", F.when(_any_null([_s(spec.source_col(k)) for k in spec.on]),
+                                          F.monotonically_increasing_id() * 2 + 1).otherwise(F.lit(-1)))
+        conds.append(t["__nk"] == s["__s_nk"])
     for k in spec.on:
         tk, sk = t[k], s[_s(spec.source_col(k))]
         conds.append(tk.eqNullSafe(sk) if null_safe else tk == sk)
@@ -95,6 +105,13 @@ def merge_upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
     return j.select(*out)
 
 
+def _any_null(cols) -> Column:
+    cond = F.lit(False)
+    for c in cols:
+        cond = cond | F.col(c).isNull()
+    return cond
+
+
 def append_by_name(target: DataFrame, rows: DataFrame) -> DataFrame:
     """Append with columns matched by name (missing source columns -> NULL)."""
     missing = [c for c in target.columns if c not in rows.columns]

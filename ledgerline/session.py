@@ -17,8 +17,9 @@ from pyspark.sql import SparkSession
 # Settings every job in this package relies on.  AQE re-plans joins and
 # coalesces/splits partitions at runtime; the skew-join split protects the
 # key-based joins (merge, latest-per-key) from a hot key.
+# Every timestamp in the pipeline is TIMESTAMP_NTZ and every function used
+# on it is zone-independent, so the session time zone is left as it is.
 SESSION_DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -37,6 +38,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LEDGERLINE_DRIVER_MEM", "16g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.session.timeZone", os.environ.get("LEDGERLINE_TZ", "UTC"))
     )
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
