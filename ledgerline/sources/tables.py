@@ -144,7 +144,7 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    lines = lake_table(spark, sf_dir, "order_lines")
+    lines = order_lines(spark, sf_dir)
     return (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
             .join(c, o.o_custkey == c.c_custkey, "left")
             .join(p, F.col("first_line.l_partkey") == p.p_partkey, "left")
@@ -223,10 +223,8 @@ def payment_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refunds(spark: SparkSession, sf_dir: str, flag: str = "R") -> DataFrame:
     """Refund rows of the orders with ``flag`` lines (``R``: the refund
     table; ``A``: a later refund batch)."""
-    o = read_table(spark, sf_dir, "orders")
-    lines = lake_table(spark, sf_dir, "order_lines")
     cents_col, count_col = ("r_cents", "r_lines") if flag == "R" else ("a_cents", "a_lines")
-    f = lines.where(F.col(count_col) > 0).join(o, lines.l_orderkey == o.o_orderkey, "inner")
+    f = _order_facts(spark, sf_dir).where(F.col(count_col) > 0)
     k = F.col("o_orderkey").cast("string")
     disputed = F.col("o_orderpriority") == "1-URGENT"
     shift = 0 if flag == "R" else 6
@@ -370,7 +368,6 @@ def cdc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LAKE_BUILDERS = {
-    "order_lines": order_lines,
     "order_facts": order_facts,
     "payment": payments,
     "payment_updates": payment_updates,
@@ -385,7 +382,7 @@ LAKE_BUILDERS = {
 }
 
 LAKE_KEYS = {
-    "order_lines": "l_orderkey", "order_facts": "o_orderkey",
+    "order_facts": "o_orderkey",
     "payment": "payment_intent_id", "payment_updates": "payment_intent_id",
     "refund": "payment_intent_id", "refund_updates": "payment_intent_id",
     "dispute": "payment_intent_id", "dispute_updates": "payment_intent_id",

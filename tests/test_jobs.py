@@ -75,3 +75,19 @@ def test_stage2_jobs_incremental_equal_one_shot(spark):
     want_d = normalize_disputes(dis, pay, run_ts=RUN)
     got_d = spark.read.parquet(dt).drop(BUCKET_COL)
     assert rows(got_d.select(*want_d.columns)) == rows(want_d)
+
+
+def test_replaying_a_run_changes_only_processed_at(spark):
+    pay, dis = tb.payments(spark, SMALL), tb.disputes(spark, SMALL)
+    path = shared_dir(spark, "replay")
+    for run_ts in (RUN, "2024-07-01 00:00:00"):
+        store = WatermarkStore(spark, shared_dir(spark, "replay-wm"))  # no watermark: full re-read
+        run_normalize_disputes(spark, disputes=dis, payments=pay, target_path=path, store=store,
+                               dataset="disputes", job="n", buckets=4, run_ts=run_ts)
+        if run_ts == RUN:
+            first = spark.read.parquet(path).drop(BUCKET_COL)
+            first = rows(first.drop("processed_at"))
+    second = spark.read.parquet(path).drop(BUCKET_COL)
+    assert rows(second.drop("processed_at")) == first
+    assert {r[0] for r in second.select("processed_at").distinct().collect()} == {
+        __import__("datetime").datetime(2024, 7, 1)}
