@@ -361,16 +361,14 @@ def q_initial_load(s, d):
 
 
 def q_cdc_stream(s, d):
-    from ledgerline.streaming.cdc_stream import cdc_stream, read_current, set_initial_version
+    from ledgerline.streaming.cdc_stream import cdc_stream, read_table, start_table
     src, tgt, ck = shared_dir(s, "cdc-src"), shared_dir(s, "cdc-tgt"), shared_dir(s, "cdc-ckpt")
     cdc_files.write_cdc_batches(_cdc_rows(s, d), src)
-    target = _payments(s, d)
-    target.write.mode("overwrite").parquet(f"{tgt}/v=init")
-    set_initial_version(s, tgt, f"{tgt}/v=init")
+    start_table(_payments(s, d), tgt, merge.PAYMENT_MERGE, buckets=tb.lake_buckets(s))
     q = cdc_stream(s, src, _CDC_COLUMNS, schemas.CDC_COERCE["payment"] | {"created_at": "timestamp_ntz"},
-                   tgt, target, merge.PAYMENT_MERGE, "payment_updated_at", ck)
+                   tgt, merge.PAYMENT_MERGE, "payment_updated_at", ck, buckets=tb.lake_buckets(s))
     q.awaitTermination()
-    return read_current(s, tgt)
+    return read_table(s, tgt)
 
 
 QUERIES: dict[str, Query] = {

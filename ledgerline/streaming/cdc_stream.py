@@ -8,68 +8,66 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.cdc import cdc_fold
-from ledgerline.operators.merge import MergeSpec
-from ledgerline.sources.cdc_files import CSV_OPTIONS, batch_glob, file_time, text_schema
 from ledgerline.functions.coerce import coerce_types
+from ledgerline.operators.cdc import fold_log
+from ledgerline.operators.merge import BUCKET_COL, MergeSpec, merge_into_table, write_table
+from ledgerline.sources.cdc_files import CSV_OPTIONS, batch_glob, file_time, text_schema
 
 
 def cdc_stream(spark: SparkSession, source_path: str, columns: list[str], types: dict[str, str],
-               target_path: str, target_schema_df: DataFrame, spec: MergeSpec, ts: str,
-               checkpoint: str, max_files: int | None = None):
+               table_path: str, spec: MergeSpec, ts: str, checkpoint: str, buckets: int,
+               max_files: int | None = None, like: DataFrame | None = None):
     """Start an ``availableNow`` query that folds every pending batch file
-    into the parquet table at ``target_path``; returns the query handle.
+    into the bucket-partitioned parquet table at ``table_path`` (see
+    :func:`ledgerline.operators.merge.write_table`); returns the handle.
 
-    Each micro-batch is applied with ``cdc_fold`` (batches inside it are
-    ordered by their batch time) and written as a new table version: the
-    batch id names the version folder and a ``_current`` pointer (version
-    path + newest batch time applied) is replaced last, so a retried batch
-    rewrites the same folder (idempotent, exactly-once).  Batches must
-    arrive in time order across micro-batches, as a replication tool writes
-    them; a micro-batch holding a batch older than one already applied
-    fails instead of being applied out of order.
+    Each micro-batch is reduced to one row per key with ``fold_log``
+    (batches inside it ordered by their batch time) and merged with
+    ``merge_into_table``: only the hash buckets it touches are rewritten.
+    A retried micro-batch re-applies the same fold, which the keyed merge
+    absorbs.  Batches must arrive in time order across micro-batches, as a
+    replication tool writes them; a micro-batch holding a batch older than
+    one already applied fails instead of being applied out of order.
+    ``like`` gives the table's columns when the table may still be empty.
     """
     stream = (spark.readStream.options(**CSV_OPTIONS).schema(text_schema(columns))
               .option("maxFilesPerTrigger", max_files or 1_000_000)
               .option("basePath", source_path).csv(batch_glob(source_path)))
     stream = stream.withColumn("file_time", file_time())
     stream = coerce_types(stream.drop("batch") if "batch" in stream.columns else stream, types)
+    progress_path = f"{table_path.rstrip('/')}_progress"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        current, applied = _pointer(spark, target_path)
+        applied = _applied(spark, progress_path)
         oldest, newest = batch.agg(F.min("file_time"), F.max("file_time")).collect()[0]
         if newest is None:
             return
         if applied is not None and oldest is not None and oldest.isoformat() < applied:
             raise ValueError(f"CDC batch {oldest} arrived after batch {applied} was applied")
-        target = (spark.read.parquet(current) if current
-                  else spark.createDataFrame([], target_schema_df.schema))
-        merged = cdc_fold(target, batch, spec, ts)
-        version = f"{target_path.rstrip('/')}/v={batch_id:012d}"
-        merged.write.mode("overwrite").parquet(version)
-        spark.createDataFrame([(version, newest.isoformat())], "path string, applied string").coalesce(1) \
-            .write.mode("overwrite").json(f"{target_path.rstrip('/')}/_current")
+        cols = like.columns if like is not None else spark.read.parquet(table_path).columns
+        target_cols = [c for c in cols if c != BUCKET_COL]
+        merge_into_table(spark, table_path, fold_log(batch, spec, ts, target_cols), spec, buckets,
+                         validate=False, like=like)
+        spark.createDataFrame([(batch_id, newest.isoformat())], "batch_id long, applied string") \
+            .coalesce(1).write.mode("overwrite").json(progress_path)
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def _pointer(spark: SparkSession, target_path: str) -> tuple[str | None, str | None]:
-    """(current version path, newest batch time applied) - one row."""
+def _applied(spark: SparkSession, progress_path: str) -> str | None:
+    """Newest batch time applied so far (one row), or None."""
     try:
-        rows = (spark.read.schema("path string, applied string")
-                .json(f"{target_path.rstrip('/')}/_current").limit(1).collect())
-    except Exception:  # noqa: BLE001 - first batch
-        return None, None
-    return (rows[0][0], rows[0][1]) if rows else (None, None)
+        rows = spark.read.schema("batch_id long, applied string").json(progress_path).limit(1).collect()
+    except Exception:  # noqa: BLE001 - nothing applied yet
+        return None
+    return rows[0][1] if rows else None
 
 
-def set_initial_version(spark: SparkSession, target_path: str, version_path: str) -> None:
-    """Point the stream's table at an existing snapshot (e.g. a full load)."""
-    spark.createDataFrame([(version_path, None)], "path string, applied string").coalesce(1) \
-        .write.mode("overwrite").json(f"{target_path.rstrip('/')}/_current")
+def start_table(df: DataFrame, table_path: str, spec: MergeSpec, buckets: int) -> None:
+    """Create the stream's target table from a snapshot (e.g. a full load)."""
+    write_table(df, table_path, spec.on, buckets)
 
 
-def read_current(spark: SparkSession, target_path: str) -> DataFrame:
-    """The table version written by the last completed micro-batch."""
-    return spark.read.parquet(_pointer(spark, target_path)[0])
+def read_table(spark: SparkSession, table_path: str) -> DataFrame:
+    return spark.read.parquet(table_path).drop(BUCKET_COL)
