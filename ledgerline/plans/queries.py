@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import schemas
-from ledgerline.functions import (coerce_types, dispute_fields, epoch_to_ts, extract_payment_fields,
-                                  is_fully_refunded_short_term, operational_costs, parse_payload,
-                                  processing_fee, purchase_flags, repair_quotes, state_name,
+from ledgerline.functions import (coerce_types, is_fully_refunded_short_term, operational_costs,
+                                  parse_payload, processing_fee, purchase_flags, repair_quotes, state_name,
                                   strip_outer_quote)
 from ledgerline.operators import cdc, dedup, joins, merge, watermark
 from ledgerline.plans import disputes as nd
@@ -87,7 +86,9 @@ def q_cdc_fold(s, d):
 
 def q_append_by_name(s, d):
     ins, _ = cdc.cdc_split(_cdc_rows(s, d))
-    return merge.append_by_name(_payments(s, d), ins.drop("file_time").select(*reversed(ins.columns[:-1])))
+    ins = ins.drop("file_time")
+    # Columns deliberately in another order: the append matches by name.
+    return merge.append_by_name(_payments(s, d), ins.select(*reversed(ins.columns)))
 
 
 # --- merges ------------------------------------------------------------------
