@@ -71,14 +71,26 @@ def _epoch_bucket(t: Column, seconds: int | None) -> Column:
     return F.floor(F.unix_timestamp(t) / F.lit(seconds)).cast("bigint")
 
 
+# At most this many heavy keys are broadcast as a list (proven bound: a
+# key is heavy only with more than ``hot_key_rows`` rows).
+MAX_HOT_KEYS = 100_000
+
+
 def _nearest(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
              left_time: str, right_time: str, pick: list[Column], payload: dict[str, Column],
-             forward: bool, strict: bool, bucket_seconds: int | None) -> DataFrame:
+             forward: bool, strict: bool, bucket_seconds: int | None,
+             hot_key_rows: int | None = None) -> DataFrame:
     """Shared engine of ``join_asof`` / ``join_next``; see module doc.
 
     Backward (as-of): best = max of ``pick`` over rights with
     ``t_r <= t_l`` (``<`` if strict).  Forward: best = min of ``pick`` over
     rights with ``t_r > t_l`` (``>=`` if not strict).
+
+    With ``hot_key_rows``, only keys holding more rows than that (found by a
+    partially aggregated count; their number is bounded by rows /
+    threshold and checked before the list is broadcast) are split into
+    ``bucket_seconds`` time buckets; every other key stays one partition and
+    skips the cross-bucket summary.  Without it every key is bucketed.
     """
     lcols = left.columns
     rstruct = F.struct(F.struct(*pick).alias("k"), F.struct(*[c.alias(n) for n, c in payload.items()]).alias("v"))
@@ -92,7 +104,23 @@ def _nearest(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str
     R = right.where(F.col(right_key).isNotNull() & F.col(right_time).isNotNull()).select(
         F.col(right_key).alias("__k"), F.col(right_time).alias("__t"), F.lit(r_side).alias("__side"),
         null_l.alias("__l"), rstruct.alias("__r"))
-    u = L.unionByName(R).withColumn("__b", _epoch_bucket(F.col("__t"), bucket_seconds))
+    u = L.unionByName(R)
+    hot = None
+    if bucket_seconds and hot_key_rows:
+        heavy = u.groupBy("__k").count().where(F.col("count") > hot_key_rows).select(
+            "__k", F.lit(True).alias("__hot"))
+        n_heavy = heavy.limit(MAX_HOT_KEYS + 1).count()
+        if n_heavy == 0:
+            bucket_seconds = None  # no hot key: one partition per key, no summary
+        elif n_heavy <= MAX_HOT_KEYS:
+            u = u.join(F.broadcast(heavy), "__k", "left")
+            hot = F.coalesce(F.col("__hot"), F.lit(False))
+    if hot is not None:
+        u = (u.withColumn("__hotrow", hot)
+             .withColumn("__b", F.when(F.col("__hotrow"), _epoch_bucket(F.col("__t"), bucket_seconds))
+                         .otherwise(F.lit(0).cast("bigint"))).drop("__hot"))
+    else:
+        u = u.withColumn("__b", _epoch_bucket(F.col("__t"), bucket_seconds))
     # Walk forwards in time for as-of, backwards for "next".
     t_order = F.col("__t").desc_nulls_last() if forward else F.col("__t").asc_nulls_first()
     order = [t_order, F.col("__side").asc()]
@@ -106,7 +134,8 @@ def _nearest(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str
         # running extreme over buckets, excluding the own bucket.  The
         # summary is aggregated from the windowed rows, which are already
         # partitioned by (key, bucket): the input shuffle is reused, not redone.
-        summary = windowed.groupBy("__k", "__b").agg(agg("__r").alias("__r"))
+        summary_in = windowed.where(F.col("__hotrow")) if hot is not None else windowed
+        summary = summary_in.groupBy("__k", "__b").agg(agg("__r").alias("__r"))
         bo = F.col("__b").desc() if forward else F.col("__b").asc()
         ws = Window.partitionBy("__k").orderBy(bo).rowsBetween(Window.unboundedPreceding, -1)
         carry = summary.select("__k", "__b", agg("__r").over(ws).alias("__carry"))
@@ -145,7 +174,8 @@ def version_intervals(right: DataFrame, right_key: str, right_time: str, tiebrea
 
 def join_asof(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
               left_time: str, right_time: str, tiebreak: list[str], columns: dict[str, str],
-              bucket_seconds: int | None = None, broadcast_max_rows: int = 0) -> DataFrame:
+              bucket_seconds: int | None = None, broadcast_max_rows: int = 0,
+              hot_key_rows: int | None = None) -> DataFrame:
     """Left rows with ``columns`` of the latest right row of the same key
     whose time is at or before the left time (ties on time -> largest
     ``tiebreak``); NULL when none.
@@ -173,16 +203,16 @@ def join_asof(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
     pick = [F.col(right_time)] + [F.col(c) for c in tiebreak]
     return _nearest(left, right, left_key=left_key, right_key=right_key, left_time=left_time,
                     right_time=right_time, pick=pick, payload=payload, forward=False, strict=False,
-                    bucket_seconds=bucket_seconds)
+                    bucket_seconds=bucket_seconds, hot_key_rows=hot_key_rows)
 
 
 def join_next(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
               left_time: str, right_time: str, rank: list[Column], columns: dict[str, str],
-              bucket_seconds: int | None = None) -> DataFrame:
+              bucket_seconds: int | None = None, hot_key_rows: int | None = None) -> DataFrame:
     """Left rows with ``columns`` of the first right row of the same key
     strictly after the left time, where "first" is the smallest ``rank``
     (a list of right-side columns); NULL when none."""
     payload = {alias: F.col(c) for c, alias in columns.items()}
     return _nearest(left, right, left_key=left_key, right_key=right_key, left_time=left_time,
                     right_time=right_time, pick=rank, payload=payload, forward=True, strict=True,
-                    bucket_seconds=bucket_seconds)
+                    bucket_seconds=bucket_seconds, hot_key_rows=hot_key_rows)

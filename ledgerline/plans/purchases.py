@@ -17,7 +17,10 @@ from ledgerline.session import materialize
 
 # Time buckets that split a hot product tag / e-mail into bounded partitions.
 VERSION_BUCKET_SECONDS = 90 * 86400
-EVENT_BUCKET_SECONDS = 30 * 86400
+# Keys (e-mails) with more rows than HOT_KEY_ROWS are split into hourly
+# buckets; all other keys are one partition each.
+EVENT_BUCKET_SECONDS = 3600
+HOT_KEY_ROWS = 1_000_000
 # Product versions are broadcast (as bucketed validity intervals) up to
 # this many interval rows; a larger dimension takes the windowed path.
 VERSION_BROADCAST_MAX_ROWS = 1_000_000
@@ -81,7 +84,7 @@ def attribute_referrals(base: DataFrame, events: DataFrame,
                   right_time="event_date", rank=[F.unix_timestamp("event_date"), F.col("event_id")],
                   columns={"event_type": "__event_type", "campaign_id": "__campaign_id",
                            "campaign_name": "__campaign_name"},
-                  bucket_seconds=EVENT_BUCKET_SECONDS)
+                  bucket_seconds=EVENT_BUCKET_SECONDS, hot_key_rows=HOT_KEY_ROWS)
     hit = F.coalesce(F.col("is_full_fare") & (F.col("__event_type") == qualifying_type), F.lit(False))
     return j.withColumns({
         "campaign_id": F.when(hit, F.col("__campaign_id")).otherwise(F.lit("")),

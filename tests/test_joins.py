@@ -43,8 +43,9 @@ def _asof_brute(facts, versions):
     return sorted(res, key=lambda r: r[0])
 
 
-@pytest.mark.parametrize("bucket,bcast", [(None, 0), (30 * 86400, 0), (7 * 86400, 0), (30 * 86400, 10**6)])
-def test_asof_matches_brute_force(spark, bucket, bcast):
+@pytest.mark.parametrize("bucket,bcast,hot", [(None, 0, None), (30 * 86400, 0, None), (7 * 86400, 0, None),
+                                              (30 * 86400, 10**6, None), (86400, 0, 40)])
+def test_asof_matches_brute_force(spark, bucket, bcast, hot):
     rnd = random.Random(11)
     keys = [f"k{i}" for i in range(6)]
     facts, versions = _facts(rnd, 400, keys), _versions(rnd, 60, keys)
@@ -54,7 +55,8 @@ def test_asof_matches_brute_force(spark, bucket, bcast):
     L = spark.createDataFrame(facts, "i long, k string, t timestamp_ntz")
     R = spark.createDataFrame(versions, "id long, tag string, start timestamp_ntz, name string")
     got = join_asof(L, R, left_key="k", right_key="tag", left_time="t", right_time="start", tiebreak=["id"],
-                    columns={"id": "vid", "name": "vname"}, bucket_seconds=bucket, broadcast_max_rows=bcast)
+                    columns={"id": "vid", "name": "vname"}, bucket_seconds=bucket, broadcast_max_rows=bcast,
+                    hot_key_rows=hot)
     assert sorted([tuple(r) for r in got.collect()], key=lambda r: r[0]) == _asof_brute(facts, versions)
 
 
@@ -77,8 +79,8 @@ def _next_brute(facts, events):
     return sorted(res, key=lambda r: r[0])
 
 
-@pytest.mark.parametrize("bucket", [None, 30 * 86400, 86400])
-def test_next_matches_brute_force(spark, bucket):
+@pytest.mark.parametrize("bucket,hot", [(None, None), (30 * 86400, None), (86400, None), (3600, 50), (86400, 10**9)])
+def test_next_matches_brute_force(spark, bucket, hot):
     rnd = random.Random(5)
     keys = [f"k{i}" for i in range(6)]
     facts = _facts(rnd, 400, keys)
@@ -93,7 +95,7 @@ def test_next_matches_brute_force(spark, bucket):
     R = spark.createDataFrame(events, "event_id long, email string, event_date timestamp_ntz, event_type string")
     got = join_next(L, R, left_key="k", right_key="email", left_time="t", right_time="event_date",
                     rank=[F.unix_timestamp("event_date"), F.col("event_id")], columns={"event_type": "et"},
-                    bucket_seconds=bucket)
+                    bucket_seconds=bucket, hot_key_rows=hot)
     assert sorted([tuple(r) for r in got.collect()], key=lambda r: r[0]) == _next_brute(facts, events)
 
 
