@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.session import shared_dir
+from ledgerline.session import materialize, shared_dir
 
 _T, _S = "__t_present", "__s_present"
 
@@ -200,11 +200,14 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: Me
                      buckets: int, validate: bool = True, like: DataFrame | None = None) -> None:
     """Apply ``merge_upsert`` to a bucket-partitioned parquet table in place.
 
-    Touched bucket ids (at most ``buckets`` small integers) are collected to
-    prune the target scan; the merged buckets are staged in the shared
+    The source is written once to the shared folder; touched bucket ids (at
+    most ``buckets`` small integers) are collected to prune the target scan; the merged buckets are staged in the shared
     folder and then swapped in by dynamic partition overwrite, so the table
     is never read and overwritten by the same job.
     """
+    # The source (an increment, usually a whole pipeline) is written once;
+    # the bucket listing and the merge both read that copy.
+    source = materialize(source, "merge-source")
     key = key_bucket(tuple(spec.source_col(k) for k in spec.on), buckets)
     touched = [r[0] for r in source.select(key.alias("b")).distinct().collect()]
     if not touched:

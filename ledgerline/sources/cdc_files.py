@@ -52,14 +52,17 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 
 def read_cdc(spark: SparkSession, path: str, columns: list[str], types: dict[str, str],
-             full: bool = False, since: str | None = None) -> DataFrame:
+             full: bool = False, since: str | None = None, multiline: bool = True) -> DataFrame:
     """Read CDC batches (``full=True``: the full-load files) with an explicit
     text schema, type the given columns and add ``file_time`` from the path.
 
     ``since`` keeps batches strictly newer than that time; the predicate is
     on the partition column, so older batch folders are never listed or read.
+    ``multiline=False`` lets Spark split large files (only when no value
+    contains a line break).
     """
-    reader = spark.read.options(**CSV_OPTIONS).schema(text_schema(columns))
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower()) \
+        .schema(text_schema(columns))
     if full:
         df = reader.csv(f"{path.rstrip('/')}/LOAD")
         return coerce_types(df, types)
