@@ -197,7 +197,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: MergeSpec,
-                     buckets: int, validate: bool = True, like: DataFrame | None = None) -> None:
+                     buckets: int, validate: bool = True, like: DataFrame | None = None) -> int:
     """Apply ``merge_upsert`` to a bucket-partitioned parquet table in place.
 
     The source is written once to the shared folder; touched bucket ids (at
@@ -211,7 +211,7 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: Me
     key = key_bucket(tuple(spec.source_col(k) for k in spec.on), buckets)
     touched = [r[0] for r in source.select(key.alias("b")).distinct().collect()]
     if not touched:
-        return
+        return 0
     if like is not None:
         # Table schema given explicitly: a new, still empty table has no
         # files to infer it from.
@@ -230,3 +230,5 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: Me
         spark.read.parquet(stage).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    # Rows merged, counted on the written source copy (parquet metadata).
+    return source.count()

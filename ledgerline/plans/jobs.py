@@ -29,6 +29,16 @@ from ledgerline.plans.refunds import normalize_refunds
 from ledgerline.sources.cdc_files import initial_load, read_cdc
 
 
+@dataclass(frozen=True)
+class RunResult:
+    """Outcome of one incremental run: the new watermark (None when there
+    was nothing to do) and the number of rows merged (counted on the merge
+    source already written by ``merge_into_table``)."""
+
+    watermark: str | None
+    rows: int = 0
+
+
 @dataclass(frozen=True)
 class CdcSpec:
     """One replicated table: where its batch files are, their columns and
@@ -62,10 +72,10 @@ def _iso(ts) -> str | None:
 
 
 def run_cdc_merge(spark: SparkSession, spec: CdcSpec, table_path: str, store: WatermarkStore,
-                  job: str, buckets: int, run_ts: str | None = None) -> str | None:
+                  job: str, buckets: int, run_ts: str | None = None) -> RunResult:
     """Stage 1: initial load when the table is new, then fold every batch
     newer than the watermark into the table in one merge, and advance the
-    watermark to the newest batch applied.  Returns the new watermark."""
+    watermark to the newest batch applied."""
     data_cols = [c for c in spec.columns if c != "Op"]
     if is_initial(spark, store, spec.dataset, job, table_path):
         snapshot = initial_load(spark, spec.files_path, data_cols, spec.types, run_ts)
@@ -76,12 +86,12 @@ def run_cdc_merge(spark: SparkSession, spec: CdcSpec, table_path: str, store: Wa
     # Progress: one aggregate over the (pruned) batch-time column.
     newest = log.agg(F.max("file_time")).collect()[0][0]
     if newest is None:
-        return None
+        return RunResult(None)
     target_cols = [c for c in spark.read.parquet(table_path).columns if c != BUCKET_COL]
     source = fold_log(log, spec.merge, spec.latest_by, target_cols)
-    merge_into_table(spark, table_path, source, spec.merge, buckets, validate=False)
+    n = merge_into_table(spark, table_path, source, spec.merge, buckets, validate=False)
     store.put(spec.dataset, job, "delta merge", _iso(newest))
-    return _iso(newest)
+    return RunResult(_iso(newest), n)
 
 
 def _ensure_table(spark: SparkSession, path: str, like: DataFrame, on: tuple[str, ...], buckets: int) -> None:
@@ -93,23 +103,27 @@ def run_normalize_purchases(spark: SparkSession, *, payments: DataFrame, refunds
                             versions: DataFrame, events: DataFrame, client_billing: DataFrame,
                             target_path: str, store: WatermarkStore, dataset: str, job: str,
                             buckets: int, run_ts: str | None = None,
-                            progress_col: str = "created_at") -> str | None:
+                            progress_col: str = "created_at") -> RunResult:
     """Stage 2, purchases: payments loaded after the watermark -> purchase
     rows -> merge.  The new watermark is the hold-back minimum of the
     increment's latest ``progress_col`` (load time by default, so filter
     and watermark use one clock) and the other sources' latest load."""
     increment = scan_incremental(payments, "created_at", store.get(dataset, job))
-    if increment.isEmpty():
-        return None
+    # One job: increment size and the hold-back watermark together.
+    sizes = increment.agg(F.count(F.lit(1)).alias("n"))
     progress = holdback_watermark((increment, progress_col), (client_billing, "created_at"),
-                                  (events, "inserted_at")).collect()[0]
+                                  (events, "inserted_at"))
+    progress = (progress.unionByName(sizes, allowMissingColumns=True)
+                .agg(F.max("created_at").alias("created_at"), F.max("n").alias("n")).collect()[0])
+    if not progress["n"]:
+        return RunResult(None)
     rows = normalize_purchases(increment, refunds, versions, events, run_ts=run_ts)
     target = rows.select(*[F.lit(None).cast("bigint").alias("id") if c == "id" else F.col(c)
                            for c in _purchase_columns()])
     _ensure_table(spark, target_path, target, PURCHASE_MERGE.on, buckets)
-    merge_into_table(spark, target_path, rows, PURCHASE_MERGE, buckets, validate=False, like=target)
+    n = merge_into_table(spark, target_path, rows, PURCHASE_MERGE, buckets, validate=False, like=target)
     store.put(dataset, job, "incremental etl", _iso(progress["created_at"]))
-    return _iso(progress["created_at"])
+    return RunResult(_iso(progress["created_at"]), n)
 
 
 def _purchase_columns() -> list[str]:
@@ -120,33 +134,33 @@ def _purchase_columns() -> list[str]:
 def run_normalize_refunds(spark: SparkSession, *, refunds: DataFrame, payments: DataFrame,
                           versions: DataFrame, exclude_patterns: Sequence[str], target_path: str,
                           store: WatermarkStore, dataset: str, job: str, buckets: int,
-                          run_ts: str | None = None, threshold: float = K.FULL_REFUND_THRESHOLD) -> str | None:
+                          run_ts: str | None = None, threshold: float = K.FULL_REFUND_THRESHOLD) -> RunResult:
     """Stage 2, refunds: refunds loaded after the watermark -> merge; the
     watermark advances to the increment's latest load time even when every
     row is filtered out."""
     increment = scan_incremental(refunds, "created_at", store.get(dataset, job))
     newest = latest_ts(increment).collect()[0][0]
     if newest is None:
-        return None
+        return RunResult(None)
     rows = normalize_refunds(increment, payments, versions, exclude_patterns, run_ts=run_ts, threshold=threshold)
     from ledgerline.schemas import NORM_REFUND_COLUMNS
     like = rows.select(*NORM_REFUND_COLUMNS)
     _ensure_table(spark, target_path, like, NORM_REFUND_MERGE.on, buckets)
-    merge_into_table(spark, target_path, rows, NORM_REFUND_MERGE, buckets, validate=False, like=like)
+    n = merge_into_table(spark, target_path, rows, NORM_REFUND_MERGE, buckets, validate=False, like=like)
     store.put(dataset, job, "incremental etl", _iso(newest))
-    return _iso(newest)
+    return RunResult(_iso(newest), n)
 
 
 def run_normalize_disputes(spark: SparkSession, *, disputes: DataFrame, payments: DataFrame,
                            target_path: str, store: WatermarkStore, dataset: str, job: str,
-                           buckets: int, run_ts: str | None = None) -> str | None:
+                           buckets: int, run_ts: str | None = None) -> RunResult:
     """Stage 2, disputes: disputes loaded after the watermark -> merge."""
     increment = scan_incremental(disputes, "created_at", store.get(dataset, job))
     newest = latest_ts(increment).collect()[0][0]
     if newest is None:
-        return None
+        return RunResult(None)
     rows = normalize_disputes(increment, payments, run_ts=run_ts)
     _ensure_table(spark, target_path, rows, NORM_DISPUTE_MERGE.on, buckets)
-    merge_into_table(spark, target_path, rows, NORM_DISPUTE_MERGE, buckets, validate=False, like=rows)
+    n = merge_into_table(spark, target_path, rows, NORM_DISPUTE_MERGE, buckets, validate=False, like=rows)
     store.put(dataset, job, "incremental etl", _iso(newest))
-    return _iso(newest)
+    return RunResult(_iso(newest), n)

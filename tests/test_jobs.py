@@ -31,17 +31,18 @@ def test_stage1_job_incremental_equals_fold(spark):
     write_cdc_batches(log.where(F.col("file_time") <= cut), files)
     spec = CdcSpec("dwh.payment", files, tuple(["Op", *schemas.PAYMENT_COLUMNS]), TYPES, PAYMENT_MERGE,
                    "payment_updated_at")
-    wm1 = run_cdc_merge(spark, spec, table, store, "merge", buckets=4, run_ts=RUN)
-    assert wm1 is not None and wm1 <= cut.isoformat()
+    r1 = run_cdc_merge(spark, spec, table, store, "merge", buckets=4, run_ts=RUN)
+    wm1 = r1.watermark
+    assert wm1 is not None and wm1 <= cut.isoformat() and r1.rows > 0
     write_cdc_batches(log.where(F.col("file_time") > cut), files + "-more")
     import os
     import shutil
     for d in os.listdir(files + "-more"):
         if d.startswith("batch="):
             shutil.copytree(os.path.join(files + "-more", d), os.path.join(files, d))
-    wm2 = run_cdc_merge(spark, spec, table, store, "merge", buckets=4, run_ts=RUN)
+    wm2 = run_cdc_merge(spark, spec, table, store, "merge", buckets=4, run_ts=RUN).watermark
     assert wm2 > wm1
-    assert run_cdc_merge(spark, spec, table, store, "merge", buckets=4, run_ts=RUN) is None
+    assert run_cdc_merge(spark, spec, table, store, "merge", buckets=4, run_ts=RUN).watermark is None
     got = spark.read.parquet(table).drop(BUCKET_COL)
     initial = payments.withColumn("created_at", F.lit(RUN).cast("timestamp_ntz"))
     want = cdc_fold(initial, log, PAYMENT_MERGE, "payment_updated_at")
@@ -57,9 +58,10 @@ def test_stage2_jobs_incremental_equal_one_shot(spark):
     pt, rt, dt = shared_dir(spark, "np"), shared_dir(spark, "nr"), shared_dir(spark, "nd")
     pats = tb.TEST_INTERNAL_EMAIL_PATTERNS
     for source_filter in (early, F.lit(True)):
-        run_normalize_purchases(spark, payments=pay.where(source_filter), refunds=ref, versions=ver, events=ev,
+        res = run_normalize_purchases(spark, payments=pay.where(source_filter), refunds=ref, versions=ver, events=ev,
                                 client_billing=bill.where(F.lit(False)), target_path=pt, store=store,
                                 dataset="purchases", job="n", buckets=4, run_ts=RUN)
+        assert res.rows > 0 and res.watermark is not None
         run_normalize_refunds(spark, refunds=ref.where(source_filter), payments=pay, versions=ver,
                               exclude_patterns=pats, target_path=rt, store=store, dataset="refunds", job="n",
                               buckets=4, run_ts=RUN)
