@@ -55,12 +55,19 @@ def duplicate_source_keys(source: DataFrame, on: tuple[str, ...]) -> DataFrame:
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
-                 validate: bool = False, null_safe: bool = False) -> DataFrame:
+                 validate: bool = False, null_safe: bool = False,
+                 dedupe_by: str | None = None) -> DataFrame:
     """Post-merge table (target's columns, in target order).
 
-    ``validate=True`` runs one extra aggregation job and raises when a key
-    occurs twice in the source (standard MERGE would fail the same way).
+    Duplicate source keys: ``validate=True`` runs one extra aggregation job
+    and raises when a key occurs twice in the source (standard MERGE fails
+    the same way); ``dedupe_by=<time column>`` instead keeps, per key, the
+    source row that is latest in that column and then in the remaining
+    columns (a total order, one partially aggregated ``groupBy``).
     """
+    if dedupe_by is not None:
+        from ledgerline.operators.dedup import latest_per_key
+        source = latest_per_key(source, [spec.source_col(k) for k in spec.on], dedupe_by, ties="one")
     if validate:
         dup = duplicate_source_keys(source.select(*[spec.source_col(k) for k in spec.on]), tuple(
             spec.source_col(k) for k in spec.on))

@@ -90,3 +90,11 @@ def test_merge_into_bucketed_table(spark):
 
 def test_payment_spec_leaves_payload(spark):
     assert "payment_data" not in PAYMENT_MERGE.update and "payment_data" in PAYMENT_MERGE.insert
+
+
+def test_merge_dedupe_by_latest(spark):
+    target = _t(spark, [("a", "old", "d0", 7)])
+    source = spark.createDataFrame([("a", "x", "d1", T1), ("a", "y", "d2", T2), ("b", "z", "d3", T1)],
+                                   "k string, v string, data string, t timestamp_ntz")
+    got = rows(merge_upsert(target, source, SPEC, dedupe_by="t"))
+    assert got == [("a", "y", "d0", 7), ("b", "z", "d3", None)]
