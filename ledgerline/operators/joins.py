@@ -74,6 +74,8 @@ def _epoch_bucket(t: Column, seconds: int | None) -> Column:
 # At most this many heavy keys are broadcast as a list (proven bound: a
 # key is heavy only with more than ``hot_key_rows`` rows).
 MAX_HOT_KEYS = 100_000
+# Partitions over which rows with a NULL join key are spread.
+NULL_KEY_SPREAD = 4096
 
 
 def _nearest(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
@@ -121,6 +123,11 @@ def _nearest(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str
                          .otherwise(F.lit(0).cast("bigint"))).drop("__hot"))
     else:
         u = u.withColumn("__b", _epoch_bucket(F.col("__t"), bucket_seconds))
+    # Left rows without a key have no partner; a deterministic row hash
+    # spreads them (a NULL key could hold a third of all rows).
+    u = u.withColumn("__b", F.when(F.col("__k").isNull(),
+                                   F.lit(-1) - F.pmod(F.xxhash64("__l"), F.lit(NULL_KEY_SPREAD)))
+                     .otherwise(F.col("__b")))
     # Walk forwards in time for as-of, backwards for "next".
     t_order = F.col("__t").desc_nulls_last() if forward else F.col("__t").asc_nulls_first()
     order = [t_order, F.col("__side").asc()]

@@ -97,8 +97,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
     matched = F.col(_T).isNotNull() & F.col(_S).isNotNull()
     target_only = F.col(_S).isNull()
     out = []
+    types = dict(target.dtypes)
     for c in target.columns:
-        dtype = dict(target.dtypes)[c]
+        dtype = types[c]
         if c in spec.update:
             on_match = F.col(_s(spec.source_col(c)))
         else:
