@@ -60,6 +60,13 @@ def fold_log(log: DataFrame, spec: MergeSpec, ts: str, columns: list[str],
     key = list(spec.on)
     cols = [c for c in columns if c in log.columns and c not in key]
     rows = log.where((F.col(OP) == "I") | ((F.col(OP) == "U") & F.col(ts).isNotNull()))
+    # Rows without a complete key never match: every such insert is
+    # appended as it is and such updates are dropped, as per batch.
+    has_key = F.lit(True)
+    for k in key:
+        has_key = has_key & F.col(k).isNotNull()
+    keyless_inserts = rows.where(~has_key & (F.col(OP) == "I")).select(*key, *cols)
+    rows = rows.where(has_key)
     op_rank = F.when(F.col(OP) == "I", 0).otherwise(1)
     last_seq = F.struct(F.col(file_col), op_rank, F.col(ts))
     # Within the first file the latest update creates the key: order update
@@ -76,4 +83,4 @@ def fold_log(log: DataFrame, spec: MergeSpec, ts: str, columns: list[str],
         *key,
         *[F.col(f"__last.row.{c}").alias(c) for c in cols if c not in insert_only],
         *[F.col(f"__first.row.{c}").alias(c) for c in cols if c in insert_only],
-    )
+    ).unionByName(keyless_inserts)

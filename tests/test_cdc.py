@@ -42,6 +42,10 @@ def test_split_ignores_deletes(spark):
 
 def test_fold_equals_sequential_replay(spark):
     data = _log()
+    # keyless rows: both inserts are appended, the update is dropped
+    data += [("I", None, "n1", T0, "pn1", T0 + timedelta(days=1), T0 + timedelta(days=1)),
+             ("I", None, "n2", T0, "pn2", T0 + timedelta(days=2), T0 + timedelta(days=2)),
+             ("U", None, "n3", T0, "pn3", T0 + timedelta(days=2), T0 + timedelta(days=2))]
     log = spark.createDataFrame(data, SCHEMA)
     target = spark.createDataFrame([("t1", "tv", T0, "tp", T0)], "k string, v string, t timestamp_ntz, payload string, loaded timestamp_ntz")
     files = sorted({r[-1] for r in data})
