@@ -54,7 +54,7 @@ def purchase_base(payments: DataFrame, refunds: DataFrame, versions: DataFrame,
         j = join_asof(j, versions, left_key="productTag", right_key="tag",
                       left_time="payment_created_at", right_time="starting_at", tiebreak=["id"],
                       columns=vcols, bucket_seconds=VERSION_BUCKET_SECONDS,
-                      broadcast_max_rows=VERSION_BROADCAST_MAX_ROWS)
+                      broadcast_max_rows=VERSION_BROADCAST_MAX_ROWS, hot_key_rows=HOT_KEY_ROWS)
     elif version_mode == "all":
         j = join_versions_all(j, versions, "productTag", "payment_created_at", vcols)
     else:

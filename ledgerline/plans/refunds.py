@@ -11,7 +11,7 @@ from ledgerline import constants as K
 from ledgerline.functions import extract_payment_fields, is_full_refund, parse_payload, strip_outer_quote
 from ledgerline.functions.coerce import load_time
 from ledgerline.operators.joins import join_asof, join_refund_payment
-from ledgerline.plans.purchases import VERSION_BROADCAST_MAX_ROWS, VERSION_BUCKET_SECONDS
+from ledgerline.plans.purchases import HOT_KEY_ROWS, VERSION_BROADCAST_MAX_ROWS, VERSION_BUCKET_SECONDS
 
 
 def exclude_accounts(email: Column | str, patterns: Sequence[str]) -> Column:
@@ -43,7 +43,7 @@ def normalize_refunds(refunds: DataFrame, payments: DataFrame, versions: DataFra
                   right_time="starting_at", tiebreak=["id"],
                   columns={"id": "product_history_id", "name": "product_name"},
                   bucket_seconds=VERSION_BUCKET_SECONDS,
-                      broadcast_max_rows=VERSION_BROADCAST_MAX_ROWS)
+                      broadcast_max_rows=VERSION_BROADCAST_MAX_ROWS, hot_key_rows=HOT_KEY_ROWS)
     return r.select(
         F.lit(1).alias("q"),
         F.lit(processor).alias("payment_processor"),
