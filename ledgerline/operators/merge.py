@@ -113,6 +113,21 @@ def merge_upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
     return j.select(*out)
 
 
+def merge_sql(spec: MergeSpec, target_table: str, source_view: str) -> str:
+    """The same merge as a standard ``MERGE INTO`` statement, for sessions
+    whose catalog has a row-level table format (Iceberg, Delta): run it
+    with ``spark.sql``.  Columns outside ``spec.insert`` get
+    ``spec.insert_values`` only in the DataFrame form; here they are left
+    to the table default (NULL)."""
+    on = " AND ".join(f"t.{k} = s.{spec.source_col(k)}" for k in spec.on)
+    sets = ", ".join(f"{c} = s.{spec.source_col(c)}" for c in spec.update)
+    cols = ", ".join(spec.insert)
+    vals = ", ".join(f"s.{spec.source_col(c)}" for c in spec.insert)
+    return (f"MERGE INTO {target_table} t USING {source_view} s ON {on} "
+            f"WHEN MATCHED THEN UPDATE SET {sets} "
+            f"WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})")
+
+
 def _any_null(cols) -> Column:
     cond = F.lit(False)
     for c in cols:

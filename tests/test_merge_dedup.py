@@ -98,3 +98,23 @@ def test_merge_dedupe_by_latest(spark):
                                    "k string, v string, data string, t timestamp_ntz")
     got = rows(merge_upsert(target, source, SPEC, dedupe_by="t"))
     assert got == [("a", "y", "d0", 7), ("b", "z", "d3", None)]
+
+
+def test_merge_sql_matches_dataframe_merge(spark):
+    import duckdb
+
+    from ledgerline.operators.merge import NORM_REFUND_MERGE, merge_sql
+    tgt = [("a", "old", "d0", 7), ("c", "keep", "dc", 3), (None, "n", "dn", 1)]
+    src = [("a", "new", "d1"), ("b", "nb", "db"), (None, "x", "dx")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE tt (k VARCHAR, v VARCHAR, data VARCHAR, id BIGINT)")
+    con.executemany("INSERT INTO tt VALUES (?, ?, ?, ?)", tgt)
+    con.execute("CREATE TABLE ss (k VARCHAR, v VARCHAR, data VARCHAR)")
+    con.executemany("INSERT INTO ss VALUES (?, ?, ?)", src)
+    con.execute(merge_sql(SPEC, "tt", "ss"))
+    want = sorted(con.execute("SELECT * FROM tt").fetchall(), key=str)
+    got = sorted([tuple(r) for r in merge_upsert(_t(spark, tgt), spark.createDataFrame(
+        src, "k string, v string, data string"), SPEC).collect()], key=str)
+    assert got == want
+    # source columns feeding differently named target columns
+    assert "created_at = s.payment_created_at" in merge_sql(NORM_REFUND_MERGE, "t", "s")
