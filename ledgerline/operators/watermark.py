@@ -68,18 +68,23 @@ def watermark_put(store: DataFrame, new_rows: DataFrame) -> DataFrame:
 class WatermarkStore:
     """Watermarks kept in a small parquet table in the shared folder.
 
-    The table holds one row per (dataset, job); reading it collects at most
-    that one row to the driver.
+    Every ``put`` writes a complete new snapshot into a new folder
+    ``v=<millis>`` (never overwriting in place): Spark's job commit makes a
+    snapshot appear whole or not at all, so a crash cannot lose the store.
+    Reads take the newest snapshot.  The table holds one row per
+    (dataset, job); reading it collects at most that one row.
     """
 
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path.rstrip("/")
 
     def _read(self) -> DataFrame:
         try:
-            return self.spark.read.schema(WATERMARK_SCHEMA).parquet(self.path)
-        except Exception:  # noqa: BLE001 - no table yet
+            df = self.spark.read.parquet(self.path)
+        except Exception:  # noqa: BLE001 - no snapshot yet
             return self.spark.createDataFrame([], WATERMARK_SCHEMA)
+        newest = df.agg(F.max("v")).collect()[0][0]
+        return df.where(F.col("v") == F.lit(newest)).select(*WATERMARK_SCHEMA.fieldNames())
 
     def get(self, dataset: str, job: str) -> str:
         rows = (self._read().where((F.col("dataset") == dataset) & (F.col("job") == job))
@@ -89,9 +94,9 @@ class WatermarkStore:
     def put(self, dataset: str, job: str, kind: str, iso_ts: str | None) -> None:
         if not iso_ts:
             return
+        import random
+        import time
         new = self.spark.createDataFrame([(dataset, job, kind, iso_ts)], WATERMARK_SCHEMA)
-        # One row per (dataset, job): the table is bounded by the number of
-        # jobs, so it is materialised before its own path is overwritten.
-        merged = watermark_put(self._read(), new).collect()
-        self.spark.createDataFrame(merged, WATERMARK_SCHEMA).coalesce(1) \
-            .write.mode("overwrite").parquet(self.path)
+        # Millisecond clock plus random digits: increasing, and two writers never share a folder.
+        version = f"{self.path}/v={int(time.time() * 1000):015d}{random.randrange(10**4):04d}"
+        watermark_put(self._read(), new).coalesce(1).write.mode("errorifexists").parquet(version)
