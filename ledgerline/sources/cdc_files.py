@@ -52,20 +52,24 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 
 def read_cdc(spark: SparkSession, path: str, columns: list[str], types: dict[str, str],
-             full: bool = False, since: str | None = None, multiline: bool = True) -> DataFrame:
+             full: bool = False, since: str | None = None, multiline: bool = True,
+             repair: tuple[str, ...] = ()) -> DataFrame:
     """Read CDC batches (``full=True``: the full-load files) with an explicit
     text schema, type the given columns and add ``file_time`` from the path.
 
     ``since`` keeps batches strictly newer than that time; the predicate is
     on the partition column, so older batch folders are never listed or read.
     ``multiline=False`` lets Spark split large files (only when no value
-    contains a line break).
+    contains a line break).  ``repair`` names payload columns of legacy
+    exports (quotes doubled, no escape character) to run through
+    :func:`ledgerline.functions.repair_quotes`; correctly escaped files
+    need no repair.
     """
     reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower()) \
         .schema(text_schema(columns))
     if full:
         df = reader.csv(f"{path.rstrip('/')}/LOAD")
-        return coerce_types(df, types)
+        return _repair(coerce_types(df, types), repair)
     df = reader.option("basePath", path).csv(batch_glob(path))
     if "batch" in df.columns:
         # Partition column: batches at or before ``since`` are pruned at listing.
@@ -76,7 +80,12 @@ def read_cdc(spark: SparkSession, path: str, columns: list[str], types: dict[str
         df = df.withColumn("file_time", file_time())
         if since:
             df = df.where(F.col("file_time") > F.lit(since).cast("timestamp_ntz"))
-    return coerce_types(df, types)
+    return _repair(coerce_types(df, types), repair)
+
+
+def _repair(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    from ledgerline.functions.text import repair_quotes
+    return df.withColumns({c: repair_quotes(c) for c in columns}) if columns else df
 
 
 def pending_batches(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
