@@ -62,17 +62,37 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     unset (local tests) is a private temporary folder created and registered.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(base)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
     return base.rstrip("/") + "/" + (name or "tmp") + "-" + uuid.uuid4().hex[:12]
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None in a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no context
+        return None
+
+
+def app_id(spark: SparkSession) -> str:
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
+def parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return max(sc.defaultParallelism, 1)
+    return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def materialize(df, name: str = "stage"):
     """Cut the lineage of ``df``: write it once as parquet to a fresh folder
     under the shared checkpoint folder and continue from the written copy

@@ -75,9 +75,9 @@ def lake_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     import uuid
 
-    from ledgerline.session import shared_dir
+    from ledgerline.session import app_id, shared_dir
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    key = (app_id(spark), sf_dir.rstrip("/"), name)
     table = _LAKE.get(key)
     if table is None:
         path = shared_dir(spark, f"lake-{name}")
@@ -92,7 +92,8 @@ def lake_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def lake_buckets(spark: SparkSession) -> int:
     """Bucket count shared by all lake tables (co-located joins need equal
     counts); here the cluster's default parallelism."""
-    return max(spark.sparkContext.defaultParallelism, 1)
+    from ledgerline.session import parallelism
+    return parallelism(spark)
 
 
 def _ntz(s: str) -> Column:
