@@ -136,3 +136,20 @@ def test_asof_broadcast_plan_does_not_shuffle_facts(spark):
                   columns={"id": "vid"}, bucket_seconds=86400, broadcast_max_rows=1000)
     plan = j._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Window" not in plan.split("BroadcastExchange")[0]
+
+
+@pytest.mark.parametrize("bcast", [0, 10**6])
+def test_asof_equals_ranked_versions_all(spark, bcast):
+    rnd = random.Random(21)
+    keys = [f"k{i}" for i in range(5)]
+    facts = [(i, rnd.choice(keys), T0 + timedelta(days=rnd.randrange(300))) for i in range(150)]
+    versions = [(100 + j, rnd.choice(keys), T0 + timedelta(days=rnd.randrange(300))) for j in range(40)]
+    L = spark.createDataFrame(facts, "i long, k string, t timestamp_ntz")
+    R = spark.createDataFrame(versions, "id long, tag string, starting_at timestamp_ntz")
+    fan = join_versions_all(L, R.withColumn("vstart", F.col("starting_at")), "k", "t",
+                            {"id": "vid", "vstart": "vstart"})
+    w = Window.partitionBy("i").orderBy(F.col("vstart").desc_nulls_last(), F.col("vid").desc_nulls_last())
+    ranked = fan.withColumn("rk", F.row_number().over(w)).where("rk = 1").select("i", "k", "t", "vid")
+    fast = join_asof(L, R, left_key="k", right_key="tag", left_time="t", right_time="starting_at", tiebreak=["id"],
+                     columns={"id": "vid"}, bucket_seconds=20 * 86400, broadcast_max_rows=bcast)
+    assert rows(fast) == rows(ranked)
