@@ -12,10 +12,12 @@ from ledgerline.functions import (extract_payment_fields, is_fully_refunded_shor
                                   operational_costs, parse_payload, processing_fee,
                                   purchase_flags, state_name, strip_outer_quote)
 from ledgerline.functions.coerce import load_time
-from ledgerline.operators.joins import join_asof, join_next, join_versions_all
+from ledgerline.operators.joins import join_asof, join_next, join_payment_refund, join_versions_all
+from ledgerline.schemas import payment_payload_ddl
 from ledgerline.session import materialize
 
-# Time buckets that split a hot product tag / e-mail into bounded partitions.
+# Time buckets of the version intervals (broadcast path) and of heavy
+# product tags (windowed path).
 VERSION_BUCKET_SECONDS = 90 * 86400
 # Keys (e-mails) with more rows than HOT_KEY_ROWS are split into hourly
 # buckets; all other keys are one partition each.
@@ -29,7 +31,6 @@ VERSION_BROADCAST_MAX_ROWS = 1_000_000
 def prepare_payments(payments: DataFrame, package_field: str | None = None) -> DataFrame:
     """Strip the outer quotes of the payload, parse it and pull the product
     tag, provider name and provider id (``''`` when missing)."""
-    from ledgerline.schemas import payment_payload_ddl
     ddl = payment_payload_ddl(package_field) if package_field else None
     parsed = parse_payload(strip_outer_quote("payment_data"), "payment", ddl=ddl)
     fields = extract_payment_fields(parsed)
@@ -44,10 +45,8 @@ def purchase_base(payments: DataFrame, refunds: DataFrame, versions: DataFrame,
     payment (one row per payment).  ``"all"``: every earlier version (the
     definition form; a payment fans out over its versions).
     """
-    p = prepare_payments(payments)
-    r = refunds.select("payment_intent_id", F.col("amount_refunded").alias("refunded_amount"),
-                       F.col("payment_refunded_at").alias("refunded_at"))
-    j = p.join(r, "payment_intent_id", "left")
+    j = join_payment_refund(prepare_payments(payments), refunds) \
+        .withColumnRenamed("amount_refunded", "refunded_amount")
     vcols = {"operational_costs": "new_operational_costs", "id": "product_history_id",
              "name": "product_name", "category": "product_category"}
     if version_mode == "asof":
