@@ -60,6 +60,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds any files (listing only, no job)."""
+    try:
+        spark.read.format("text").load(path).schema  # noqa: B018
+        return True
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def is_initial(spark: SparkSession, store: WatermarkStore, dataset: str, job: str, table_path: str) -> bool:
     """No watermark yet and the target table is missing or empty."""
     if store.get(dataset, job) != NO_WATERMARK:
@@ -77,7 +86,8 @@ def run_cdc_merge(spark: SparkSession, spec: CdcSpec, table_path: str, store: Wa
     newer than the watermark into the table in one merge, and advance the
     watermark to the newest batch applied."""
     data_cols = [c for c in spec.columns if c != "Op"]
-    if is_initial(spark, store, spec.dataset, job, table_path):
+    if is_initial(spark, store, spec.dataset, job, table_path) and \
+            path_exists(spark, f"{spec.files_path.rstrip('/')}/LOAD"):
         snapshot = initial_load(spark, spec.files_path, data_cols, spec.types, run_ts)
         write_table(snapshot, table_path, spec.merge.on, buckets)
     since = store.get(spec.dataset, job)
@@ -87,9 +97,15 @@ def run_cdc_merge(spark: SparkSession, spec: CdcSpec, table_path: str, store: Wa
     newest = log.agg(F.max("file_time")).collect()[0][0]
     if newest is None:
         return RunResult(None)
-    target_cols = [c for c in spark.read.parquet(table_path).columns if c != BUCKET_COL]
+    like = None
+    if not table_exists(spark, table_path):
+        # No full load: the table starts empty, with the batches' columns.
+        like = log.select(*[c for c in data_cols if c != "file_time"])
+        _ensure_table(spark, table_path, like, spec.merge.on, buckets)
+    target_cols = like.columns if like is not None else \
+        [c for c in spark.read.parquet(table_path).columns if c != BUCKET_COL]
     source = fold_log(log, spec.merge, spec.latest_by, target_cols)
-    n = merge_into_table(spark, table_path, source, spec.merge, buckets, validate=False)
+    n = merge_into_table(spark, table_path, source, spec.merge, buckets, validate=False, like=like)
     store.put(spec.dataset, job, "delta merge", _iso(newest))
     return RunResult(_iso(newest), n)
 

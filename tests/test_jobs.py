@@ -93,3 +93,18 @@ def test_replaying_a_run_changes_only_processed_at(spark):
     assert rows(second.drop("processed_at")) == first
     assert {r[0] for r in second.select("processed_at").distinct().collect()} == {
         __import__("datetime").datetime(2024, 7, 1)}
+
+
+def test_stage1_without_full_load_starts_empty(spark):
+    log = tb.cdc_log(spark, SMALL)
+    files, table = shared_dir(spark, "nofull-files"), shared_dir(spark, "nofull-table")
+    write_cdc_batches(log, files)
+    store = WatermarkStore(spark, shared_dir(spark, "nofull-wm"))
+    spec = CdcSpec("dwh.payment", files, tuple(["Op", *schemas.PAYMENT_COLUMNS]), TYPES, PAYMENT_MERGE,
+                   "payment_updated_at")
+    res = run_cdc_merge(spark, spec, table, store, "merge", buckets=4)
+    assert res.watermark is not None
+    empty = tb.payments(spark, SMALL).limit(0)
+    want = cdc_fold(empty, log, PAYMENT_MERGE, "payment_updated_at")
+    got = spark.read.parquet(table).drop(BUCKET_COL)
+    assert rows(got.select(*want.columns)) == rows(want)
