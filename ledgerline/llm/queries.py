@@ -2,13 +2,18 @@
 
 from ledgerline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from ledgerline.llm.mixing import OP6_SQL, op6_mixing
+from ledgerline.llm.packing import op3_best_fit_packing
+from ledgerline.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op6_mixing": op6_mixing,
 }
 
 ORACLE_SQL = {
+    "op1_warc": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
     "op6_mixing": OP6_SQL,
 }
