@@ -20,7 +20,7 @@ __all__ = ["BROADCAST_ROWS", "A_Z", "load", "materialize", "parallelism", "ids_a
 BROADCAST_ROWS = 500_000
 A_Z = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Text bytes that a task holds as word arrays at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -72,7 +72,7 @@ def words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray,
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     coded = lists.flatten().dictionary_encode()
     ids = coded.indices.to_numpy(zero_copy_only=False)
-    vocab = coded.dictionary.to_pylist()
+    vocab = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist()
     at = lists.offsets.to_numpy().astype(np.int64)
     at = at - at[0]
     if "" in vocab:  # what splitting leaves at the ends

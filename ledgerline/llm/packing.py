@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -37,18 +39,46 @@ NEARLY_FULL = 16
 TASK_ITEMS = 100_000
 MERGE = 4
 #: Words that a Python worker remembers with their ids.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 TAIL = re.compile(r"(?<=[^\W_])([.,]+)$")
 
 _TOKENIZERS: dict[str, object] = {}
-_IDS: dict[str, dict[str, np.ndarray]] = {}
+_IDS: dict[str, dict[str, bytes]] = {}
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
 BIN = f"used int, members array<struct<{PIECE.replace(' long', ': long').replace(' int', ': int')}, at: int>>"
 
 
-def word_ids(vocab: list[str], tokenizer: str) -> list[np.ndarray]:
-    """The ids of each word, remembered by the worker.
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: printable bytes stand for themselves, others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+def _encoded(new: list[str], tokenizer) -> list[bytes]:
+    """The ids of each word.  A word of letters alone is one token group, whose merges are asked of the model without the splitting rules."""
+    out: list[bytes | None] = [None] * len(new)
+    rest = []
+    for i, w in enumerate(new):
+        low = w.lower()
+        if low.isalpha() and "\u03a3" not in w and is_normalized("NFC", w):
+            found = tokenizer.model.tokenize(low if low.isascii() else low.encode().decode("latin-1").translate(BYTE_LETTERS))
+            out[i] = array("I", [t.id for t in found]).tobytes()
+        else:
+            rest.append(i)
+    for k in range(0, len(rest), 20_000):
+        some = rest[k:k + 20_000]
+        for i, e in zip(some, tokenizer.encode_batch_fast([new[i] for i in some], add_special_tokens=False), strict=True):
+            out[i] = array("I", e.ids).tobytes()
+    return out
+
+
+def word_ids(vocab: list[str], tokenizer: str) -> list[bytes]:
+    """The ids of each word as unsigned 32-bit numbers, remembered by the worker.
 
     A final run of dots and commas after a letter or digit is a token group of
     its own (the tokenizer splits there), so such words share their stem.
@@ -60,13 +90,15 @@ def word_ids(vocab: list[str], tokenizer: str) -> list[np.ndarray]:
     known = _IDS.setdefault(tokenizer, {})
     if len(known) > CACHE_WORDS:
         known.clear()
-    parts = [(w[:m.start()], m[1]) if (m := TAIL.search(w)) else (w, "") for w in vocab]
-    new = list({p for pair in parts for p in pair if p not in known})
-    for i in range(0, len(new), 20_000):
-        some = new[i:i + 20_000]
-        for w, e in zip(some, _TOKENIZERS[tokenizer].encode_batch_fast(some, add_special_tokens=False), strict=True):
-            known[w] = np.array(e.ids, "<u4")
-    return [np.concatenate((known[a], known[b])) if b else known[a] for a, b in parts]
+    got = list(map(known.get, vocab))
+    new = [w for w, v in zip(vocab, got, strict=True) if v is None]
+    if not new:
+        return got
+    parts = [(w[:m.start()], m[1]) if (m := TAIL.search(w)) else (w, "") for w in new]
+    stems = list({p for pair in parts for p in pair if p not in known})
+    known.update(zip(stems, _encoded(stems, _TOKENIZERS[tokenizer]), strict=True))
+    known.update({a + b: known[a] + known[b] for a, b in parts if b})
+    return list(map(known.__getitem__, vocab))
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -80,8 +112,8 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
             for part in slices(batch, "text"):
                 at, ids, vocab = words(part.column("text"))
                 got = word_ids(vocab, tokenizer)
-                size = np.fromiter(map(len, got), np.int64, len(got))
-                flat = np.concatenate([*got, np.array([end_id], "<u4")])
+                size = np.fromiter(map(len, got), np.int64, len(got)) // 4
+                flat = np.append(np.frombuffer(b"".join(got), "<u4"), np.uint32(end_id))
                 starts = np.concatenate([[0], np.cumsum(size)])
                 # Where each word's ids come from; an end id after each text.
                 ends = at[1:]
