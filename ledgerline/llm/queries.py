@@ -3,6 +3,7 @@
 from ledgerline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from ledgerline.llm.mixing import OP6_SQL, op6_mixing
 from ledgerline.llm.packing import op3_best_fit_packing
+from ledgerline.llm.toxicity import op10_toxicity
 from ledgerline.llm.warc import OP1_SQL, op1_warc
 
 QUERIES = {
@@ -10,6 +11,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_mixing": op6_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL = {
