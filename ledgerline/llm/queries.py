@@ -3,6 +3,7 @@
 from ledgerline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from ledgerline.llm.mixing import OP6_SQL, op6_mixing
 from ledgerline.llm.packing import op3_best_fit_packing
+from ledgerline.llm.substring import OP9_SQL, op9_substring_dedup
 from ledgerline.llm.toxicity import op10_toxicity
 from ledgerline.llm.warc import OP1_SQL, op1_warc
 
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_mixing": op6_mixing,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
@@ -18,4 +20,5 @@ ORACLE_SQL = {
     "op1_warc": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
     "op6_mixing": OP6_SQL,
+    "op9_substring_dedup": OP9_SQL,
 }
