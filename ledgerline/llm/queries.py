@@ -1,5 +1,6 @@
 """The operators' registered queries, and DuckDB SQL for those that SQL can express."""
 
+from ledgerline.llm.embed_dedup import op8_embedding_near_dedup
 from ledgerline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from ledgerline.llm.mixing import OP6_SQL, op6_mixing
 from ledgerline.llm.packing import op3_best_fit_packing
@@ -12,6 +13,7 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_mixing": op6_mixing,
+    "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
 }
