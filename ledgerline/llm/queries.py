@@ -2,6 +2,7 @@
 
 from ledgerline.llm.embed_dedup import op8_embedding_near_dedup
 from ledgerline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from ledgerline.llm.hmm import op4_hmm_scoring
 from ledgerline.llm.jaccard import op5_ngram_jaccard
 from ledgerline.llm.mixing import OP6_SQL, op6_mixing
 from ledgerline.llm.packing import op3_best_fit_packing
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_hmm_scoring": op4_hmm_scoring,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_mixing": op6_mixing,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
