@@ -6,6 +6,7 @@ from ledgerline.llm.hmm import op4_hmm_scoring
 from ledgerline.llm.jaccard import op5_ngram_jaccard
 from ledgerline.llm.mixing import OP6_SQL, op6_mixing
 from ledgerline.llm.packing import op3_best_fit_packing
+from ledgerline.llm.pii import op7_pii_pseudonyms
 from ledgerline.llm.substring import OP9_SQL, op9_substring_dedup
 from ledgerline.llm.toxicity import op10_toxicity
 from ledgerline.llm.warc import OP1_SQL, op1_warc
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_hmm_scoring": op4_hmm_scoring,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_mixing": op6_mixing,
+    "op7_pii_pseudonyms": op7_pii_pseudonyms,
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
