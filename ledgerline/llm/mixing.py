@@ -35,12 +35,16 @@ MOST_EPOCHS = 2
 BUCKETS = 4096
 
 
-def sizes_of(docs: DataFrame, seed: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source, size, b1, b2: the words of each text, and its place in the seeded order."""
+def _place(docs: DataFrame, seed: str, id_col: str, text_col: str, source_col: str) -> list:
+    """Columns source, size, b1, b2: the words of each text, and its place in the seeded order."""
     size = F.coalesce(F.regexp_count(docs[text_col], F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), size.alias("size"))
-    digest = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")))
-    return rows.select("*", F.conv(F.substring(digest, 1, 3), 16, 10).cast("int").alias("b1"), F.conv(F.substring(digest, 4, 3), 16, 10).cast("int").alias("b2"))
+    digest = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(docs[id_col].cast("string"), F.lit("")), size.cast("string")))
+    return [docs[source_col].alias("source"), size.alias("size"), F.conv(F.substring(digest, 1, 3), 16, 10).cast("int").alias("b1"), F.conv(F.substring(digest, 4, 3), 16, 10).cast("int").alias("b2")]
+
+
+def sizes_of(docs: DataFrame, seed: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """doc_id, source, size, b1, b2 of each document."""
+    return docs.select(docs[id_col].alias("doc_id"), *_place(docs, seed, id_col, text_col, source_col))
 
 
 def water_fill(sources: DataFrame, share: float = SHARE, epochs: float = MOST_EPOCHS) -> DataFrame:
@@ -57,13 +61,8 @@ def water_fill(sources: DataFrame, share: float = SHARE, epochs: float = MOST_EP
         sources = materialize(sources.withColumn("clamped", F.col("clamped") | over), "sources")
 
 
-def mix(df: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = MOST_EPOCHS, seed: str = "mix-1",
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: doc_id, size, source_size, target (the source's words in the mix), taken, repetitions.
-
-    ``weights`` repeat over the sources in code point order, null last.
-    """
-    docs = materialize(sizes_of(df, seed, id_col, text_col, source_col), "sizes")
+def mix_plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = MOST_EPOCHS) -> DataFrame:
+    """One row per source: source, source_size, target, whole (repetitions of every document), cut1 and cut2 (documents up to these get one more)."""
     sources = global_rank(docs.groupBy("source").agg(F.sum("size").alias("source_size")), "source", "rank")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     sources = water_fill(sources.withColumn("weight", weight).drop("rank"), share, epochs)
@@ -80,24 +79,46 @@ def mix(df: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = MOST
     some = sources.select(F.col("source").alias("s1"), "need").where("need > 0.5")
     first = docs.groupBy("source", "b1").agg(F.sum("size").alias("words")).join(some, of("source", "s1")).drop("s1").withColumn("zero", F.lit(0.0))
     first = materialize(crossing(first, "zero", "need", "b1", "cut1").join(some, of("source", "s1")).drop("s1"), "cut1")
-    inside = first.withColumnsRenamed({"source": "s2", "from": "before"})
-    second = (docs.join(F.broadcast(inside) if (n := first.count()) <= 100_000 else inside, of("source", "s2") & (F.col("b1") == F.col("cut1")))
+    inside = first.select(F.col("source").alias("s2"), "cut1", F.col("from").alias("before"), "need")
+    second = (checked_join(docs, inside, of("source", "s2") & (F.col("b1") == F.col("cut1")))
               .groupBy("source", "b2").agg(F.sum("size").alias("words"), F.first("before").alias("before"), F.first("need").alias("need")))
-    del n
     # The crossing bucket is taken if that comes nearer to the target than leaving it.
     run = W.partitionBy("source").orderBy("b2")
     second = second.withColumn("upto", F.col("before") + F.sum("words").over(run)).where(F.col("upto") - F.col("words") / 2.0 <= F.col("need"))
     second = second.groupBy(F.col("source").alias("s3")).agg(F.max("b2").alias("cut2"))
     plan = (sources.join(first.select(F.col("source").alias("s4"), "cut1"), of("source", "s4"), "left").drop("s4")
             .join(second, of("source", "s3"), "left").drop("s3")
-            .select(F.col("source").alias("s5"), "source_size", "target", "whole", "cut1", F.coalesce("cut2", F.lit(-1)).alias("cut2")))
-    plan = materialize(plan, "mix-plan")
+            .select(F.col("source").alias("plan_source"), "source_size", "target", "whole", "cut1", F.coalesce("cut2", F.lit(-1)).alias("cut2")))
+    return materialize(plan, "mix-plan")
+
+
+def _repetitions(epochs: int):
     extra = F.coalesce((F.col("b1") < F.col("cut1")) | ((F.col("b1") == F.col("cut1")) & (F.col("b2") <= F.col("cut2"))), F.lit(False)).cast("long")
-    out = checked_join(docs, plan, of("source", "s5"))
-    times = F.col("whole") + F.when(F.col("whole") < epochs, extra).otherwise(0)
+    return F.col("whole") + F.when(F.col("whole") < epochs, extra).otherwise(0)
+
+
+def mix(df: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = MOST_EPOCHS, seed: str = "mix-1",
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per document: doc_id, size, source_size, target (the source's words in the mix), taken, repetitions.
+
+    ``weights`` repeat over the sources in code point order, null last.
+    """
+    docs = materialize(sizes_of(df, seed, id_col, text_col, source_col), "sizes")
+    out = checked_join(docs, mix_plan(docs, weights, share, epochs), F.col("source").eqNullSafe(F.col("plan_source")))
+    times = _repetitions(epochs)
     return out.select("doc_id", "size", "source_size", "target", (times * F.col("size")).alias("taken"), times.alias("repetitions"))
 
 
+def mixed(df: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: int = MOST_EPOCHS, seed: str = "mix-1",
+          id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``df``, all columns, each as often as the mix takes it."""
+    plan = mix_plan(materialize(sizes_of(df, seed, id_col, text_col, source_col), "sizes"), weights, share, epochs)
+    row = F.struct(*[df[c] for c in df.columns]).alias("row")
+    rows = df.select(row, *_place(df, seed, id_col, text_col, source_col))
+    rows = checked_join(rows, plan, F.col("source").eqNullSafe(F.col("plan_source"))).withColumn("times", _repetitions(epochs))
+    return rows.where("times > 0").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select("row.*")
+
+
 def op6_mixing(spark, sf_dir: str) -> DataFrame:
     return mix(load(spark, sf_dir, "documents"))
 
