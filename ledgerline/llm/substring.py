@@ -11,17 +11,20 @@ can repeat travel to the shard that can answer for them:
 1. Each window is named by the smallest hash among its ``gram``-word sequences
    (its anchor).  Equal windows have equal anchors; neighbouring windows mostly
    share one, so a document yields a row per run of windows, not per word.
-2. Anchors that occur once in the corpus cannot belong to a repeated window;
-   only the runs of the others go on, as word sequences.
-3. Equal sequences are merged, with their number, before the shuffle.  A shard
-   holds all sequences of an anchor.  It builds one suffix automaton of them,
-   with the number of places of each state, and streams every sequence through
-   it: the matching statistics at each word give the state of the last
+2. Anchors that occur once in the corpus cannot belong to a repeated window.
+   Where all runs of an anchor are one and the same sequence in several places,
+   every window in them repeats.  Only the runs of other anchors go on, as word
+   sequences, equal ones of a task's texts merged with their number.
+3. A shard holds all sequences of an anchor.  It builds one suffix automaton of
+   them, with the number of places of each state, and streams every sequence
+   through it: the matching statistics at each word give the state of the last
    ``width`` words, and a state with two places or more marks the window.
 4. An anchor with more than ``most`` different sequences (a short phrase that is
    everywhere, in ever different company) would make an unbounded shard.  Its
    windows are dealt by their own hash and counted there, which is exact as well.
 
+Words and sequences are compared by 64-bit hashes.
+
 Defined cases: a null or empty text has no words; fewer than ``width`` words
 are never removed; rows repeated with one id and text count as two places;
 null ids are kept; an empty table gives no rows; further columns are ignored.
@@ -39,10 +42,10 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import hash_words, ids_and_texts, load, materialize, mix64, shingles, slices, words
 
 WIDTH = 35
-GRAM = 20
+GRAM = 12
 #: Different sequences of an anchor in one automaton.
 MOST = 2_000
-#: Windows of a run that travel as one sequence.
+#: Longer runs of windows (a phrase over and over) are cut.
 RUN = 256
 #: Joined without moving the texts while the other side has at most so many bytes.
 BROADCAST_BYTES = 32 << 20
@@ -55,81 +58,85 @@ def with_text(docs: DataFrame, written: DataFrame, size, how: str) -> DataFrame:
 
 
 def runs(texts: pa.Array, width: int, gram: int):
-    """Word hashes, text offsets, and the runs of windows with one anchor: first window, end, anchor, places of the anchor."""
+    """Word hashes, text offsets, and the runs of windows with one anchor: first window, end, anchor, places of the anchor, hash of the words."""
     at, ids, vocab = words(texts, lower=False)
     h = hash_words(vocab)[ids] if len(ids) else np.zeros(0, np.uint64)
     span = width - gram + 1  # grams of a window
     n = len(h) - width + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
-        return h, at, none, none, np.zeros(0, np.uint64), none
+        return h, at, none, none, none.view(np.uint64), none, none.view(np.uint64)
     grams = shingles(h, gram)
     # Ordered by hash, then by place, so that of equal grams the first is taken in every copy of a window.
-    bits = np.uint64(max(int(len(grams)).bit_length(), 1))
-    key = ((grams >> bits) << bits) | np.arange(len(grams), dtype=np.uint64)
-    least, done = key, 1
+    bits = np.uint64(len(grams).bit_length())
+    least, done = ((grams >> bits) << bits) | np.arange(len(grams), dtype=np.uint64), 1
     while done < span:
         step = min(done, span - done)
         least = np.minimum(least[:-step], least[step:])
         done += step
     place = (least[:n] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-    inside = np.zeros(n + 1, np.int64)
-    last = np.maximum(at[1:] - width + 1, at[:-1])  # end of each text's windows
-    np.add.at(inside, np.minimum(at[:-1], n), 1)
-    np.add.at(inside, np.minimum(last, n), -1)
-    ok = np.cumsum(inside)[:n] > 0
     anchor = grams[place]
-    first = np.zeros(n, bool)
-    first[at[:-1][at[:-1] < n]] = True
-    new = ok & (first | np.concatenate([[True], (anchor[1:] != anchor[:-1]) | ~ok[:-1]]))
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, np.minimum(at[:-1], n), 1)
+    np.add.at(edge, np.minimum(np.maximum(at[1:] - width + 1, at[:-1]), n), -1)
+    ok = np.cumsum(edge)[:n] > 0  # windows that do not run over a text's end
+    new = ok.copy()
+    new[1:] &= (anchor[1:] != anchor[:-1]) | ~ok[:-1]
+    new[at[:-1][at[:-1] < n]] |= ok[at[:-1][at[:-1] < n]]
     start = np.flatnonzero(new)
-    stop = np.concatenate([start[1:], [n]])
-    bad = np.cumsum(~ok)  # windows over a text's end follow its last run
-    stop = stop - (bad[stop - 1] - np.where(start > 0, bad[start - 1], 0)) if len(start) else stop
+    good = np.concatenate([[0], np.cumsum(ok)])
+    stop = start + (good[np.append(start[1:], n)] - good[start])
+    pieces = -(-(stop - start) // RUN)
+    k = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    stop = np.minimum(np.repeat(stop, pieces), np.repeat(start, pieces) + RUN * (k + 1))
+    start = np.repeat(start, pieces) + RUN * k
     moved = np.concatenate([[True], place[1:] != place[:-1]]) | new
     upto = np.concatenate([[0], np.cumsum(moved & ok)])
-    return h, at, start, stop, anchor[start], upto[stop] - upto[start]
+    places = upto[stop] - upto[start] + ~moved[start]
+    base, back = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+    powers = np.cumprod(np.append(np.uint64(1), np.full(len(h), base)))
+    inverse = np.cumprod(np.append(np.uint64(1), np.full(len(h), back)))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * powers[:-1])])
+    end = stop + width - 1
+    content = mix64((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+    return h, at, start, stop, anchor[start], places, content
+
+
+ANCHORS = "anchor long, content long, key long, first int, n int, places int"
 
 
 def anchors(docs: DataFrame, width: int, gram: int) -> DataFrame:
-    """(anchor, key, run, places): one row per run of windows."""
+    """One row per run of windows: its anchor, hash of its words, text, first window in the text, windows, places of the anchor."""
 
     def find(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                _, at, start, _, anchor, places = runs(part.column("text"), width, gram)
+                _, at, start, stop, anchor, places, content = runs(part.column("text"), width, gram)
                 doc = np.searchsorted(at, start, side="right") - 1
-                number = np.arange(len(start)) - np.searchsorted(start, at[:-1])[doc] if len(start) else start
-                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), part.column("key").take(pa.array(doc)), pa.array(number.astype(np.int32)),
-                                                  pa.array(places.astype(np.int32))], ["anchor", "key", "run", "places"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), part.column("key").take(pa.array(doc)), pa.array((start - at[doc]).astype(np.int32)),
+                     pa.array((stop - start).astype(np.int32)), pa.array(places.astype(np.int32))], [c.split()[0] for c in ANCHORS.split(", ")])
 
-    return docs.mapInArrow(find, "anchor long, key long, run int, places int")
+    return docs.mapInArrow(find, ANCHORS)
 
 
 def sequences(chosen: DataFrame, width: int, gram: int) -> DataFrame:
-    """(anchor, content, words, key, start): the chosen runs as word-hash sequences, of at most RUN windows each."""
+    """(anchor, content, words, copies): the chosen runs as word-hash sequences, equal ones of a task's texts once."""
 
     def cut(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                h, at, start, stop, anchor, _ = runs(part.column("text"), width, gram)
-                begins = np.searchsorted(start, at[:-1])
-                keys, texts = part.column("key").to_pylist(), part.column("runs").to_pylist()
-                cols = [[], [], [], [], []]
-                for doc, picked in enumerate(texts):
-                    for r in picked:
-                        i = begins[doc] + r
-                        for s in range(int(start[i]), int(stop[i]), RUN):
-                            e = min(s + RUN, int(stop[i]))
-                            data = h[s:e + width - 1].tobytes()
-                            for c, v in zip(cols, (int(anchor[i].view(np.int64)), hashlib.blake2b(data, digest_size=16).digest(), data, keys[doc], s - int(at[doc])), strict=True):
-                                c.append(v)
-                    if len(cols[0]) > 20_000 or doc == len(texts) - 1:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32()), strict=True)],
-                                                         ["anchor", "content", "words", "key", "start"])
-                        cols = [[], [], [], [], []]
-
-    return chosen.select("key", "text", "runs").mapInArrow(cut, "anchor long, content binary, words binary, key long, start int")
+                h, at, start, stop, anchor, _, content = runs(part.column("text"), width, gram)
+                picked = np.concatenate([a + np.array(f, np.int64) for a, f in zip(at[:-1].tolist(), part.column("firsts").to_pylist(), strict=True)])
+                picked = np.searchsorted(start, picked)
+                of, one, copies = np.unique(np.stack([anchor[picked], content[picked]], 1), axis=0, return_index=True, return_counts=True)
+                data = [h[start[i]:stop[i] + width - 1].tobytes() for i in picked[one].tolist()]
+                for s in range(0, len(data), 10_000):
+                    e = s + 10_000
+                    yield pa.RecordBatch.from_arrays([pa.array(of[s:e, 0].view(np.int64)), pa.array(of[s:e, 1].view(np.int64)), pa.array(data[s:e], pa.binary()), pa.array(copies[s:e].astype(np.int64))],
+                                                     ["anchor", "content", "words", "copies"])
+
+    return chosen.select("text", "firsts").mapInArrow(cut, "anchor long, content long, words binary, copies long")
 
 
 class SuffixAutomaton:
@@ -205,55 +212,61 @@ def _spans(marks) -> bytes:
     return edge.astype("<i4").tobytes()
 
 
-def shard_spans(contents: DataFrame, width: int) -> DataFrame:
-    """(content, spans) of the contents with repeated windows.  ``contents``: anchor, content, words, copies; rows of an anchor are together and in a row."""
+SPANS = "anchor long, content long, spans binary"
+
+
+def _rows_of(found: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "content", "spans"])
+
+
+def shard_spans(seqs: DataFrame, width: int) -> DataFrame:
+    """(anchor, content, spans) of the sequences with repeated windows.  Rows of an anchor come in a row."""
 
-    def judge(group):
-        if len(group) == 1 and group[0][2] >= 2:  # one sequence, in several places
-            n = len(group[0][1]) // 8 - width + 1
-            return [(group[0][0], _spans(np.ones(n, np.int8)))]
+    def judge(anchor, group: dict):
         auto = SuffixAutomaton()
-        seqs = [np.frombuffer(w, np.uint64).tolist() for _, w, _ in group]
-        for s, (_, _, copies) in zip(seqs, group, strict=True):
-            auto.add(s, copies)
+        for data, copies in group.values():
+            auto.add(np.frombuffer(data, np.uint64).tolist(), copies)
         auto.close()
-        found = ((content, auto.repeated(s, width)) for s, (content, _, _) in zip(seqs, group, strict=True))
-        return [(content, _spans(marks)) for content, marks in found if any(marks)]
+        for content, (data, _) in group.items():
+            marks = auto.repeated(np.frombuffer(data, np.uint64).tolist(), width)
+            if any(marks):
+                yield anchor, content, _spans(marks)
 
     def run(batches):
-        out, group, now = [], [], None
+        out, group, now = [], {}, None
         for batch in batches:
             for anchor, content, data, copies in zip(*(batch.column(c).to_pylist() for c in ("anchor", "content", "words", "copies")), strict=True):
                 if anchor != now and group:
-                    out += judge(group)
-                    group = []
+                    out += judge(now, group)
+                    group = {}
                 now = anchor
-                group.append((content, data, copies))
+                group[content] = (data, copies + (group[content][1] if content in group else 0))
             if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["content", "spans"])
+                yield _rows_of(out)
                 out = []
-        out += judge(group) if group else []
+        out += judge(now, group) if group else []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in zip(*out, strict=True)], ["content", "spans"])
+            yield _rows_of(out)
 
-    return contents.mapInArrow(run, "content binary, spans binary")
+    return seqs.repartition("anchor").sortWithinPartitions("anchor").select("anchor", "content", "words", "copies").mapInArrow(run, SPANS)
 
 
-def window_spans(contents: DataFrame, width: int) -> DataFrame:
+def window_spans(seqs: DataFrame, width: int) -> DataFrame:
     """As shard_spans, for anchors with very many sequences: every window is dealt by its own hash and counted."""
 
     def cut(batches):
         for batch in batches:
-            cols = [[], [], [], []]
-            for content, data, copies in zip(*(batch.column(c).to_pylist() for c in ("content", "words", "copies")), strict=True):
+            cols = [[], [], [], [], []]
+            for anchor, content, data, copies in zip(*(batch.column(c).to_pylist() for c in ("anchor", "content", "words", "copies")), strict=True):
                 for i in range(len(data) // 8 - width + 1):
-                    for c, v in zip(cols, (hashlib.blake2b(data[8 * i:8 * (i + width)], digest_size=16).digest(), content, i, copies), strict=True):
+                    for c, v in zip(cols, (hashlib.blake2b(data[8 * i:8 * (i + width)], digest_size=16).digest(), anchor, content, i, copies), strict=True):
                         c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.binary(), pa.int32(), pa.int64()), strict=True)], ["window", "content", "i", "copies"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()), strict=True)],
+                                             ["window", "anchor", "content", "i", "copies"])
 
-    rows = contents.mapInArrow(cut, "window binary, content binary, i int, copies long")
-    twice = rows.groupBy("window").agg(F.sum("copies").alias("n")).where("n >= 2").select("window")
-    marked = rows.join(twice, "window").groupBy("content").agg(F.sort_array(F.collect_list("i")).alias("is"))
+    rows = materialize(seqs.mapInArrow(cut, "window binary, anchor long, content long, i int, copies long"), "windows")
+    twice = materialize(rows.groupBy("window").agg(F.sum("copies").alias("n")).where("n >= 2").select("window"), "repeated-windows")
+    marked = rows.join(twice, "window").groupBy("anchor", "content").agg(F.sort_array(F.collect_set("i")).alias("is"))
 
     def spans(batches):
         for batch in batches:
@@ -262,25 +275,52 @@ def window_spans(contents: DataFrame, width: int) -> DataFrame:
                 marks = np.zeros(found[-1] + 1, np.int8)
                 marks[found] = 1
                 got.append(_spans(marks))
-            yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(got, pa.binary())], ["content", "spans"])
+            yield pa.RecordBatch.from_arrays([batch.column("anchor"), batch.column("content"), pa.array(got, pa.binary())], ["anchor", "content", "spans"])
+
+    return marked.mapInArrow(spans, SPANS)
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """(key, spans): the spans of each text as few pairs of 32-bit numbers as they make."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for found in batch.column("found").to_pylist():
+                pairs = sorted((f["first"] + a, f["first"] + b) for f in found for a, b in np.frombuffer(f["spans"], "<i4").reshape(-1, 2).tolist())
+                kept = [list(pairs[0])]
+                for a, b in pairs[1:]:
+                    if a <= kept[-1][1]:
+                        kept[-1][1] = max(b, kept[-1][1])
+                    else:
+                        kept.append([a, b])
+                out.append(np.array(kept, "<i4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary())], ["key", "spans"])
 
-    return marked.mapInArrow(spans, "content binary, spans binary")
+    return rows.groupBy("key").agg(F.collect_set(F.struct("first", "spans")).alias("found")).mapInArrow(run, "key long, spans binary")
 
 
 def covers(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
-    """(key, spans): per text with repeated windows, the spans of these as pairs of 32-bit numbers (first window, end), unsorted."""
+    """(key, spans): per text with repeated windows, the spans of these as pairs of 32-bit numbers (first window, end)."""
     found = materialize(anchors(docs, width, gram), "anchors")
-    twice = found.groupBy("anchor").agg(F.sum("places").alias("n")).where("n >= 2").select("anchor")
-    picked = materialize(found.join(twice, "anchor").groupBy("key").agg(F.collect_set("run").alias("runs")), "runs")
-    seqs = materialize(sequences(with_text(docs, picked, 4 * F.size("runs"), "inner"), width, gram), "sequences")
-    contents = materialize(seqs.groupBy("anchor", "content", "words").agg(F.count("*").alias("copies")), "contents")
-    sizes = materialize(contents.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("copies").alias("n")).where(F.col("kinds") > most).select("anchor"), "large-anchors")
-    small = contents.join(sizes, "anchor", "left_anti").repartition("anchor").sortWithinPartitions("anchor")
-    marked = shard_spans(small.select("anchor", "content", "words", "copies"), width)
-    if not sizes.isEmpty():
-        marked = marked.unionByName(window_spans(contents.join(sizes, "anchor", "left_semi"), width))
+    twice = (found.groupBy("anchor").agg(F.sum("places").alias("places"), F.count("*").alias("rows"), F.min("content").alias("x"), F.max("content").alias("y"))
+             .where("places >= 2").select("anchor", F.expr("x = y and rows >= 2").alias("alike")))
+    found = materialize(found.join(materialize(twice, "repeated-anchors"), "anchor").select("anchor", "content", "key", "first", "n", "alike"), "repeated-runs")
+    # Runs whose every window repeats: one span from 0 to n, as little-endian bytes.
+    number = F.concat(*[F.lpad(F.hex(F.shiftrightunsigned("n", 8 * i).bitwiseAND(255)), 2, "0") for i in range(4)])
+    whole = F.unhex(F.concat(F.lit("00000000"), number))
+    simple = found.where("alike").select("key", "first", whole.alias("spans"))
+    open_runs = found.where("not alike")
+    picked = materialize(open_runs.groupBy("key").agg(F.collect_set("first").alias("firsts")), "open-runs")
+    seqs = materialize(sequences(with_text(docs, picked, 4 * F.size("firsts"), "inner"), width, gram), "sequences")
+    large = materialize(seqs.groupBy("anchor").agg(F.count_distinct("content").alias("kinds")).where(F.col("kinds") > most).select("anchor"), "large-anchors")
+    if large.isEmpty():
+        marked = shard_spans(seqs, width)
+    else:
+        marked = shard_spans(seqs.join(large, "anchor", "left_anti"), width).unionByName(window_spans(seqs.join(large, "anchor", "left_semi"), width))
     marked = materialize(marked, "marked")
-    return seqs.select("content", "key", "start").join(marked, "content").groupBy("key").agg(F.collect_set(F.struct("start", "spans")).alias("spans"))
+    marked = open_runs.select("anchor", "content", "key", "first").join(marked, ["anchor", "content"]).select("key", "first", "spans")
+    return _merged(simple.unionByName(marked))
 
 
 def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
@@ -296,9 +336,8 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, most: in
             for text, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 ws = (text or "").encode().split()
                 keep = np.ones(len(ws), bool)
-                for one in found or ():
-                    for first, end in np.frombuffer(one["spans"], "<i4").reshape(-1, 2).tolist():
-                        keep[one["start"] + first:one["start"] + end + width - 1] = False
+                for first, end in np.frombuffer(found or b"", "<i4").reshape(-1, 2).tolist():
+                    keep[first:end + width - 1] = False
                 kept = b" ".join(ws if not found else [ws[i] for i in np.flatnonzero(keep).tolist()])
                 for c, v in zip(cols, (len(ws), int(len(ws) - keep.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()), strict=True):
                     c.append(v)
@@ -308,7 +347,7 @@ def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, most: in
                 out, names = [*out, pa.array(cols[3], pa.string())], [*names, "kept_text"]
             yield pa.RecordBatch.from_arrays(out, names)
 
-    rows = with_text(docs, spans, F.aggregate("spans", F.lit(0), lambda s, x: s + F.octet_length(x["spans"]) + 16), "left")
+    rows = with_text(docs, spans, F.octet_length("spans"), "left")
     return rows.select("doc_id", "text", "spans").mapInArrow(cut, f"doc_id {df.schema[id_col].dataType.simpleString()}, {fields}")
 
 
