@@ -20,6 +20,9 @@ def stamp_load_time(df: DataFrame, run_ts: str | None = None, col: str = "create
 
 
 def load_time(run_ts: str | None = None) -> Column:
+    """The given run time, or else the current time in UTC whatever the
+    session's zone (local clocks going back would put new rows below the
+    watermark)."""
     if run_ts is None:
-        return F.localtimestamp()
+        return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
     return F.lit(run_ts).cast("timestamp_ntz")

@@ -20,11 +20,13 @@ def cdc_split(batch: DataFrame, op_col: str = OP) -> tuple[DataFrame, DataFrame]
 
 
 def apply_delta(target: DataFrame, batch: DataFrame, spec: MergeSpec, ts: str,
-                validate: bool = False) -> DataFrame:
+                validate: bool = True) -> DataFrame:
     """Target after one CDC batch: inserts are appended first, then the
     latest update per key (ties kept) is merged.  An insert and an update of
     one key in one batch therefore end as the update's values with the
-    insert's insert-only columns."""
+    insert's insert-only columns.  Different rows that tie at the latest
+    time of a key raise, as in standard MERGE (``validate=False`` skips the
+    check: each of them is then a row of the result)."""
     inserts, updates = cdc_split(batch)
     key = list(spec.on)
     appended = append_by_name(target, inserts.select(*[c for c in inserts.columns if c in target.columns]))
@@ -36,7 +38,8 @@ def cdc_fold(target: DataFrame, log: DataFrame, spec: MergeSpec, ts: str,
              file_col: str = "file_time") -> DataFrame:
     """Target after applying every batch of ``log`` in ``file_col`` order;
     see :func:`fold_log` for the per-key rule."""
-    return merge_upsert(target, fold_log(log, spec, ts, [c for c in target.columns], file_col), spec)
+    # The fold has one row per key by construction.
+    return merge_upsert(target, fold_log(log, spec, ts, [c for c in target.columns], file_col), spec, validate=False)
 
 
 def fold_log(log: DataFrame, spec: MergeSpec, ts: str, columns: list[str],

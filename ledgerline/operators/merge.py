@@ -54,63 +54,67 @@ def duplicate_source_keys(source: DataFrame, on: tuple[str, ...]) -> DataFrame:
     return source.where(not_null).groupBy(*on).count().where(F.col("count") > 1)
 
 
+def ambiguous_keys(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
+    """Keys of ``target`` that several source rows match (standard MERGE
+    fails on these; a key that is only inserted may occur more than once)."""
+    keys = source.select(*[F.col(spec.source_col(k)).alias(k) for k in spec.on])
+    dup = duplicate_source_keys(keys, spec.on).drop("count")
+    return dup.join(target.select(*spec.on), list(spec.on), "left_semi")
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
-                 validate: bool = False, null_safe: bool = False,
+                 validate: bool = True, null_safe: bool = False,
                  dedupe_by: str | None = None) -> DataFrame:
     """Post-merge table (target's columns, in target order).
 
-    Duplicate source keys: ``validate=True`` runs one extra aggregation job
-    and raises when a key occurs twice in the source (standard MERGE fails
-    the same way); ``dedupe_by=<time column>`` instead keeps, per key, the
-    source row that is latest in that column and then in the remaining
-    columns (a total order, one partially aggregated ``groupBy``).
+    The join is on the key columns alone, so inputs that are bucketed alike
+    meet without a shuffle.  Rows with an incomplete key never match (unless
+    ``null_safe``): they stay out of the join and are kept or inserted as
+    they are, so a NULL key is no hot key.
+
+    Duplicate source keys: by default one aggregation over the source keys
+    looks for keys that several source rows match in the target, and raises
+    as standard MERGE does; ``validate=False`` skips it for a source that is
+    unique by construction; ``dedupe_by=<time column>`` instead keeps, per
+    key, the source row that is latest in that column and then in the
+    remaining columns (a total order, one partially aggregated ``groupBy``).
     """
     if dedupe_by is not None:
         from ledgerline.operators.dedup import latest_per_key
         source = latest_per_key(source, [spec.source_col(k) for k in spec.on], dedupe_by, ties="one")
-    if validate:
-        dup = duplicate_source_keys(source.select(*[spec.source_col(k) for k in spec.on]), tuple(
-            spec.source_col(k) for k in spec.on))
-        if not dup.isEmpty():
-            raise ValueError(f"MERGE source has several rows for one key of {spec.on}")
+    elif validate and not ambiguous_keys(target, source, spec).isEmpty():
+        raise ValueError(f"MERGE source has several rows for one key of {spec.on}")
     needed = sorted({spec.source_col(c) for c in (*spec.on, *spec.update, *spec.insert)})
-    s = source.select(*[F.col(c).alias(_s(c)) for c in needed]).withColumn(_S, F.lit(True))
-    t = target.withColumn(_T, F.lit(True))
-    conds = []
+    s = source.select(*[F.col(c).alias(_s(c)) for c in needed])
+    source_keys = [_s(spec.source_col(k)) for k in spec.on]
+    types = dict(target.dtypes)
+
+    def inserted(c: str) -> Column:
+        return F.col(_s(spec.source_col(c))) if c in spec.insert else spec.insert_values.get(c, F.lit(None))
+
+    keyed_t, keyed_s, rest = target, s, []
     if not null_safe:
-        # A NULL key never matches, but hashing would send every NULL-key
-        # row to one partition.  An extra join key spreads them: -1 for
-        # complete keys, a row id (even for target, odd for source, so the
-        # two sides never meet) when a key column is NULL.
-        t = t.withColumn("__nk", F.when(_any_null(spec.on), F.monotonically_increasing_id() * 2)
-                         .otherwise(F.lit(-1)))
-        s = s.withColumn("__s_nk", F.when(_any_null([_s(spec.source_col(k)) for k in spec.on]),
-                                          F.monotonically_increasing_id() * 2 + 1).otherwise(F.lit(-1)))
-        conds.append(t["__nk"] == s["__s_nk"])
-    for k in spec.on:
-        tk, sk = t[k], s[_s(spec.source_col(k))]
-        conds.append(tk.eqNullSafe(sk) if null_safe else tk == sk)
-    cond = conds[0]
-    for c in conds[1:]:
-        cond = cond & c
+        t_null, s_null = _any_null(spec.on), _any_null(source_keys)
+        keyed_t, keyed_s = target.where(~t_null), s.where(~s_null)
+        rest = [target.where(t_null),
+                s.where(s_null).select(*[inserted(c).cast(types[c]).alias(c) for c in target.columns])]
+    t, s = keyed_t.withColumn(_T, F.lit(True)), keyed_s.withColumn(_S, F.lit(True))
+    cond = F.lit(True)
+    for k, sk in zip(spec.on, source_keys, strict=True):
+        one = t[k].eqNullSafe(s[sk]) if null_safe else t[k] == s[sk]
+        cond = one if k == spec.on[0] else cond & one
     j = t.join(s, cond, "full_outer")
     matched = F.col(_T).isNotNull() & F.col(_S).isNotNull()
     target_only = F.col(_S).isNull()
     out = []
-    types = dict(target.dtypes)
     for c in target.columns:
-        dtype = types[c]
-        if c in spec.update:
-            on_match = F.col(_s(spec.source_col(c)))
-        else:
-            on_match = F.col(c)
-        if c in spec.insert:
-            on_insert = F.col(_s(spec.source_col(c)))
-        else:
-            on_insert = spec.insert_values.get(c, F.lit(None))
+        on_match = F.col(_s(spec.source_col(c))) if c in spec.update else F.col(c)
         out.append(F.when(target_only, F.col(c)).when(matched, on_match)
-                   .otherwise(on_insert).cast(dtype).alias(c))
-    return j.select(*out)
+                   .otherwise(inserted(c)).cast(types[c]).alias(c))
+    merged = j.select(*out)
+    for rows in rest:
+        merged = merged.unionByName(rows)
+    return merged
 
 
 def merge_sql(spec: MergeSpec, target_table: str, source_view: str) -> str:
@@ -144,7 +148,7 @@ def append_by_name(target: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# The six merges of the pipeline.
+# The six merges of the pipeline.  FIXED VALUES: key, update and insert columns.
 # ---------------------------------------------------------------------------
 
 _PAYMENT_UPDATE = ("status", "charge_id", "email", "phone", "name", "state", "amount", "is_refunded",
@@ -209,10 +213,19 @@ def key_bucket(on: tuple[str, ...], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in on]), F.lit(buckets)).cast("int")
 
 
-def write_table(df: DataFrame, path: str, on: tuple[str, ...], buckets: int) -> None:
+def _by_bucket(df: DataFrame, order_by: str | None):
+    """A writer of one bucket per task (adaptive execution splits a bucket
+    that is too big), sorted by ``order_by`` inside, so that row-group
+    statistics prune a filter on it."""
+    order = [BUCKET_COL] + ([order_by] if order_by and order_by in df.columns else [])
+    return (df.hint("rebalance", BUCKET_COL).sortWithinPartitions(*order)
+            .write.mode("overwrite").partitionBy(BUCKET_COL))
+
+
+def write_table(df: DataFrame, path: str, on: tuple[str, ...], buckets: int,
+                order_by: str | None = "created_at") -> None:
     """Write a table partitioned by the hash bucket of its key."""
-    (df.withColumn(BUCKET_COL, key_bucket(on, buckets))
-     .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path))
+    _by_bucket(df.withColumn(BUCKET_COL, key_bucket(on, buckets)), order_by).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -220,21 +233,18 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: MergeSpec,
-                     buckets: int, validate: bool = True, like: DataFrame | None = None) -> int:
+                     buckets: int, validate: bool = True, like: DataFrame | None = None,
+                     order_by: str | None = "created_at") -> int:
     """Apply ``merge_upsert`` to a bucket-partitioned parquet table in place.
 
-    The source is written once to the shared folder; touched bucket ids (at
-    most ``buckets`` small integers) are collected to prune the target scan; the merged buckets are staged in the shared
-    folder and then swapped in by dynamic partition overwrite, so the table
-    is never read and overwritten by the same job.
+    The source is written once to the shared folder, its keys in the table's
+    types; touched bucket ids (at most ``buckets`` small integers) are
+    collected to prune the target scan; the merged buckets are staged in the
+    shared folder and then swapped in by dynamic partition overwrite, so the
+    table is never read and overwritten by the same job.  A staged bucket
+    outside the touched ones would replace rows that were not read: that
+    raises and leaves the table as it is.
     """
-    # The source (an increment, usually a whole pipeline) is written once;
-    # the bucket listing and the merge both read that copy.
-    source = materialize(source, "merge-source")
-    key = key_bucket(tuple(spec.source_col(k) for k in spec.on), buckets)
-    touched = [r[0] for r in source.select(key.alias("b")).distinct().collect()]
-    if not touched:
-        return 0
     if like is not None:
         # Table schema given explicitly: a new, still empty table has no
         # files to infer it from.
@@ -242,15 +252,26 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: Me
         target = spark.read.schema(schema).parquet(path)
     else:
         target = read_table(spark, path)
+    types = dict(target.dtypes)
+    # One cast per source column, to the type of the key it feeds.
+    casts = {spec.source_col(k): F.col(spec.source_col(k)).cast(types[k]) for k in spec.on}
+    source = materialize(source.withColumns(casts), "merge-source")
+    key = key_bucket(tuple(spec.source_col(k) for k in spec.on), buckets)
+    touched = [r[0] for r in source.select(key.alias("b")).distinct().collect()]
+    if not touched:
+        return 0
     target = target.where(F.col(BUCKET_COL).isin(touched))
     merged = merge_upsert(target.drop(BUCKET_COL), source, spec, validate=validate)
     stage = shared_dir(spark, "merge-stage")
-    merged.withColumn(BUCKET_COL, key_bucket(spec.on, buckets)) \
-        .write.mode("overwrite").partitionBy(BUCKET_COL).parquet(stage)
+    _by_bucket(merged.withColumn(BUCKET_COL, key_bucket(spec.on, buckets)), order_by).parquet(stage)
+    staged = spark.read.parquet(stage)
+    strays = {r[0] for r in staged.select(BUCKET_COL).distinct().collect()} - set(touched)
+    if strays:
+        raise ValueError(f"merge staged buckets {sorted(strays)} that the source does not touch")
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        spark.read.parquet(stage).write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path)
+        _by_bucket(staged, order_by).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
     # Rows merged, counted on the written source copy (parquet metadata).

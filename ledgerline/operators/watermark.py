@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.operators.merge import WATERMARK_MERGE, merge_upsert
+from ledgerline.session import missing
 
 NO_WATERMARK = "NA"
 
@@ -66,37 +68,38 @@ def watermark_put(store: DataFrame, new_rows: DataFrame) -> DataFrame:
 
 
 class WatermarkStore:
-    """Watermarks kept in a small parquet table in the shared folder.
+    """Watermarks kept in a small parquet table: a log of puts.
 
-    Every ``put`` writes a complete new snapshot into a new folder
-    ``v=<millis>`` (never overwriting in place): Spark's job commit makes a
-    snapshot appear whole or not at all, so a crash cannot lose the store.
-    Reads take the newest snapshot.  The table holds one row per
-    (dataset, job); reading it collects at most that one row.
+    Every ``put`` appends one row; nothing is read or rewritten, so jobs that
+    overlap cannot lose each other's watermark and a crash leaves the row
+    whole or not there.  ``get`` takes the newest row of its (dataset, job);
+    it collects that one row.  Only a store without files counts as empty:
+    any other failure to read is raised.
     """
 
+    SCHEMA = T.StructType([*WATERMARK_SCHEMA.fields, T.StructField("put_at", T.LongType())])
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _read(self) -> DataFrame:
+    def rows(self) -> DataFrame:
+        """The newest row of every (dataset, job), in WATERMARK_SCHEMA."""
         try:
-            df = self.spark.read.parquet(self.path)
-        except Exception:  # noqa: BLE001 - no snapshot yet
+            log = self.spark.read.schema(self.SCHEMA).parquet(self.path)
+        except AnalysisException as e:
+            if not missing(e):
+                raise
             return self.spark.createDataFrame([], WATERMARK_SCHEMA)
-        newest = df.agg(F.max("v")).collect()[0][0]
-        return df.where(F.col("v") == F.lit(newest)).select(*WATERMARK_SCHEMA.fieldNames())
+        newest = log.groupBy("dataset", "job").agg(F.max(F.struct("put_at", "ts", "kind")).alias("x"))
+        return newest.select("dataset", "job", "x.kind", "x.ts")
 
     def get(self, dataset: str, job: str) -> str:
-        rows = (self._read().where((F.col("dataset") == dataset) & (F.col("job") == job))
-                .select("ts").limit(1).collect())
+        rows = self.rows().where((F.col("dataset") == dataset) & (F.col("job") == job)).select("ts").collect()
         return rows[0][0] if rows and rows[0][0] else NO_WATERMARK
 
     def put(self, dataset: str, job: str, kind: str, iso_ts: str | None) -> None:
         if not iso_ts:
             return
-        import random
         import time
-        new = self.spark.createDataFrame([(dataset, job, kind, iso_ts)], WATERMARK_SCHEMA)
-        # Millisecond clock plus random digits: increasing, and two writers never share a folder.
-        version = f"{self.path}/v={int(time.time() * 1000):015d}{random.randrange(10**4):04d}"
-        watermark_put(self._read(), new).coalesce(1).write.mode("errorifexists").parquet(version)
+        row = self.spark.createDataFrame([(dataset, job, kind, iso_ts, time.time_ns())], self.SCHEMA)
+        row.coalesce(1).write.mode("append").parquet(self.path)

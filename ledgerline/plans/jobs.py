@@ -14,10 +14,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
+from ledgerline.functions.coerce import stamp_load_time
 from ledgerline.operators.cdc import fold_log
 from ledgerline.operators.merge import (BUCKET_COL, NORM_DISPUTE_MERGE, NORM_REFUND_MERGE, PURCHASE_MERGE,
                                         MergeSpec, merge_into_table, write_table)
@@ -26,7 +28,10 @@ from ledgerline.operators.watermark import (NO_WATERMARK, WatermarkStore, holdba
 from ledgerline.plans.disputes import normalize_disputes
 from ledgerline.plans.purchases import normalize_purchases
 from ledgerline.plans.refunds import normalize_refunds
-from ledgerline.sources.cdc_files import initial_load, read_cdc
+from ledgerline.session import missing
+from ledgerline.sources.cdc_files import header_of, initial_load, read_cdc
+
+LOAD_TIME = "created_at"
 
 
 @dataclass(frozen=True)
@@ -50,22 +55,30 @@ class CdcSpec:
     types: dict[str, str]
     merge: MergeSpec
     latest_by: str
+    # False where no value contains a line break: large files are then split.
+    multiline: bool = True
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds a table (listing only); any other failure than
+    missing files is raised, not taken for a new table."""
     try:
         spark.read.parquet(path).schema  # noqa: B018 - listing only
         return True
-    except Exception:  # noqa: BLE001
+    except AnalysisException as e:
+        if not missing(e):
+            raise
         return False
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether ``path`` holds any files (listing only, no job)."""
+    """Whether ``path`` (or a glob) holds any files (listing only, no job)."""
     try:
         spark.read.format("text").load(path).schema  # noqa: B018
         return True
-    except Exception:  # noqa: BLE001
+    except AnalysisException as e:
+        if not missing(e):
+            raise
         return False
 
 
@@ -85,14 +98,16 @@ def run_cdc_merge(spark: SparkSession, spec: CdcSpec, table_path: str, store: Wa
     """Stage 1: initial load when the table is new, then fold every batch
     newer than the watermark into the table in one merge, and advance the
     watermark to the newest batch applied."""
-    data_cols = [c for c in spec.columns if c != "Op"]
+    data_cols = [c for c in spec.columns if c not in ("Op", LOAD_TIME)]
     if is_initial(spark, store, spec.dataset, job, table_path) and \
-            path_exists(spark, f"{spec.files_path.rstrip('/')}/LOAD"):
+            path_exists(spark, f"{spec.files_path.rstrip('/')}/LOAD*"):
         snapshot = initial_load(spark, spec.files_path, data_cols, spec.types, run_ts)
         write_table(snapshot, table_path, spec.merge.on, buckets)
     since = store.get(spec.dataset, job)
     since = None if since == NO_WATERMARK else since.replace("T", " ")
-    log = read_cdc(spark, spec.files_path, list(spec.columns), spec.types, since=since)
+    log = read_cdc(spark, spec.files_path, list(spec.columns), spec.types, since=since, multiline=spec.multiline)
+    if LOAD_TIME not in header_of(spark, spec.files_path):
+        log = stamp_load_time(log, run_ts, LOAD_TIME)
     # Progress: one aggregate over the (pruned) batch-time column.
     newest = log.agg(F.max("file_time")).collect()[0][0]
     if newest is None:
@@ -100,7 +115,7 @@ def run_cdc_merge(spark: SparkSession, spec: CdcSpec, table_path: str, store: Wa
     like = None
     if not table_exists(spark, table_path):
         # No full load: the table starts empty, with the batches' columns.
-        like = log.select(*[c for c in data_cols if c != "file_time"])
+        like = log.select(*[c for c in (*data_cols, LOAD_TIME) if c != "file_time"])
         _ensure_table(spark, table_path, like, spec.merge.on, buckets)
     target_cols = like.columns if like is not None else \
         [c for c in spark.read.parquet(table_path).columns if c != BUCKET_COL]
@@ -137,7 +152,7 @@ def run_normalize_purchases(spark: SparkSession, *, payments: DataFrame, refunds
     target = rows.select(*[F.lit(None).cast("bigint").alias("id") if c == "id" else F.col(c)
                            for c in _purchase_columns()])
     _ensure_table(spark, target_path, target, PURCHASE_MERGE.on, buckets)
-    n = merge_into_table(spark, target_path, rows, PURCHASE_MERGE, buckets, validate=False, like=target)
+    n = merge_into_table(spark, target_path, rows, PURCHASE_MERGE, buckets, like=target)
     store.put(dataset, job, "incremental etl", _iso(progress["created_at"]))
     return RunResult(_iso(progress["created_at"]), n)
 
@@ -162,7 +177,7 @@ def run_normalize_refunds(spark: SparkSession, *, refunds: DataFrame, payments:
     from ledgerline.schemas import NORM_REFUND_COLUMNS
     like = rows.select(*NORM_REFUND_COLUMNS)
     _ensure_table(spark, target_path, like, NORM_REFUND_MERGE.on, buckets)
-    n = merge_into_table(spark, target_path, rows, NORM_REFUND_MERGE, buckets, validate=False, like=like)
+    n = merge_into_table(spark, target_path, rows, NORM_REFUND_MERGE, buckets, like=like)
     store.put(dataset, job, "incremental etl", _iso(newest))
     return RunResult(_iso(newest), n)
 
@@ -177,6 +192,6 @@ def run_normalize_disputes(spark: SparkSession, *, disputes: DataFrame, payments
         return RunResult(None)
     rows = normalize_disputes(increment, payments, run_ts=run_ts)
     _ensure_table(spark, target_path, rows, NORM_DISPUTE_MERGE.on, buckets)
-    n = merge_into_table(spark, target_path, rows, NORM_DISPUTE_MERGE, buckets, validate=False, like=rows)
+    n = merge_into_table(spark, target_path, rows, NORM_DISPUTE_MERGE, buckets, like=rows)
     store.put(dataset, job, "incremental etl", _iso(newest))
     return RunResult(_iso(newest), n)

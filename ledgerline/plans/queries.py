@@ -372,7 +372,97 @@ def q_cdc_stream(s, d):
     return read_table(s, tgt)
 
 
+# --- jobs: each run in two parts, against the one-shot result ------------------
+
+def q_merge_into_table(s, d):
+    path = shared_dir(s, "merge-table")
+    buckets = tb.lake_buckets(s)
+    merge.write_table(_payments(s, d), path, merge.PAYMENT_MERGE.on, buckets)
+    merge.merge_into_table(s, path, tb.lake_table(s, d, "payment_updates"), merge.PAYMENT_MERGE, buckets)
+    return merge.read_table(s, path).drop(merge.BUCKET_COL)
+
+
+def q_stage1_job(s, d):
+    """Files as the replication tool leaves them (no load time), half of the batches at a time."""
+    from ledgerline.plans.jobs import CdcSpec, run_cdc_merge
+    files, table = shared_dir(s, "job-files"), shared_dir(s, "job-table")
+    store = watermark.WatermarkStore(s, shared_dir(s, "job-watermarks"))
+    cdc_files.write_full_load(_payments(s, d).drop("created_at"), files)
+    spec = CdcSpec("stripe_payment", files, tuple(_CDC_COLUMNS), schemas.CDC_COERCE["payment"],
+                   merge.PAYMENT_MERGE, "payment_updated_at")
+    log = _cdc_rows(s, d).drop("created_at")
+    run_cdc_merge(s, spec, table, store, "merge", tb.lake_buckets(s), run_ts=tb.RUN_TS)  # no batches yet
+    first = F.col("file_time") <= F.lit(PENDING_SINCE).cast("timestamp_ntz")
+    for part in (first, ~first):
+        cdc_files.write_cdc_batches(log.where(part), files, mode="append")
+        run_cdc_merge(s, spec, table, store, "merge", tb.lake_buckets(s), run_ts=tb.RUN_TS)
+    return merge.read_table(s, table).drop(merge.BUCKET_COL)
+
+
+INCREMENT_CUT = "1998-01-01 00:00:00"
+
+
+def _two_runs(s, rows, run):
+    """``run(rows, path, store)`` on the rows loaded until the cut, then on all."""
+    path, store = shared_dir(s, "job-out"), watermark.WatermarkStore(s, shared_dir(s, "job-watermarks"))
+    run(rows.where(F.col("created_at") <= F.lit(INCREMENT_CUT).cast("timestamp_ntz")), path, store)
+    run(rows, path, store)
+    return merge.read_table(s, path).drop(merge.BUCKET_COL)
+
+
+def q_incremental_purchases(s, d):
+    from ledgerline.plans.jobs import run_normalize_purchases
+    got = _two_runs(s, _payments(s, d), lambda rows, path, store: run_normalize_purchases(
+        s, payments=rows, refunds=_refunds(s, d), versions=_versions(s, d), events=_events(s, d),
+        client_billing=tb.lake_table(s, d, "client_billing").where("false"), target_path=path, store=store,
+        dataset="purchases", job="norm", buckets=tb.lake_buckets(s), run_ts=tb.RUN_TS))
+    return got.drop("id")
+
+
+def q_incremental_refunds(s, d):
+    from ledgerline.plans.jobs import run_normalize_refunds
+    return _two_runs(s, _refunds(s, d), lambda rows, path, store: run_normalize_refunds(
+        s, refunds=rows, payments=_payments(s, d), versions=_versions(s, d),
+        exclude_patterns=tb.TEST_INTERNAL_EMAIL_PATTERNS, target_path=path, store=store,
+        dataset="refunds", job="norm", buckets=tb.lake_buckets(s), run_ts=tb.RUN_TS))
+
+
+def q_incremental_disputes(s, d):
+    from ledgerline.plans.jobs import run_normalize_disputes
+    return _two_runs(s, _disputes(s, d), lambda rows, path, store: run_normalize_disputes(
+        s, disputes=rows, payments=_payments(s, d), target_path=path, store=store,
+        dataset="disputes", job="norm", buckets=tb.lake_buckets(s), run_ts=tb.RUN_TS))
+
+
+def q_watermark_get(s, d):
+    store = watermark.WatermarkStore(s, shared_dir(s, "watermarks"))
+    for name, rows in (("stripe_payment", _payments(s, d)), ("stripe_refund", _refunds(s, d))):
+        for when in (F.min, F.max):
+            t = watermark.watermark_rows(rows.agg(when("created_at").alias("t")), name, "merge", "delta merge", "t")
+            store.put(name, "merge", "delta merge", t.first()["ts"])
+    got = [(n, store.get(n, "merge")) for n in ("stripe_payment", "stripe_refund", "stripe_dispute")]
+    return s.createDataFrame(got, "dataset string, ts string")
+
+
+def q_is_initial(s, d):
+    from ledgerline.plans.jobs import is_initial
+    path, store = shared_dir(s, "initial-table"), watermark.WatermarkStore(s, shared_dir(s, "watermarks"))
+    seen = [is_initial(s, store, "stripe_payment", "merge", path)]
+    for rows in (_payments(s, d).limit(0), _payments(s, d)):
+        merge.write_table(rows, path, merge.PAYMENT_MERGE.on, tb.lake_buckets(s))
+        seen.append(is_initial(s, store, "stripe_payment", "merge", path))
+    return merge.read_table(s, path).agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(seen[0]).alias("without_table"), F.lit(seen[1]).alias("empty_table"), F.lit(seen[2]).alias("loaded"), "n")
+
+
 QUERIES: dict[str, Query] = {
+    "merge_into_table": q_merge_into_table,
+    "stage1_job": q_stage1_job,
+    "incremental_purchases": q_incremental_purchases,
+    "incremental_refunds": q_incremental_refunds,
+    "incremental_disputes": q_incremental_disputes,
+    "watermark_get": q_watermark_get,
+    "is_initial": q_is_initial,
     "scan_full": q_scan_full,
     "scan_incremental": q_scan_incremental,
     "cdc_split": q_cdc_split,

@@ -15,8 +15,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job in this package relies on.  AQE re-plans joins and
-# coalesces/splits partitions at runtime; the skew-join split protects the
-# key-based joins (merge, latest-per-key) from a hot key.
+# coalesces/splits partitions at runtime; its skew-join split covers inner and
+# left joins (a full outer join, as MERGE uses, is never split: its keys are
+# unique on the source side and rows without a key do not enter the join).
 # Every timestamp in the pipeline is TIMESTAMP_NTZ and every function used
 # on it is zone-independent, so the session time zone is left as it is.
 SESSION_DEFAULTS = {
@@ -54,25 +55,37 @@ def apply_defaults(spark: SparkSession) -> None:
         spark.conf.set(k, v)
 
 
+# Private checkpoint folders of local sessions without the setting, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh sub-folder of the shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names storage every executor can
-    reach; it is read from the session and never replaced.  Only when it is
-    unset (local tests) is a private temporary folder created and registered.
+    ``spark.checkpoint.dir`` names storage every executor can reach; it is
+    read from the session and never set or replaced.  Where it is unset, a
+    local master (tests) gets a private temporary folder; any other master
+    raises, since a machine-local folder would lose data there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not base and sc is not None:
         base = sc.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(base)
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = _LOCAL_DIRS.setdefault(sc.applicationId, "") or tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+        _LOCAL_DIRS[sc.applicationId] = base
     return base.rstrip("/") + "/" + (name or "tmp") + "-" + uuid.uuid4().hex[:12]
 
 
+def missing(error: Exception) -> bool:
+    """Whether Spark failed because a path or its files are not there (and for no other reason)."""
+    condition = getattr(error, "getCondition", lambda: None)()
+    return condition in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def _context(spark: SparkSession):
     """The SparkContext, or None in a Spark Connect session."""
     try:

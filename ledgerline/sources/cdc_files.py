@@ -1,21 +1,26 @@
 """CDC batch files: pipe-delimited CSV with a header, one folder per batch.
 
 A batch folder is named ``batch=<yyyyMMdd-HHmmss>`` (the time the batch was
-cut); full-load folders start with ``LOAD``.  The batch time of every row
-comes from its file path (``_metadata.file_path``), so many batches are
-read by one scan and ordered by that time instead of one job per file.
+cut), or batches are flat files whose name starts with that time; full-load
+files or folders start with ``LOAD``.  The batch time of every row comes from
+its file path (``_metadata.file_path``), so many batches are read by one scan
+and ordered by that time instead of one job per file.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import coerce_types, stamp_load_time
+from ledgerline.session import missing
 
 BATCH_PATTERN = r"batch=(\d{8}-\d{6})"
 BATCH_FORMAT = "yyyyMMdd-HHmmss"
+# Time in a flat file's name, as replication tools write it: 20240131-123456789.csv
+FILE_PATTERN = r"(\d{8}-\d{6})\d*[^/]*$"
 # NULL is written as \N so that an empty string survives the round trip.
 CSV_OPTIONS = {"header": "true", "sep": "|", "quote": '"', "escape": '"', "multiLine": "true",
                "nullValue": "\\N"}
@@ -27,17 +32,20 @@ def batch_glob(path: str) -> str:
 
 
 def file_time(path_col: str = "_metadata.file_path") -> F.Column:
-    """Batch time parsed from a CDC file path (NULL when it has none)."""
-    stamp = F.regexp_extract(F.col(path_col), BATCH_PATTERN, 1)
-    return F.to_timestamp_ntz(F.nullif(stamp, F.lit("")), F.lit(BATCH_FORMAT))
+    """Batch time parsed from a CDC file path: of its batch folder, or else
+    of the file's own name (NULL when it has none)."""
+    path = F.col(path_col)
+    stamp = F.coalesce(F.nullif(F.regexp_extract(path, BATCH_PATTERN, 1), F.lit("")),
+                       F.nullif(F.regexp_extract(path, FILE_PATTERN, 1), F.lit("")))
+    return F.to_timestamp_ntz(stamp, F.lit(BATCH_FORMAT))
 
 
-def write_cdc_batches(df: DataFrame, path: str, time_col: str = "file_time") -> None:
+def write_cdc_batches(df: DataFrame, path: str, time_col: str = "file_time", mode: str = "overwrite") -> None:
     """Write rows as CDC batch files, one folder per batch time.  Every
     column is written as text, as a replication tool would."""
     out = df.withColumn("batch", F.date_format(F.col(time_col), BATCH_FORMAT)).drop(time_col)
     out = out.select(*[F.col(c).cast("string").alias(c) if c != "batch" else F.col(c) for c in out.columns])
-    out.write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("batch").csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS).partitionBy("batch").csv(path)
 
 
 def write_full_load(df: DataFrame, path: str) -> None:
@@ -54,33 +62,66 @@ def text_schema(columns: list[str]) -> T.StructType:
 def read_cdc(spark: SparkSession, path: str, columns: list[str], types: dict[str, str],
              full: bool = False, since: str | None = None, multiline: bool = True,
              repair: tuple[str, ...] = ()) -> DataFrame:
-    """Read CDC batches (``full=True``: the full-load files) with an explicit
-    text schema, type the given columns and add ``file_time`` from the path.
-
-    ``since`` keeps batches strictly newer than that time; the predicate is
-    on the partition column, so older batch folders are never listed or read.
+    """Read CDC batches (``full=True``: the full-load files ``LOAD*``) as
+    text, take the given columns by the names in the header (one that the
+    files do not have is NULL), type them and add ``file_time``.
+
+    Batches are folders ``batch=<time>`` or flat files whose name starts with
+    the time.  The first file's header gives the order of columns; a file
+    with another header fails instead of being read into wrong columns.
+    ``since`` keeps batches strictly newer than that time; for folders the
+    predicate is on the partition column, so older ones are never read.
     ``multiline=False`` lets Spark split large files (only when no value
     contains a line break).  ``repair`` names payload columns of legacy
     exports (quotes doubled, no escape character) to run through
     :func:`ledgerline.functions.repair_quotes`; correctly escaped files
-    need no repair.
+    need no repair.  Without any file the result is empty.
     """
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower()) \
-        .schema(text_schema(columns))
-    if full:
-        df = reader.csv(f"{path.rstrip('/')}/LOAD")
-        return _repair(coerce_types(df, types), repair)
-    df = reader.option("basePath", path).csv(batch_glob(path))
-    if "batch" in df.columns:
-        # Partition column: batches at or before ``since`` are pruned at listing.
-        if since:
-            df = df.where(F.col("batch") > F.date_format(F.lit(since).cast("timestamp_ntz"), BATCH_FORMAT))
-        df = df.withColumn("file_time", F.to_timestamp_ntz(F.col("batch"), F.lit(BATCH_FORMAT))).drop("batch")
-    else:
-        df = df.withColumn("file_time", file_time())
-        if since:
-            df = df.where(F.col("file_time") > F.lit(since).cast("timestamp_ntz"))
-    return _repair(coerce_types(df, types), repair)
+    root = path.rstrip("/")
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
+    parts = []
+    for glob in ([f"{root}/LOAD*"] if full else [batch_glob(root), f"{root}/[0-9]*"]):
+        folders = glob == batch_glob(root)
+        try:
+            found = reader.option("basePath", root).csv(glob) if folders else reader.csv(glob)
+        except AnalysisException as e:
+            if not missing(e):
+                raise
+            continue
+        names = [c for c in found.columns if not (folders and c == "batch")]
+        df = reader.schema(text_schema(names)).option("enforceSchema", "false")
+        df = df.option("basePath", root).csv(glob) if folders else df.csv(glob)
+        stamped = df.select("*") if full else df.withColumn(
+            "file_time", F.to_timestamp_ntz(F.col("batch"), F.lit(BATCH_FORMAT)) if folders else file_time())
+        if since and not full:
+            newer = (F.col("batch") > F.date_format(F.lit(since).cast("timestamp_ntz"), BATCH_FORMAT) if folders
+                     else F.col("file_time") > F.lit(since).cast("timestamp_ntz"))
+            stamped = stamped.where(newer)
+        by_name = [(F.col(c) if c in names else F.lit(None).cast("string")).alias(c) for c in columns]
+        parts.append(stamped.select(*by_name, *([] if full else ["file_time"])))
+    if not parts:
+        return _repair(coerce_types(spark.createDataFrame([], _empty_schema(columns, full)), types), repair)
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return _repair(coerce_types(out, types), repair)
+
+
+def _empty_schema(columns: list[str], full: bool) -> T.StructType:
+    extra = [] if full else [T.StructField("file_time", T.TimestampNTZType())]
+    return T.StructType([*text_schema(columns).fields, *extra])
+
+
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """Column names of the first delta file (empty without any); reads one line."""
+    root = path.rstrip("/")
+    for glob in (batch_glob(root), f"{root}/[0-9]*"):
+        try:
+            return [c for c in spark.read.options(**CSV_OPTIONS).option("basePath", root).csv(glob).columns if c != "batch"]
+        except AnalysisException as e:
+            if not missing(e):
+                raise
+    return []
 
 
 def _repair(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -90,10 +131,10 @@ def _repair(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 
 def pending_batches(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
     """Distinct batch times after ``since``, in time order (for progress
-    reporting; the pipelines consume batches as one DataFrame)."""
-    df = (spark.read.options(**CSV_OPTIONS).schema(T.StructType([T.StructField("Op", T.StringType())]))
-          .option("basePath", path).csv(batch_glob(path)))
-    t = df.select(F.to_timestamp_ntz(F.col("batch"), F.lit(BATCH_FORMAT)).alias("file_time")).distinct()
+    reporting; the pipelines consume batches as one DataFrame).  Only paths
+    are listed; no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path.rstrip("/")).select("path")
+    t = files.select(file_time("path").alias("file_time")).where("file_time is not null").distinct()
     if since:
         t = t.where(F.col("file_time") > F.lit(since).cast("timestamp_ntz"))
     return t.orderBy("file_time")

@@ -9,7 +9,7 @@ from ``orders``, ``lineitem``, ``customer``, ``part``, ``supplier`` and
 same derivations are written in DuckDB SQL in :mod:`ledgerline.oracle`.
 
 Mapping (one row each):
-  payment         order that is not pending (``o_orderstatus <> 'P'``)
+  payment         every order
   product_history (product tag, ``p_size``) group of parts = one version
   refund          order with returned (``R``) lines; ``A`` lines form a
                   second, later refund batch used as MERGE source
@@ -176,7 +176,7 @@ def _payment_json(k: Column, cents: Column, status: Column, tag: Column,
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The payment table as stage 1 leaves it (payload keeps outer quotes)."""
-    f = _order_facts(spark, sf_dir).where(F.col("o_orderstatus") != "P")
+    f = _order_facts(spark, sf_dir)
     k = F.col("o_orderkey").cast("string")
     cents = F.coalesce(F.col("line_cents"), _cents("o_totalprice"))
     status = (F.when(F.col("o_orderstatus") == "F", "succeeded").otherwise("processing"))
@@ -208,14 +208,14 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payment_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A later batch of payment rows: every order with returned lines, now
-    refunded.  Pending orders among them are new keys for the target."""
+    refunded.  Every tenth has a key of its own, which the target does not have."""
     f = _order_facts(spark, sf_dir).where(F.col("r_lines") > 0)
     k = F.col("o_orderkey").cast("string")
     refunded_at = _hours((F.col("o_orderkey") % 4) * 12, F.col("o_orderdate"))
     cents = F.coalesce(F.col("line_cents"), _cents("o_totalprice"))
     states = F.array(*[F.lit(x).cast("string") for x in STATE_SPELLINGS])
     return f.select(
-        F.concat(F.lit("pi_"), k).alias("payment_intent_id"),
+        F.concat(F.when(F.col("o_orderkey") % 10 == 0, "pi_new_").otherwise("pi_"), k).alias("payment_intent_id"),
         F.lit("refunded").alias("status"),
         F.concat(F.lit("ch_"), k).alias("charge_id"),
         customer_email(F.col("o_custkey"), F.col("c_mktsegment")).alias("email"),

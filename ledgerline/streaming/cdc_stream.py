@@ -5,63 +5,73 @@ replaces the external merge-history and file-tracking stores."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.coerce import coerce_types
+from ledgerline.functions.coerce import coerce_types, stamp_load_time
 from ledgerline.operators.cdc import fold_log
 from ledgerline.operators.merge import BUCKET_COL, MergeSpec, merge_into_table, write_table
+from ledgerline.session import missing
 from ledgerline.sources.cdc_files import CSV_OPTIONS, batch_glob, file_time, text_schema
 
 
 def cdc_stream(spark: SparkSession, source_path: str, columns: list[str], types: dict[str, str],
                table_path: str, spec: MergeSpec, ts: str, checkpoint: str, buckets: int,
-               max_files: int | None = None, like: DataFrame | None = None):
+               like: DataFrame | None = None, run_ts: str | None = None):
     """Start an ``availableNow`` query that folds every pending batch file
     into the bucket-partitioned parquet table at ``table_path`` (see
     :func:`ledgerline.operators.merge.write_table`); returns the handle.
 
-    Each micro-batch is reduced to one row per key with ``fold_log``
-    (batches inside it ordered by their batch time) and merged with
-    ``merge_into_table``: only the hash buckets it touches are rewritten.
-    A retried micro-batch re-applies the same fold, which the keyed merge
-    absorbs.  Batches must arrive in time order across micro-batches, as a
-    replication tool writes them; a micro-batch holding a batch older than
-    one already applied fails instead of being applied out of order.
-    ``like`` gives the table's columns when the table may still be empty.
+    All files that are there at the start form one micro-batch, so a batch
+    of several files is never split.  It is reduced to one row per key with
+    ``fold_log`` (batches inside it ordered by their batch time) and merged
+    with ``merge_into_table``: only the hash buckets it touches are
+    rewritten.  A micro-batch that runs again after a crash is known by its
+    id and re-applies the same fold, which the keyed merge absorbs.  Files of
+    a batch at or before one already applied fail instead of being applied
+    out of order.  ``like`` gives the table's columns when the table may
+    still be empty; files without a load time get the run's.
     """
-    stream = (spark.readStream.options(**CSV_OPTIONS).schema(text_schema(columns))
-              .option("maxFilesPerTrigger", max_files or 1_000_000)
+    stream = (spark.readStream.options(**CSV_OPTIONS).schema(text_schema(columns)).option("enforceSchema", "false")
               .option("basePath", source_path).csv(batch_glob(source_path)))
     stream = stream.withColumn("file_time", file_time())
     stream = coerce_types(stream.drop("batch") if "batch" in stream.columns else stream, types)
+    if LOAD_TIME not in stream.columns:
+        stream = stamp_load_time(stream, run_ts)
     progress_path = f"{table_path.rstrip('/')}_progress"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        applied = _applied(spark, progress_path)
         oldest, newest = batch.agg(F.min("file_time"), F.max("file_time")).collect()[0]
         if newest is None:
             return
-        if applied is not None and oldest is not None and oldest.isoformat() < applied:
-            raise ValueError(f"CDC batch {oldest} arrived after batch {applied} was applied")
+        before = _applied(spark, progress_path, batch_id)
+        if before is not None and oldest.isoformat() <= before:
+            raise ValueError(f"files of CDC batch {oldest} arrived after batch {before} was applied")
         cols = like.columns if like is not None else spark.read.parquet(table_path).columns
         target_cols = [c for c in cols if c != BUCKET_COL]
         merge_into_table(spark, table_path, fold_log(batch, spec, ts, target_cols), spec, buckets,
                          validate=False, like=like)
-        spark.createDataFrame([(batch_id, newest.isoformat())], "batch_id long, applied string") \
-            .coalesce(1).write.mode("overwrite").json(progress_path)
+        # One appended row per micro-batch: there or not, never half written.
+        spark.createDataFrame([(batch_id, newest.isoformat())], PROGRESS).coalesce(1).write.mode("append").parquet(progress_path)
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def _applied(spark: SparkSession, progress_path: str) -> str | None:
-    """Newest batch time applied so far (one row), or None."""
+PROGRESS = "batch_id long, applied string"
+LOAD_TIME = "created_at"
+
+
+def _applied(spark: SparkSession, progress_path: str, batch_id: int) -> str | None:
+    """Newest batch time that other micro-batches have applied, or None."""
     try:
-        rows = spark.read.schema("batch_id long, applied string").json(progress_path).limit(1).collect()
-    except Exception:  # noqa: BLE001 - nothing applied yet
+        log = spark.read.schema(PROGRESS).parquet(progress_path)
+    except AnalysisException as e:
+        if not missing(e):
+            raise
         return None
-    return rows[0][1] if rows else None
+    return log.where(F.col("batch_id") != batch_id).agg(F.max("applied")).collect()[0][0]
 
 
 def start_table(df: DataFrame, table_path: str, spec: MergeSpec, buckets: int) -> None:

@@ -103,8 +103,8 @@ def test_stream_equals_batch_fold_and_restarts(spark):
     target = _empty_target(spark)
     expected = rows(cdc_fold(target, log, SPEC, "t"))
 
-    def run(src, tgt, ck, max_files=None):
-        q = cdc_stream(spark, src, COLS, TYPES, tgt, SPEC, "t", ck, buckets=4, max_files=max_files, like=target)
+    def run(src, tgt, ck):
+        q = cdc_stream(spark, src, COLS, TYPES, tgt, SPEC, "t", ck, buckets=4, like=target)
         q.awaitTermination()
         from pyspark.sql.types import IntegerType, StructField, StructType
         schema = StructType(target.schema.fields + [StructField("key_bucket", IntegerType())])
