@@ -56,7 +56,7 @@ def combine(left: tuple[int, int], right: tuple[int, int], right_bytes: int, pri
 
 
 def fingerprints(docs: DataFrame, chunk: int = CHUNK_BYTES, huge: int = HUGE_BYTES, primes=PRIMES) -> DataFrame:
-    """Per row: doc_id, n_bytes, f1, f2 (fingerprint) and text_sha256 of the normalised text."""
+    """Per row: doc_id, text_key, n_bytes, f1, f2 (fingerprint) and text_sha256 of the normalised text."""
 
     def whole(batches):
         powers = _powers(chunk, primes)
@@ -73,12 +73,12 @@ def fingerprints(docs: DataFrame, chunk: int = CHUNK_BYTES, huge: int = HUGE_BYT
                 cols["f1"].append(f[0])
                 cols["f2"].append(f[1])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(cols["n_bytes"], pa.int64()), pa.array(cols["f1"], pa.int64()),
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(cols["n_bytes"], pa.int64()), pa.array(cols["f1"], pa.int64()),
                  pa.array(cols["f2"], pa.int64()), pa.array(cols["text_sha256"], pa.string())],
-                ["doc_id", "n_bytes", "f1", "f2", "text_sha256"])
+                ["doc_id", "text_key", "n_bytes", "f1", "f2", "text_sha256"])
 
-    schema = "doc_id long, n_bytes long, f1 long, f2 long, text_sha256 string"
-    known = materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(whole, schema), "fingerprints")
+    schema = "doc_id long, text_key long, n_bytes long, f1 long, f2 long, text_sha256 string"
+    known = materialize(docs.mapInArrow(whole, schema), "fingerprints")
     long = known.where("f1 is null")
     if long.isEmpty():
         return known
@@ -106,49 +106,50 @@ def fingerprints(docs: DataFrame, chunk: int = CHUNK_BYTES, huge: int = HUGE_BYT
     return known.where("f1 is not null").unionByName(done)
 
 
+def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, and text_key, a hash that names the row's text as it stands."""
+    docs = ids_and_texts(df, id_col, text_col)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"))
+
+
 def compared(docs: DataFrame, suspects: DataFrame, chunk: int = CHUNK_BYTES) -> DataFrame:
-    """Chunk rows (doc_id, n_bytes, f1, f2, at, part) of the documents in ``suspects`` (text_sha256 names a row's text)."""
+    """Chunk rows (text_key, n_bytes, f1, f2, at, part) of the texts in ``suspects``."""
+    names, types = ["text_key", "n_bytes", "f1", "f2", "at", "part"], [pa.int64()] * 5 + [pa.binary()]
 
     def cut(batches):
         for batch in batches:
-            cols = [[], [], [], [], [], []]
+            cols = [[] for _ in names]
             for row in batch.to_pylist():
                 data = (row["text"] or "").encode().lower()
                 for at in range(0, max(len(data), 1), chunk):
-                    for c, v in zip(cols, (row["doc_id"], row["n_bytes"], row["f1"], row["f2"], at, data[at:at + chunk]), strict=True):
+                    for c, v in zip(cols, (*(row[k] for k in names[:4]), at, data[at:at + chunk]), strict=True):
                         c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 5 + [pa.binary()], strict=True)],
-                                             ["doc_id", "n_bytes", "f1", "f2", "at", "part"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
-    named = docs.select(F.col("doc_id").cast("long"), "text")
-    return (checked_join(named, suspects, "doc_id").select("doc_id", "text", "n_bytes", "f1", "f2")
-            .mapInArrow(cut, "doc_id long, n_bytes long, f1 long, f2 long, at long, part binary"))
+    return (checked_join(docs.select("text", "text_key"), suspects, "text_key").select("text", *names[:4])
+            .mapInArrow(cut, "text_key long, n_bytes long, f1 long, f2 long, at long, part binary"))
 
 
-def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK_BYTES,
-                 huge: int = HUGE_BYTES, primes=PRIMES) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (see the module's defined cases)."""
-    docs = ids_and_texts(df, id_col, text_col)
+def groups_of(docs: DataFrame, chunk: int = CHUNK_BYTES, huge: int = HUGE_BYTES, primes=PRIMES) -> DataFrame:
+    """One row per row of ``docs`` (keyed): doc_id, text_key, keep_id, group_size, kept, text_sha256."""
     known = fingerprints(docs, chunk, huge, primes)
     same = ["n_bytes", "f1", "f2"]
     groups = materialize(known.groupBy(*same).agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
                          .where("group_size > 1"), "groups")
-    suspects = materialize(checked_join(known.where("doc_id is not null"), groups.select(*same), same)
-                           .select("doc_id", *same).distinct(), "suspects")
+    suspects = materialize(checked_join(known, groups.select(*same), same).select("text_key", *same).distinct(), "suspects")
     # Copies collapse before the shuffle: what is left of a group is one row per different chunk.
-    contents = compared(docs, suspects, chunk).groupBy(*same, "at", "part").agg(F.min("doc_id").alias("chunk_class"))
+    contents = compared(docs, suspects, chunk).groupBy(*same, "at", "part").agg(F.min("text_key").alias("chunk_class"))
     collided = materialize(contents.groupBy(*same, "at").agg(F.count("*").alias("n")).where("n > 1")
                            .select(*same).distinct(), "collided")
     known = known.withColumn("split", F.lit(None).cast("string"))
+    groups = groups.withColumn("split", F.lit(None).cast("string"))
     if not collided.isEmpty():
         known, groups = _separate(docs, known, groups, suspects, collided, chunk)
-    else:
-        groups = groups.withColumn("split", F.lit(None).cast("string"))
     out = known.alias("k").join(
         groups.alias("g"), (F.col("k.f1") == F.col("g.f1")) & (F.col("k.f2") == F.col("g.f2"))
         & (F.col("k.n_bytes") == F.col("g.n_bytes")) & F.col("k.split").eqNullSafe(F.col("g.split")), "left")
     keep = F.when(F.col("g.group_size").isNull(), F.col("k.doc_id")).otherwise(F.col("g.keep_id"))
-    return out.select(F.col("k.doc_id").alias("doc_id"), keep.alias("keep_id"),
+    return out.select(F.col("k.doc_id").alias("doc_id"), F.col("k.text_key").alias("text_key"), keep.alias("keep_id"),
                       F.coalesce(F.col("g.group_size"), F.lit(1)).cast("long").alias("group_size"),
                       F.col("k.doc_id").eqNullSafe(keep).alias("kept"), F.col("k.text_sha256").alias("text_sha256"))
 
@@ -156,22 +157,34 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def _separate(docs, known, groups, suspects, collided, chunk):
     """Splits groups in which equal fingerprints met different texts: a text's class is the list of its chunks' classes."""
     same = ["n_bytes", "f1", "f2"]
-    hit = materialize(suspects.join(collided, same, "left_semi"), "collided-docs")
+    hit = materialize(suspects.join(collided, same, "left_semi"), "collided-texts")
     rows = materialize(compared(docs, hit, chunk), "collided-chunks")
-    classes = rows.groupBy(*same, "at", "part").agg(F.min("doc_id").alias("chunk_class"))
-    split = (rows.join(classes, [*same, "at", "part"]).groupBy("doc_id", *same)
+    classes = rows.groupBy(*same, "at", "part").agg(F.min("text_key").alias("chunk_class"))
+    split = (rows.join(classes, [*same, "at", "part"]).groupBy("text_key", *same)
              .agg(F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("at", "chunk_class"))), lambda x: x["chunk_class"].cast("string")), ",").alias("split")))
-    known = known.drop("split").join(split, ["doc_id", *same], "left")
+    known = known.drop("split").join(split, ["text_key", *same], "left")
     inside = known.where("split is not null").groupBy(*same, "split").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    outside = groups.join(collided, same, "left_anti").withColumn("split", F.lit(None).cast("string"))
+    outside = groups.join(collided, same, "left_anti")
     return known, outside.unionByName(inside)
 
 
+def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK_BYTES,
+                 huge: int = HUGE_BYTES, primes=PRIMES) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (see the module's defined cases)."""
+    return groups_of(keyed(df, id_col, text_col), chunk, huge, primes).drop("text_key")
+
+
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, of which no copy with a larger id exists; rows without an id stay."""
-    gone = exact_groups(df, id_col, text_col).where("not kept").select(F.col("doc_id").alias("_gone"))
-    gone = materialize(gone.where("_gone is not null").distinct(), "copies")
-    return checked_join(df, gone, df[id_col].cast("long") == gone["_gone"], "left_anti")
+    gone = groups_of(keyed(df, id_col, text_col)).where("not kept and doc_id is not null")
+    return without(df, gone, id_col, text_col)
+
+
+def without(df: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``df`` that are not in ``gone`` by doc_id and text_key."""
+    gone = materialize(gone.select(F.col("doc_id").alias("_gone"), F.col("text_key").alias("_key")).distinct(), "gone")
+    key = F.xxhash64(F.coalesce(df[text_col], F.lit("")))
+    return checked_join(df, gone, (df[id_col].cast("long") == gone["_gone"]) & (key == gone["_key"]), "left_anti")
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ from ledgerline.llm.common import hash_words, ids_and_texts, load, materialize,
 WIDTH = 35
 GRAM = 12
 #: Different sequences of an anchor in one automaton.
-MOST = 2_000
+MOST = 256
 #: Longer runs of windows (a phrase over and over) are cut.
 RUN = 256
 #: Joined without moving the texts while the other side has at most so many bytes.
