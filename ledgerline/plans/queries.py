@@ -17,7 +17,7 @@ from ledgerline.operators import cdc, dedup, joins, merge, watermark
 from ledgerline.plans import disputes as nd
 from ledgerline.plans import purchases as npur
 from ledgerline.plans import refunds as nref
-from ledgerline.session import shared_dir
+from ledgerline.session import materialize, shared_dir
 from ledgerline.sources import cdc_files
 from ledgerline.sources import tables as tb
 
@@ -110,15 +110,17 @@ def _purchases(s, d, payments, run_ts):
                                     _events(s, d), run_ts=run_ts)
 
 
-def q_merge_purchase(s, d):
-    pay = _payments(s, d)
-    earlier = _purchases(s, d, pay.where(F.col("payment_created_at") < F.lit(EARLIER_PURCHASE_CUT)
-                                         .cast("timestamp_ntz")), tb.EARLIER_RUN_TS)
-    target = earlier.select(*[
+def _earlier_purchases(s, d):
+    """What an earlier run left in the purchase table."""
+    old = _payments(s, d).where(F.col("payment_created_at") < F.lit(EARLIER_PURCHASE_CUT).cast("timestamp_ntz"))
+    return _purchases(s, d, old, tb.EARLIER_RUN_TS).select(*[
         (F.substring("external_id", 4, 20).cast("bigint") if c == "id" else F.col(c)).alias(c)
         for c in schemas.PURCHASE_COLUMNS])
-    source = _purchases(s, d, pay, tb.RUN_TS)
-    return merge.merge_upsert(target, source, merge.PURCHASE_MERGE)
+
+
+def q_merge_purchase(s, d):
+    source = materialize(_purchases(s, d, _payments(s, d), tb.RUN_TS), "purchases")  # read by the key check and the merge
+    return merge.merge_upsert(tb.lake_table(s, d, "earlier_purchases"), source, merge.PURCHASE_MERGE)
 
 
 def _norm_refunds(s, d, flag, run_ts):
@@ -126,14 +128,29 @@ def _norm_refunds(s, d, flag, run_ts):
                                   tb.TEST_INTERNAL_EMAIL_PATTERNS, run_ts=run_ts)
 
 
+def _earlier_refunds(s, d):
+    return _norm_refunds(s, d, "R", tb.EARLIER_RUN_TS).select(*schemas.NORM_REFUND_COLUMNS)
+
+
+def _earlier_disputes(s, d):
+    return nd.normalize_disputes(_disputes(s, d), _payments(s, d), tb.EARLIER_RUN_TS)
+
+
+# Outputs of earlier runs are lake tables too: written once, keyed as they are merged.
+for _name, _key, _build in (("earlier_purchases", "external_id", _earlier_purchases),
+                            ("earlier_refunds", "purchase_external_id", _earlier_refunds),
+                            ("earlier_disputes", "charge_id", _earlier_disputes)):
+    tb.LAKE_BUILDERS[_name], tb.LAKE_KEYS[_name] = _build, _key
+
+
 def q_merge_norm_refund(s, d):
-    target = _norm_refunds(s, d, "R", tb.EARLIER_RUN_TS).select(*schemas.NORM_REFUND_COLUMNS)
-    return merge.merge_upsert(target, _norm_refunds(s, d, "A", tb.RUN_TS), merge.NORM_REFUND_MERGE)
+    target = tb.lake_table(s, d, "earlier_refunds")
+    return merge.merge_upsert(target, materialize(_norm_refunds(s, d, "A", tb.RUN_TS), "refunds"), merge.NORM_REFUND_MERGE)
 
 
 def q_merge_norm_dispute(s, d):
-    target = nd.normalize_disputes(_disputes(s, d), _payments(s, d), tb.EARLIER_RUN_TS)
-    source = nd.normalize_disputes(_disputes(s, d, later=True), _payments(s, d), tb.RUN_TS)
+    target = tb.lake_table(s, d, "earlier_disputes")
+    source = materialize(nd.normalize_disputes(_disputes(s, d, later=True), _payments(s, d), tb.RUN_TS), "disputes")
     return merge.merge_upsert(target, source, merge.NORM_DISPUTE_MERGE)
 
 
