@@ -6,8 +6,7 @@ Public API (all functions take and return DataFrames / Columns):
   ``fold_log``, ``cdc_fold``, ``latest_per_key``
 * MERGE: ``MergeSpec``, ``merge_upsert``, ``merge_into_table``, ``merge_sql``,
   ``append_by_name`` and the pipeline specs in ``ledgerline.operators.merge``
-* joins: ``join_asof``, ``join_next`` (linear forms), ``join_versions_all``,
-  ``join_following_events`` (definition forms)
+* joins: ``join_asof``, ``join_next`` (linear forms)
 * watermarks: ``scan_incremental``, ``holdback_watermark``, ``latest_ts``,
   ``WatermarkStore``
 * pipelines: ``normalize_purchases``, ``normalize_refunds``,
@@ -17,7 +16,7 @@ Public API (all functions take and return DataFrames / Columns):
 
 from ledgerline.operators.cdc import apply_delta, cdc_fold, cdc_split, fold_log
 from ledgerline.operators.dedup import latest_per_key
-from ledgerline.operators.joins import join_asof, join_following_events, join_next, join_versions_all
+from ledgerline.operators.joins import join_asof, join_next
 from ledgerline.operators.merge import MergeSpec, append_by_name, merge_into_table, merge_sql, merge_upsert
 from ledgerline.operators.watermark import WatermarkStore, holdback_watermark, latest_ts, scan_incremental
 from ledgerline.plans.disputes import normalize_disputes
@@ -28,7 +27,7 @@ from ledgerline.streaming.cdc_stream import cdc_stream
 
 __all__ = [
     "apply_delta", "cdc_fold", "cdc_split", "fold_log", "latest_per_key", "join_asof",
-    "join_following_events", "join_next", "join_versions_all", "MergeSpec", "append_by_name",
+    "join_next", "MergeSpec", "append_by_name",
     "merge_into_table", "merge_sql", "merge_upsert", "WatermarkStore", "holdback_watermark",
     "latest_ts", "scan_incremental", "normalize_disputes", "normalize_purchases", "normalize_refunds",
     "initial_load", "read_cdc", "cdc_stream",

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline.functions.coerce import stamp_load_time
 from ledgerline.operators.cdc import fold_log
+from ledgerline.operators.joins import restrict_to
 from ledgerline.operators.merge import (BUCKET_COL, NORM_DISPUTE_MERGE, NORM_REFUND_MERGE, PURCHASE_MERGE,
                                         MergeSpec, merge_into_table, write_table)
 from ledgerline.operators.watermark import (NO_WATERMARK, WatermarkStore, holdback_watermark, latest_ts,
@@ -173,6 +174,8 @@ def run_normalize_refunds(spark: SparkSession, *, refunds: DataFrame, payments:
     newest = latest_ts(increment).collect()[0][0]
     if newest is None:
         return RunResult(None)
+    # The payments of a small increment are picked out where they lie, not shuffled.
+    payments = restrict_to(payments, increment, "payment_intent_id")
     rows = normalize_refunds(increment, payments, versions, exclude_patterns, run_ts=run_ts, threshold=threshold)
     from ledgerline.schemas import NORM_REFUND_COLUMNS
     like = rows.select(*NORM_REFUND_COLUMNS)
@@ -190,7 +193,7 @@ def run_normalize_disputes(spark: SparkSession, *, disputes: DataFrame, payments
     newest = latest_ts(increment).collect()[0][0]
     if newest is None:
         return RunResult(None)
-    rows = normalize_disputes(increment, payments, run_ts=run_ts)
+    rows = normalize_disputes(increment, restrict_to(payments, increment, "charge_id"), run_ts=run_ts)
     _ensure_table(spark, target_path, rows, NORM_DISPUTE_MERGE.on, buckets)
     n = merge_into_table(spark, target_path, rows, NORM_DISPUTE_MERGE, buckets, like=rows)
     store.put(dataset, job, "incremental etl", _iso(newest))

@@ -12,7 +12,7 @@ from ledgerline.functions import (extract_payment_fields, is_fully_refunded_shor
                                   operational_costs, parse_payload, processing_fee,
                                   purchase_flags, state_name, strip_outer_quote)
 from ledgerline.functions.coerce import load_time
-from ledgerline.operators.joins import join_asof, join_next, join_payment_refund, join_versions_all
+from ledgerline.operators.joins import join_asof, join_next, join_payment_refund
 from ledgerline.schemas import payment_payload_ddl
 from ledgerline.session import materialize
 
@@ -37,27 +37,17 @@ def prepare_payments(payments: DataFrame, package_field: str | None = None) -> D
     return payments.withColumns(fields).drop("payment_data")
 
 
-def purchase_base(payments: DataFrame, refunds: DataFrame, versions: DataFrame,
-                  version_mode: str = "asof") -> DataFrame:
-    """Payment facts with refund, product version, flags and fee.
-
-    ``version_mode="asof"``: the latest product version at or before the
-    payment (one row per payment).  ``"all"``: every earlier version (the
-    definition form; a payment fans out over its versions).
-    """
+def purchase_base(payments: DataFrame, refunds: DataFrame, versions: DataFrame) -> DataFrame:
+    """Payment facts with refund, flags, fee and the latest product version
+    at or before the payment (one row per payment)."""
     j = join_payment_refund(prepare_payments(payments), refunds) \
         .withColumnRenamed("amount_refunded", "refunded_amount")
     vcols = {"operational_costs": "new_operational_costs", "id": "product_history_id",
              "name": "product_name", "category": "product_category"}
-    if version_mode == "asof":
-        j = join_asof(j, versions, left_key="productTag", right_key="tag",
-                      left_time="payment_created_at", right_time="starting_at", tiebreak=["id"],
-                      columns=vcols, bucket_seconds=VERSION_BUCKET_SECONDS,
-                      broadcast_max_rows=VERSION_BROADCAST_MAX_ROWS, hot_key_rows=HOT_KEY_ROWS)
-    elif version_mode == "all":
-        j = join_versions_all(j, versions, "productTag", "payment_created_at", vcols)
-    else:
-        raise ValueError(version_mode)
+    j = join_asof(j, versions, left_key="productTag", right_key="tag",
+                  left_time="payment_created_at", right_time="starting_at", tiebreak=["id"],
+                  columns=vcols, bucket_seconds=VERSION_BUCKET_SECONDS,
+                  broadcast_max_rows=VERSION_BROADCAST_MAX_ROWS, hot_key_rows=HOT_KEY_ROWS)
     flags = purchase_flags("productTag", "product_category")
     return j.select(
         F.col("payment_intent_id").alias("external_id"),

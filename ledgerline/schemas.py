@@ -20,7 +20,7 @@ _CARD_DETAILS = """struct<
     overcapture: struct<status: string, maximum_amount_capturable: int>,
     installments: string, multicapture: string,
     network_token: struct<used: boolean>,
-    capture_before: int, three_d_secure: string, amount_authorized: int,
+    capture_before: bigint, three_d_secure: string, amount_authorized: int,
     extended_authorization: struct<status: string>,
     incremental_authorization: struct<status: string>>"""
 
@@ -43,7 +43,7 @@ _PAYMENT_METADATA = """struct<
     {package_field}: struct<next_steps: string, package_id: int, package_tag: string, provider_id: string,
                             total_price: int, package_name: string, appointment_type_id: string,
                             package_description: string, primary_product_tag: string,
-                            requires_scheduling: boolean, offering_id: string>>"""
+                            requires_scheduling: boolean, {offering_field}: string>>"""
 
 # Fields shared by charge and refund documents after `application_fee`.
 _CHARGE_TAIL = f"""
@@ -61,13 +61,14 @@ _CHARGE_MIDDLE = """
     payment_intent: string, payment_method: string, receipt_number: string, transfer_group: string,
     amount_captured: int, amount_refunded: int, application_fee: string,"""
 
-def payment_payload_ddl(package_field: str = "vendorPackage") -> str:
-    """Charge document layout.  The name of the seller-specific package
-    object inside ``metadata`` is a deployment parameter."""
-    metadata = _PAYMENT_METADATA.replace("{package_field}", package_field)
+def payment_payload_ddl(package_field: str = "vendorPackage", offering_field: str = "offering_id") -> str:
+    """Charge document layout.  The names of the seller-specific package
+    object inside ``metadata`` and of its offering id are deployment
+    parameters."""
+    metadata = _PAYMENT_METADATA.replace("{package_field}", package_field).replace("{offering_field}", offering_field)
     return f"""struct<
     id: string, paid: boolean, `order`: string, amount: int, object: string, review: string,
-    source: string, status: string, created: int, dispute: string, invoice: string,
+    source: string, status: string, created: bigint, dispute: string, invoice: string,
     outcome: {_OUTCOME},
     captured: boolean, currency: string, customer: string, disputed: boolean, livemode: boolean,
     metadata: {metadata},{_CHARGE_MIDDLE}{_CHARGE_TAIL}>"""
@@ -77,7 +78,7 @@ PAYMENT_PAYLOAD_DDL = payment_payload_ddl()
 
 REFUND_PAYLOAD_DDL = f"""struct<
     id: string, paid: boolean, `order`: string, amount: int, object: string, review: string,
-    source: string, status: string, created: int, dispute: string, invoice: string,
+    source: string, status: string, created: bigint, dispute: string, invoice: string,
     outcome: {_OUTCOME},
     refunds: struct<url: string, data: string, object: string, has_more: boolean, total_count: int>,
     captured: boolean, currency: string, customer: string, disputed: boolean, livemode: boolean,
@@ -85,7 +86,7 @@ REFUND_PAYLOAD_DDL = f"""struct<
 
 DISPUTE_PAYLOAD_DDL = """struct<
     id: string, amount: double, charge: string, object: string, reason: string, status: string,
-    created: int, currency: string,
+    created: bigint, currency: string,
     evidence: struct<receipt: string, service_date: string, customer_name: string, refund_policy: string,
         shipping_date: string, billing_address: string, shipping_address: string, shipping_carrier: string,
         customer_signature: string, uncategorized_file: string, uncategorized_text: string,
@@ -98,7 +99,7 @@ DISPUTE_PAYLOAD_DDL = """struct<
     livemode: boolean,
     metadata: struct<>,
     payment_intent: string,
-    evidence_details: struct<due_by: int, past_due: boolean, has_evidence: boolean, submission_count: int>,
+    evidence_details: struct<due_by: bigint, past_due: boolean, has_evidence: boolean, submission_count: int>,
     balance_transaction: string,
     balance_transactions: array<string>,
     is_charge_refundable: boolean,

@@ -118,7 +118,9 @@ def _q(c: Column) -> Column:
 
 def customer_email(custkey: Column, segment: Column) -> Column:
     k = custkey.cast("string")
-    return (F.when(segment == "HOUSEHOLD", F.concat(F.lit("c"), k, F.lit("@internal.example.com")))
+    # Every 50th customer has no e-mail.
+    return (F.when(custkey % 50 == 7, F.lit(None).cast("string"))
+            .when(segment == "HOUSEHOLD", F.concat(F.lit("c"), k, F.lit("@internal.example.com")))
             .when(segment == "AUTOMOBILE", F.concat(F.lit("QA-Team+c"), k, F.lit("@example.com")))
             .otherwise(F.concat(F.lit("customer"), k, F.lit("@example.com"))))
 

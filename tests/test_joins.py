@@ -6,7 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import join_asof, join_following_events, join_next, join_versions_all
+from ledgerline.operators.joins import join_asof, join_next, restrict_to
+from tests.definitions import join_following_events, join_versions_all
 from pyspark.sql import Window
 from tests.conftest import rows
 
@@ -153,3 +154,10 @@ def test_asof_equals_ranked_versions_all(spark, bcast):
     fast = join_asof(L, R, left_key="k", right_key="tag", left_time="t", right_time="starting_at", tiebreak=["id"],
                      columns={"id": "vid"}, bucket_seconds=20 * 86400, broadcast_max_rows=bcast)
     assert rows(fast) == rows(ranked)
+
+
+def test_restrict_to_keeps_what_the_increment_needs(spark):
+    rows_ = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    increment = spark.createDataFrame([(3,), (3,), (None,), (500,)], "k long")
+    assert [r["k"] for r in restrict_to(rows_, increment, "k").collect()] == [3]
+    assert restrict_to(rows_, increment, "k", most=1).count() == 100

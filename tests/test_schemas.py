@@ -16,7 +16,7 @@ def test_payload_layouts(spark):
     assert [f.name for f in meta["provider"].dataType.fields] == ["fullName", "providerId"]
     assert len(pay.fields) == 47
     dis = _schema(spark, DISPUTE_PAYLOAD_DDL)
-    assert dis["evidence_details"].dataType["due_by"].dataType.simpleString() == "int"
+    assert dis["evidence_details"].dataType["due_by"].dataType.simpleString() == "bigint"
     assert len(dis["evidence"].dataType.fields) == 27 and len(dis["metadata"].dataType.fields) == 0
     ref = _schema(spark, REFUND_PAYLOAD_DDL)
     assert ref["metadata"].dataType.simpleString() == "string" and len(ref.fields) == 48
