@@ -9,11 +9,12 @@ from ledgerline import constants as K
 from ledgerline.functions import dispute_fields, parse_payload, strip_outer_quote
 from ledgerline.functions.coerce import load_time
 from ledgerline.operators.joins import join_dispute_payment
+from ledgerline.schemas import DISPUTE_USED_DDL
 
 
 def enrich_disputes(disputes: DataFrame, payments: DataFrame) -> DataFrame:
     j = join_dispute_payment(disputes, payments)
-    parsed = parse_payload(strip_outer_quote("dispute_data"), "dispute")
+    parsed = parse_payload(strip_outer_quote("dispute_data"), ddl=DISPUTE_USED_DDL)
     return j.withColumn("dispute_data", parsed).withColumns(dispute_fields("dispute_data"))
 
 

@@ -13,7 +13,7 @@ from ledgerline.functions import (extract_payment_fields, is_fully_refunded_shor
                                   purchase_flags, state_name, strip_outer_quote)
 from ledgerline.functions.coerce import load_time
 from ledgerline.operators.joins import join_asof, join_next, join_payment_refund
-from ledgerline.schemas import payment_payload_ddl
+from ledgerline.schemas import PAYMENT_USED_DDL
 from ledgerline.session import materialize
 
 # Time buckets of the version intervals (broadcast path) and of heavy
@@ -28,11 +28,10 @@ HOT_KEY_ROWS = 1_000_000
 VERSION_BROADCAST_MAX_ROWS = 1_000_000
 
 
-def prepare_payments(payments: DataFrame, package_field: str | None = None) -> DataFrame:
+def prepare_payments(payments: DataFrame) -> DataFrame:
     """Strip the outer quotes of the payload, parse it and pull the product
     tag, provider name and provider id (``''`` when missing)."""
-    ddl = payment_payload_ddl(package_field) if package_field else None
-    parsed = parse_payload(strip_outer_quote("payment_data"), "payment", ddl=ddl)
+    parsed = parse_payload(strip_outer_quote("payment_data"), ddl=PAYMENT_USED_DDL)
     fields = extract_payment_fields(parsed)
     return payments.withColumns(fields).drop("payment_data")
 

@@ -105,6 +105,11 @@ DISPUTE_PAYLOAD_DDL = """struct<
     is_charge_refundable: boolean,
     payment_method_details: struct<card: struct<brand: string, network_reason_code: string>, type: string>>"""
 
+# What the normalising plans read of a charge and of a dispute: from_json does
+# the work of the whole layout it is given, so they give it only this much.
+PAYMENT_USED_DDL = "struct<metadata: struct<packageTag: string, provider: struct<fullName: string, providerId: string>>>"
+DISPUTE_USED_DDL = "struct<status: string, evidence_details: struct<due_by: bigint>>"
+
 PAYLOAD_DDL = {
     "payment": PAYMENT_PAYLOAD_DDL,
     "refund": REFUND_PAYLOAD_DDL,
