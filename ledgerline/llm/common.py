@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,14 +14,14 @@ from pyspark.sql import functions as F
 
 from ledgerline.session import materialize, parallelism
 
-__all__ = ["BROADCAST_ROWS", "A_Z", "load", "materialize", "parallelism", "ids_and_texts", "checked_join",
+__all__ = ["BROADCAST_ROWS", "A_Z", "load", "materialize", "parallelism", "ids_and_texts", "checked_join", "small_batches",
            "ascii_lower", "crc_mod", "slices", "words", "hash_words", "mix64", "shingles", "global_rank"]
 
 #: A written table of narrow rows (a few longs) is broadcast up to this many rows (tens of MB); a larger one is shuffled.
 BROADCAST_ROWS = 500_000
 A_Z = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Text bytes that a task holds as word arrays at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,6 +43,18 @@ def checked_join(left: DataFrame, written: DataFrame, on, how: str = "inner", ro
     return left.join(F.broadcast(written) if n <= BROADCAST_ROWS else written, on, how)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 8 << 20):
+    """Arrow batches of at most ``most`` bytes for the jobs run inside (rows of several KB would make large ones)."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ascii_lower(col):
     """Lower-cases A-Z alone."""
     return F.translate(col, *A_Z)
