@@ -181,3 +181,19 @@ def _out(df: DataFrame) -> DataFrame:
 
 def op8_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
+#: By all pairs of a label: what the operator finds if its recall is 1.
+OP8_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings),
+u AS (SELECT vec_id, label, x, sqrt(list_dot_product(x, x)) AS n FROM v
+  WHERE x IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL AND len(x) > 0 AND list_count(x) = len(x) AND len(list_filter(x, lambda c: NOT isfinite(c))) = 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE a.n > 0 AND b.n > 0 AND list_dot_product(a.x, b.x) / (a.n * b.n) >= 0.93),
+k AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
+r AS (SELECT a, a AS b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT v.vec_id, coalesce(k.n_links, 0)::BIGINT AS n_links, coalesce(m.component_id, v.vec_id) AS component_id,
+  v.vec_id IS NOT DISTINCT FROM coalesce(m.component_id, v.vec_id) AS kept
+FROM v LEFT JOIN k ON k.a = v.vec_id LEFT JOIN m ON m.a = v.vec_id
+"""

@@ -1,9 +1,9 @@
 """The operators' registered queries, and DuckDB SQL for those that SQL can express."""
 
-from ledgerline.llm.embed_dedup import op8_embedding_near_dedup
+from ledgerline.llm.embed_dedup import OP8_SQL, op8_embedding_near_dedup
 from ledgerline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from ledgerline.llm.hmm import op4_hmm_scoring
-from ledgerline.llm.jaccard import op5_ngram_jaccard
+from ledgerline.llm.jaccard import OP5_SQL, op5_ngram_jaccard
 from ledgerline.llm.mixing import OP6_SQL, op6_mixing
 from ledgerline.llm.packing import op3_best_fit_packing
 from ledgerline.llm.pii import op7_pii_pseudonyms
@@ -27,6 +27,8 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_warc": OP1_SQL,
     "op2_exact_dedup": OP2_SQL,
+    "op5_ngram_jaccard": OP5_SQL,
     "op6_mixing": OP6_SQL,
+    "op8_embedding_near_dedup": OP8_SQL,
     "op9_substring_dedup": OP9_SQL,
 }
