@@ -9,6 +9,8 @@ Parquet and read again.  All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.common import load, materialize
@@ -19,22 +21,42 @@ from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.toxicity import drop_toxic
 
 
+#: Of text that a task takes at a time: several stages share an executor's memory with what earlier ones left in its Python workers.
+BATCH_BYTES = 8 << 20
+
+
+def _in_small_batches(stage):
+    """The stage with Arrow batches of at most BATCH_BYTES, also when its result is written later."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
+@_in_small_batches
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, load(spark, sf_dir, "labels"))
 
 
+@_in_small_batches
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_exact_copies(docs)
 
 
+@_in_small_batches
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_near_copies(docs)
 
 
+@_in_small_batches
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed(docs)
 
 
+@_in_small_batches
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 

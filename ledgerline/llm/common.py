@@ -21,7 +21,7 @@ __all__ = ["BROADCAST_ROWS", "A_Z", "load", "materialize", "parallelism", "ids_a
 BROADCAST_ROWS = 500_000
 A_Z = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 #: Text bytes that a task holds as word arrays at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -77,6 +77,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         to = min(max(to, at + 1), batch.num_rows)
         yield batch.take(pa.array(np.arange(at, to)))  # a copy: some Arrow kernels misread sliced text
         at = to
+        pa.default_memory_pool().release_unused()  # workers live on; what they keep counts against their executor
 
 
 def words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, list[str]]:
