@@ -11,6 +11,15 @@ country codes and check digits stay or are made anew, so a pseudonym passes the
 same validation.  The local part of an e-mail address is permuted letter by
 letter and digit by digit within its length; its domain stays.
 
+Forms are looked for one after the other, from the strictest to the loosest, in
+what no earlier one took.  IBANs are cut to their country's length, phones with
+a known country code to its number of digits; cards come in the usual groups
+first.  Where a match fails validation, its shorter prefixes (in the loose
+forms) and later starts within it are tried.  The strict forms are told by
+shape, which a pseudonym keeps, so the way back finds them again; digit groups
+that can be read as several card numbers in no usual grouping may be read
+differently on the way back, as may phones of other countries before a number.
+
 Defined cases: a null text stays null, an empty one empty; a null or repeated
 id changes nothing (each text is treated alone); text outside the values found
 is kept byte for byte; an empty table gives no rows; further columns are ignored.
@@ -35,16 +44,21 @@ KEY = b"ledgerline pseudonyms 1"
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
 # FIXED VALUES: lengths of IBANs by country.
 IBAN_LENGTH = {"AT": 20, "BE": 16, "CH": 21, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
+# FIXED VALUES: digits of a national number, without a leading 0, by country code.
+PHONE_LENGTH = {"1": 10, "7": 10, "27": 9, "30": 10, "31": 9, "33": 9, "34": 9, "40": 9, "41": 9, "44": 10, "45": 8, "47": 8, "48": 9, "52": 10, "56": 9, "57": 10,
+                "61": 9, "63": 10, "65": 8, "90": 10, "91": 10, "92": 10, "351": 9, "420": 9, "852": 8}
+KNOWN_CODE = re.compile(r"\+(" + "|".join(PHONE_LENGTH) + ")")
 PATTERNS = {
     "email": r"(?<![\w.+-])(?P<email>[A-Za-z0-9][A-Za-z0-9._+-]*)(?=@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)",
-    "iban": r"(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?P<iban>" + "|".join(rf"{c}[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for c, n in IBAN_LENGTH.items()) + r")(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9./-])(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9]|-[0-9])",
     "card": r"(?<![0-9])(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?![0-9])",
     "phone": r"(?<![0-9A-Za-z])(?P<phone>\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4})(?![0-9])",
 }
-FOUND = re.compile("|".join(PATTERNS.values()))
+#: Cards without separators or in the usual groups (4-4-4-4, 4-6-5, 4-6-4).
+USUAL_CARD = r"(?<![0-9+])(?:[0-9]{13,19}|[2-6][0-9]{3}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|3[0-9]{3}([ -])[0-9]{6}\2[0-9]{4,5})(?![0-9])"
 #: No value is without one of these; a look for them spares most texts the patterns.
 HINT = re.compile("[0-9@]")
 KINDS = tuple(PATTERNS)
@@ -150,7 +164,7 @@ def _ssn(s, key, back):
 
 
 def _phone(s, key, back):
-    code = re.match(r"\+[0-9]{1,3}(?![0-9])|\+[17]", s)
+    code = KNOWN_CODE.match(s) or re.match(r"\+[0-9]{1,3}(?![0-9])", s)
     head = code[0] if code else ""
     d = re.sub("[^0-9]", "", s[len(head):])
     if not 7 <= len(re.sub("[^0-9]", "", s)) <= 15 or len(d) < 5:
@@ -192,20 +206,65 @@ def pseudonym(kind: str, value: str, key: bytes = KEY, back: bool = False) -> st
     return BY_KIND[kind](value, key, back)
 
 
+def _whole(m: re.Match) -> list[int]:
+    return [m.end()]
+
+
+def _by_code(m: re.Match) -> list[int]:
+    """Where a phone ends by its country code's number of digits (at its own end without a country code)."""
+    code = KNOWN_CODE.match(m[0])
+    if not code:
+        return [] if m[0][0] == "+" else [m.end()]
+    ends = [m.start() + i + 1 for i, c in enumerate(m[0]) if i >= code.end() and c.isdigit()]
+    n = PHONE_LENGTH[code[1]]
+    n += bool(ends) and m.string[ends[0] - 1] == "0"
+    return [ends[n - 1]] if len(ends) >= n and not m.string[ends[n - 1]:ends[n - 1] + 1].isdigit() else []
+
+
+def _shorter(m: re.Match) -> list[int]:
+    """The match's end and those of its shorter prefixes that end with a digit group."""
+    ends = [i for i in range(m.end() - 1, m.start() + 6, -1) if m.string[i - 1].isdigit() and not m.string[i].isdigit()]
+    return [m.end()] + [i for i in ends if m.re.fullmatch(m.string, m.start(), i)]
+
+
+#: Kind, form, where a match may end, and a character without which there is none.
+PASSES = [(kind, re.compile(form), ends, hint) for kind, form, ends, hint in (
+    ("email", PATTERNS["email"], _whole, "@"), ("iban", PATTERNS["iban"], _whole, ""), ("phone", PATTERNS["phone"], _by_code, ""), ("ip", PATTERNS["ip"], _whole, "."),
+    ("date", PATTERNS["date"], _whole, ""), ("ssn", PATTERNS["ssn"], _whole, "-"), ("card", USUAL_CARD, _whole, ""), ("phone", PATTERNS["phone"], _shorter, "+"), ("card", PATTERNS["card"], _shorter, ""))]
+
+
 def replaced(text: str, key: bytes = KEY, back: bool = False) -> tuple[str, dict[str, int]]:
     """The text with valid values replaced, and how many of each kind."""
     counts: dict[str, int] = {}
     if not HINT.search(text):
         return text, counts
-
-    def swap(m: re.Match) -> str:
-        new = pseudonym(m.lastgroup, m[0], key, back)
-        if new is None:
-            return m[0]
-        counts[m.lastgroup] = counts.get(m.lastgroup, 0) + 1
-        return new
-
-    return FOUND.sub(swap, text), counts
+    rest, found = text, []  # what is taken is blanked in ``rest``
+    for kind, form, ends, hint in PASSES:
+        if hint not in rest:
+            continue
+        at, taken = 0, []
+        while m := form.search(rest, at):
+            at = m.start() + 1
+            for end in ends(m):
+                new = pseudonym(kind, text[m.start():end], key, back)
+                if new is not None:
+                    taken.append((m.start(), end, new))
+                    at = end
+                    break
+        if taken:
+            counts[kind] = counts.get(kind, 0) + len(taken)
+            found += taken
+            rest = _put(rest, [(a, b, "\0" * (b - a)) for a, b, _ in taken])
+    return _put(text, sorted(found)), counts
+
+
+def _put(text: str, parts: list[tuple[int, int, str]]) -> str:
+    """The text with the spans ``parts``, in order, replaced."""
+    out, at = [], 0
+    for a, b, new in parts:
+        out += [text[at:a], new]
+        at = b
+    return "".join([*out, text[at:]])
 
 
 def pseudonymised(df: DataFrame, key: bytes = KEY, back: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -71,3 +71,27 @@ def test_documents(spark):
     back = {r["doc_id"]: r["text"] for r in I.pseudonymised(I.pseudonymised(frame(spark, rows)), back=True).collect()}
     assert back[900] == rows[-3][1] and back[901] == rows[-2][1]
     assert I.pseudonymised(empty(spark)).count() == 0
+
+
+PLAIN = ["12", "123", "1234", "12/27", "7", "2020", "BIC COBADEFFXXX", "12345678"]
+
+
+@pytest.mark.parametrize("kind", list(VALUES))
+def test_values_beside_other_values_and_numbers(kind):
+    values = [(k, v + "@x.org" if k == "email" else v) for k, vs in VALUES.items() for v in vs]
+    alone = {v: I.replaced(v)[0] for _, v in values}
+    for v in [v for k, v in values if k == kind]:
+        assert alone[v] != v or v.startswith("x@"), v
+        for other in [v for _, v in values] + PLAIN:
+            for text, want in ((f"{v} {other}", f"{alone[v]} {alone.get(other, other)}"), (f"{other} {v}", f"{alone.get(other, other)} {alone[v]}")):
+                assert I.replaced(text)[0] == want, text
+                assert I.replaced(want, back=True)[0] == text, text
+
+
+def test_values_inside_failed_matches():
+    phone, ip = "+1 (826) 555-4081", "190.137.223.204"
+    assert I.replaced(f"{phone} {ip}")[0] == f"{I.pseudonym('phone', phone)} {I.pseudonym('ip', ip)}"
+    for text, value in (("4111111111111111 12/27", "4111111111111111"), ("12 4111 1111 1111 1111 123", "4111 1111 1111 1111"), ("99 41111111 11111111", "41111111 11111111")):
+        assert I.replaced(text)[0] == text.replace(value, I.pseudonym("card", value))
+    assert I.replaced("FR12 DE89370400440532013000 BIC X")[0] == f"FR12 {I.pseudonym('iban', 'DE89370400440532013000')} BIC X"
+    assert I.replaced("+442079460958")[0].startswith("+44")
