@@ -27,6 +27,7 @@ is kept byte for byte; an empty table gives no rows; further columns are ignored
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hmac
 import math
@@ -42,6 +43,8 @@ ROUNDS = 8
 KEY = b"ledgerline pseudonyms 1"
 #: Dates are permuted among the days of these years.
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
+#: Those up to the 12th of a month, and the others.
+EARLY_DAYS, LATE_DAYS = ([x for x in range(FIRST_DAY, LAST_DAY + 1) if (datetime.date.fromordinal(x).day > 12) == late] for late in (False, True))
 # FIXED VALUES: lengths of IBANs by country.
 IBAN_LENGTH = {"AT": 20, "BE": 16, "CH": 21, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
 # FIXED VALUES: digits of a national number, without a leading 0, by country code.
@@ -138,15 +141,11 @@ def _date(s, key, back):
             continue
         if not FIRST_DAY <= day <= LAST_DAY:
             continue
-        if not form:  # day and month cannot be told apart: only days up to the 12th are permuted among themselves, else by this form
-            d = datetime.date.fromordinal(day)
-            days = [x for x in range(1, 13)] if d.day <= 12 else [x for x in range(13, 29)]
-            if d.day > 28:
-                return None
-            at = ((d.year - 1900) * 12 + d.month - 1) * len(days) + days.index(d.day)
-            at = feistel(at, 200 * 12 * len(days), key, f"date{f if d.day > 12 else ''}{len(days)}", back)
-            rest, k = divmod(at, len(days))
-            return datetime.date(1900 + rest // 12, rest % 12 + 1, days[k]).strftime(f)
+        if not form:  # day and month cannot be told apart: days up to the 12th are permuted among themselves, later ones among themselves by this form
+            late = datetime.date.fromordinal(day).day > 12
+            days = LATE_DAYS if late else EARLY_DAYS
+            at = feistel(bisect.bisect_left(days, day), len(days), key, f"date{f if late else ''}{12 + late}", back)
+            return datetime.date.fromordinal(days[at]).strftime(f)
         new = FIRST_DAY + feistel(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back)
         return datetime.date.fromordinal(new).strftime(f)
     return None

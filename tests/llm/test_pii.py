@@ -1,3 +1,4 @@
+import datetime
 import random
 
 import pytest
@@ -95,3 +96,13 @@ def test_values_inside_failed_matches():
         assert I.replaced(text)[0] == text.replace(value, I.pseudonym("card", value))
     assert I.replaced("FR12 DE89370400440532013000 BIC X")[0] == f"FR12 {I.pseudonym('iban', 'DE89370400440532013000')} BIC X"
     assert I.replaced("+442079460958")[0].startswith("+44")
+
+
+def test_slash_dates_of_every_day():
+    days = [datetime.date(1999, 1, 1) + datetime.timedelta(k) for k in range(366)] + [datetime.date(2096, 2, 29), datetime.date(1900, 1, 31), datetime.date(2099, 12, 31)]
+    for form in ("%d/%m/%Y", "%m/%d/%Y"):
+        late = [d.strftime(form) for d in days if d.day > 12]
+        new = [I.pseudonym("date", d) for d in late]
+        assert len(set(new)) == len(late) and all(datetime.datetime.strptime(x, form).day > 12 for x in new)
+        assert [I.pseudonym("date", x, back=True) for x in new] == late
+    assert I.replaced("on 31/12/1999")[1] == I.replaced("on 12/30/2001")[1] == {"date": 1}
