@@ -1,7 +1,8 @@
 """A training corpus from raw documents, in five stages.
 
 Toxic documents go, then all but one of equal texts, then all but one of each
-group of near copies; sources are mixed to their target weights (a document
+group of near copies; of rows repeated with one id or without one, which these
+two stages leave, one of each text goes on; sources are mixed to their target weights (a document
 stands as often as the mix takes it), and what is left is packed into
 sequences.  Each stage works on all that its predecessor kept, written as
 Parquet and read again.  All but the last return the columns of ``documents``.
@@ -14,7 +15,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.common import load, materialize
-from ledgerline.llm.exact_dedup import drop_exact_copies
+from ledgerline.llm.exact_dedup import drop_exact_copies, one_per_text
 from ledgerline.llm.jaccard import drop_near_copies
 from ledgerline.llm.mixing import mixed
 from ledgerline.llm.packing import pack_documents
@@ -53,7 +54,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @_in_small_batches
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixed(docs)
+    return mixed(one_per_text(docs))
 
 
 @_in_small_batches

@@ -187,6 +187,21 @@ def without(df: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataF
     return checked_join(df, gone, (df[id_col].cast("long") == gone["_gone"]) & (key == gone["_key"]), "left_anti")
 
 
+def one_per_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``df``, all columns, of each group of equal texts: one with the largest id, one without an id only where no other is.
+
+    For what ``drop_exact_copies`` leaves: rows repeated with one id, and rows without one.
+    """
+    text = ascii_lower(F.coalesce(df[text_col], F.lit("")))
+    repeated = materialize(df.select(F.xxhash64(text).alias("_text")).groupBy("_text").count().where("count > 1").select("_text"), "repeated-texts")
+    if repeated.isEmpty():
+        return df
+    last = F.max_by(F.struct(*df.columns), F.coalesce(df[id_col].cast("long"), F.lit(-(1 << 63))))
+    one = checked_join(df.withColumn("_text", F.xxhash64(text)), repeated, "_text", "left_semi").groupBy(text.alias("_same")).agg(last.alias("_row")).select("_row.*")
+    rest = checked_join(df.withColumn("_text", F.xxhash64(text)), repeated, "_text", "left_anti").select(df.columns)
+    return rest.unionByName(materialize(one, "one-per-text"))
+
+
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:
     from ledgerline.llm.common import load
 

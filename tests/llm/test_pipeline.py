@@ -3,7 +3,7 @@ import pytest
 
 import corpus_pipeline
 from ledgerline.llm.queries import ORACLE_SQL, QUERIES
-from tests.llm.data import awkward, empty, frame, lower
+from tests.llm.data import awkward, empty, frame, lower, row
 from tests.llm.test_jaccard import component_ids
 from tests.llm.test_toxicity import corpus, labelled
 
@@ -65,3 +65,15 @@ def test_queries_equal_their_sql(spark, name):
     for c in as_float:
         want[c], got[c] = want[c].astype(float), got[c].astype(float)
     assert rows(got) == rows(want)
+
+
+def test_repeated_rows_and_rows_without_an_id_are_mixed_once(spark, tables):
+    texts = {"one two": [5, 5, None], "ONE three": [None, None], "one four": [6], "": [None]}
+    docs = frame(spark, [row(i, x) for x, ids in texts.items() for i in ids] + [row(None, "one THREE"), row(None, None)]).select(*COLUMNS)
+    for name in ("exact_dedup", "ngram_jaccard"):
+        docs = dict(corpus_pipeline.STAGES)[name](spark, docs, tables)
+    assert docs.count() == 9
+    one = corpus_pipeline.one_per_text(docs)
+    assert one.columns == COLUMNS and sorted((str(r["doc_id"]), lower(r["text"])) for r in one.collect()) == [("5", "one two"), ("6", "one four"), ("None", ""), ("None", "one three")]
+    got = corpus_pipeline.mixing(spark, docs, tables).collect()
+    assert sorted(map(str, got)) == sorted(map(str, corpus_pipeline.mixed(one).collect())) and len(got) < corpus_pipeline.mixed(docs).count()
