@@ -108,3 +108,21 @@ def test_stage1_without_full_load_starts_empty(spark):
     want = cdc_fold(empty, log, PAYMENT_MERGE, "payment_updated_at")
     got = spark.read.parquet(table).drop(BUCKET_COL)
     assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_registered_purchases_are_held_back_by_client_billing(spark, monkeypatch):
+    from ledgerline.plans import jobs, queries
+    runs, job = [], jobs.run_normalize_purchases
+
+    def keep(*args, **kw):
+        runs.append((job(*args, **kw), kw["client_billing"], kw["payments"]))
+        return runs[-1][0]
+
+    monkeypatch.setattr(jobs, "run_normalize_purchases", keep)
+    got = queries.q_incremental_purchases(spark, SMALL)
+    (first, billing, payments), (_, whole, _) = runs
+    held = billing.agg(F.max("created_at")).first()[0]
+    assert first.watermark == held.isoformat() and held < payments.agg(F.max("created_at")).first()[0]
+    assert whole.count() == tb.client_billing(spark, SMALL).count()
+    want = queries.q_normalize_purchases(spark, SMALL).select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
