@@ -1,5 +1,6 @@
 """The operators' registered queries, and DuckDB SQL for those that SQL can express."""
 
+from ledgerline.llm.divergence import OP11_SQL, op11_source_divergence
 from ledgerline.llm.embed_dedup import OP8_SQL, op8_embedding_near_dedup
 from ledgerline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from ledgerline.llm.hmm import op4_hmm_scoring
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_embedding_near_dedup": op8_embedding_near_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 ORACLE_SQL = {
@@ -31,4 +33,5 @@ ORACLE_SQL = {
     "op6_mixing": OP6_SQL,
     "op8_embedding_near_dedup": OP8_SQL,
     "op9_substring_dedup": OP9_SQL,
+    "op11_source_divergence": OP11_SQL,
 }
