@@ -3,6 +3,7 @@
 from ledgerline.llm.divergence import OP11_SQL, op11_source_divergence
 from ledgerline.llm.embed_dedup import OP8_SQL, op8_embedding_near_dedup
 from ledgerline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
+from ledgerline.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from ledgerline.llm.hmm import op4_hmm_scoring
 from ledgerline.llm.jaccard import OP5_SQL, op5_ngram_jaccard
 from ledgerline.llm.mixing import OP6_SQL, op6_mixing
@@ -24,6 +25,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
     "op11_source_divergence": op11_source_divergence,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -34,4 +36,5 @@ ORACLE_SQL = {
     "op8_embedding_near_dedup": OP8_SQL,
     "op9_substring_dedup": OP9_SQL,
     "op11_source_divergence": OP11_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
