@@ -6,6 +6,7 @@ from ledgerline.llm.exact_dedup import OP2_SQL, op2_exact_dedup
 from ledgerline.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from ledgerline.llm.hmm import op4_hmm_scoring
 from ledgerline.llm.jaccard import OP5_SQL, op5_ngram_jaccard
+from ledgerline.llm.language_id import op12_language_id
 from ledgerline.llm.mixing import OP6_SQL, op6_mixing
 from ledgerline.llm.packing import op3_best_fit_packing
 from ledgerline.llm.pii import op7_pii_pseudonyms
@@ -25,6 +26,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_toxicity": op10_toxicity,
     "op11_source_divergence": op11_source_divergence,
+    "op12_language_id": op12_language_id,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
