@@ -41,11 +41,11 @@ RANKS = 50
 #: Share of a whole, and what is added to each count.
 WHOLE, ADDED = 1_000_000_000, 5
 #: Text bytes sorted at a time; sources in a block; kept rows in a bucket of terms.
-SLICE = 6 << 20
+SLICE = 8 << 20
 SOURCES = 64
 BUCKET_ROWS = 50_000
 #: Pointers below which a part is finished by one sort instead of further splits.
-SMALL = 4096
+SMALL = 1 << 14
 
 _LETTER = np.zeros(256, bool)
 _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = _LETTER[0x80:] = True
@@ -91,38 +91,47 @@ def multikey_quicksort(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray)
     eight = np.ndarray((len(buffer) - 7,), ">u8", buffer, strides=(1,))
 
     def characters(which: np.ndarray, depth: int) -> np.ndarray:
-        left = np.clip(ends[which] - starts[which] - depth, 0, 8)
-        return eight[np.minimum(starts[which] + depth, len(eight) - 1)].astype(np.uint64) & _FIRST[left]
+        at = starts[which] + depth
+        left = np.minimum(np.maximum(ends[which] - at, 0), 8)
+        return eight[np.minimum(at, len(eight) - 1)].astype(np.uint64) & _FIRST[left]
+
+    def finish(lo: int, hi: int, depth: int) -> None:
+        """Sorts a small part, then all its ties by the characters behind, as long as they go on."""
+        at, run, key = np.arange(lo, hi), np.zeros(hi - lo, np.int64), keys[lo:hi]
+        while True:
+            by = np.lexsort((key, run)) if depth else np.argsort(key, kind="stable")
+            order[at], key, run = order[at[by]], key[by], run[by]
+            change = np.ones(len(at) + 1, bool)
+            change[1:-1] = (key[1:] != key[:-1]) | (run[1:] != run[:-1])
+            new[at[change[:-1]]] = True
+            ties = np.flatnonzero(~(change[:-1] & change[1:]) & ((key & _LAST) != 0))
+            if not len(ties):
+                return
+            run = (np.cumsum(change[:-1]))[ties]
+            at, depth = at[ties], depth + 8
+            key = characters(order[at], depth)
 
     keys = characters(order, 0)
     parts = [(0, n, 0)]
     while parts:
         lo, hi, depth = parts.pop()
-        part, key = order[lo:hi], keys[lo:hi]
         if hi - lo <= SMALL:
-            by = np.argsort(key, kind="stable")
-            order[lo:hi], key = part[by], key[by]
-            change = np.flatnonzero(key[1:] != key[:-1]) + 1
-            new[lo + change] = True
-            edge = np.concatenate([[0], change, [hi - lo]])
-            more = np.flatnonzero((np.diff(edge) > 1) & ((key[edge[:-1]] & _LAST) != 0))
-            found = [(lo + int(edge[k]), lo + int(edge[k + 1])) for k in more]
-        else:
-            pivot = np.sort(key[:: (hi - lo) // 9])[4]
-            less, greater = key < pivot, key > pivot
-            same = ~(less | greater)
-            a, b = int(less.sum()), int(same.sum())
-            order[lo:hi] = np.concatenate([part[less], part[same], part[greater]])
-            keys[lo:hi] = np.concatenate([key[less], key[same], key[greater]])
-            edges = (lo, lo + a, lo + a + b, hi)
-            for start in edges[:3]:
-                if start < hi:
-                    new[start] = True
-            parts += [(x, y, depth) for x, y in ((edges[0], edges[1]), (edges[2], edges[3])) if y - x > 1]
-            found = [edges[1:3]] if b > 1 and int(pivot) & 0xFF else []
-        for x, y in found:  # these agree in eight bytes and do not end in them
-            keys[x:y] = characters(order[x:y], depth + 8)
-            parts.append((x, y, depth + 8))
+            finish(lo, hi, depth)
+            continue
+        part, key = order[lo:hi], keys[lo:hi]
+        pivot = np.sort(key[:: (hi - lo) // 9])[4]
+        less, greater = key < pivot, key > pivot
+        same = ~(less | greater)
+        a, b = int(less.sum()), int(same.sum())
+        order[lo:hi] = np.concatenate([part[less], part[same], part[greater]])
+        keys[lo:hi] = np.concatenate([key[less], key[same], key[greater]])
+        for start, end, at in ((lo, lo + a, depth), (lo + a, lo + a + b, depth + 8), (lo + a + b, hi, depth)):
+            if start < end:
+                new[start] = True
+            if end - start > 1 and (at == depth or int(pivot) & 0xFF):  # a key that ends in a zero byte is a whole term
+                if at > depth:
+                    keys[start:end] = characters(order[start:end], at)
+                parts.append((start, end, at))
     return order, new
 
 

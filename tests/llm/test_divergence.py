@@ -71,7 +71,7 @@ def test_empty_table(spark):
     assert D.divergence_audit(empty(spark)).collect() == []
 
 
-@pytest.mark.parametrize("small", [1, 4, 4096])
+@pytest.mark.parametrize("small", [1, 40, 4096])
 def test_multikey_quicksort(monkeypatch, small):
     monkeypatch.setattr(D, "SMALL", max(small, 9))
     rng = random.Random(small)
