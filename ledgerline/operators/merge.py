@@ -7,20 +7,26 @@ a source row is inserted on every run) unless ``null_safe`` is set.
 
 ``merge_into_table`` applies a merge to a parquet table that is partitioned
 by a hash bucket of the key: only buckets the source touches are read,
-merged, staged in the shared folder and overwritten (dynamic partition
-overwrite), so a small increment never rewrites the whole table.
+merged, staged beside the table and swapped in under a redo record
+(:mod:`ledgerline.operators.commit`), so a small increment never rewrites the
+whole table and an interrupted swap is finished by the next run.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.session import materialize, shared_dir
+from ledgerline.operators.commit import BUCKET_COL, commit, recover, stage_path
+from ledgerline.session import materialize
 
-_T, _S = "__t_present", "__s_present"
+_T, _S, _N = "__t_present", "__s_present", "__s_rows"
+SEVERAL = "MERGE source has several rows for one key of"
 
 
 @dataclass(frozen=True)
@@ -41,30 +47,18 @@ class MergeSpec:
         return self.source_alias.get(c, c)
 
 
-def _s(c: str) -> str:
+def source_name(c: str) -> str:
+    """The name of a source column in the joined rows of ``merge_upsert``."""
     return f"__s__{c}"
 
 
-def duplicate_source_keys(source: DataFrame, on: tuple[str, ...]) -> DataFrame:
-    """Keys that occur more than once in a MERGE source (partial aggregation
-    on the key columns only)."""
-    not_null = F.lit(True)
-    for k in on:
-        not_null = not_null & F.col(k).isNotNull()
-    return source.where(not_null).groupBy(*on).count().where(F.col("count") > 1)
-
-
-def ambiguous_keys(target: DataFrame, source: DataFrame, spec: MergeSpec) -> DataFrame:
-    """Keys of ``target`` that several source rows match (standard MERGE
-    fails on these; a key that is only inserted may occur more than once)."""
-    keys = source.select(*[F.col(spec.source_col(k)).alias(k) for k in spec.on])
-    dup = duplicate_source_keys(keys, spec.on).drop("count")
-    return dup.join(target.select(*spec.on), list(spec.on), "left_semi")
+_s = source_name
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
                  validate: bool = True, null_safe: bool = False,
-                 dedupe_by: str | None = None) -> DataFrame:
+                 dedupe_by: str | None = None,
+                 choose: Callable[[str, Column, Column], Column] | None = None) -> DataFrame:
     """Post-merge table (target's columns, in target order).
 
     The join is on the key columns alone, so inputs that are bucketed alike
@@ -72,18 +66,22 @@ def merge_upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
     ``null_safe``): they stay out of the join and are kept or inserted as
     they are, so a NULL key is no hot key.
 
-    Duplicate source keys: by default one aggregation over the source keys
-    looks for keys that several source rows match in the target, and raises
-    as standard MERGE does; ``validate=False`` skips it for a source that is
-    unique by construction; ``dedupe_by=<time column>`` instead keeps, per
-    key, the source row that is latest in that column and then in the
-    remaining columns (a total order, one partially aggregated ``groupBy``).
+    Duplicate source keys: by default the merge fails when it is executed and
+    a target row is matched by several source rows, as standard MERGE does (a
+    key that is only inserted may occur more than once).  The rows per source
+    key are counted over the partitioning and order that the join needs
+    anyway, so neither side is read twice.  ``validate=False`` skips it for a
+    source that is unique by construction; ``dedupe_by=<time column>`` instead
+    keeps, per key, the source row that is latest in that column and then in
+    the remaining columns (a total order, one partially aggregated ``groupBy``).
+
+    ``choose(column, target value, source value)`` may replace the rule for
+    the updated columns of a matched row.
     """
     if dedupe_by is not None:
         from ledgerline.operators.dedup import latest_per_key
         source = latest_per_key(source, [spec.source_col(k) for k in spec.on], dedupe_by, ties="one")
-    elif validate and not ambiguous_keys(target, source, spec).isEmpty():
-        raise ValueError(f"MERGE source has several rows for one key of {spec.on}")
+    validate = validate and dedupe_by is None
     needed = sorted({spec.source_col(c) for c in (*spec.on, *spec.update, *spec.insert)})
     s = source.select(*[F.col(c).alias(_s(c)) for c in needed])
     source_keys = [_s(spec.source_col(k)) for k in spec.on]
@@ -99,6 +97,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
         rest = [target.where(t_null),
                 s.where(s_null).select(*[inserted(c).cast(types[c]).alias(c) for c in target.columns])]
     t, s = keyed_t.withColumn(_T, F.lit(True)), keyed_s.withColumn(_S, F.lit(True))
+    if validate:
+        s = s.withColumn(_N, F.count(F.lit(1)).over(W.partitionBy(*source_keys)))
     cond = F.lit(True)
     for k, sk in zip(spec.on, source_keys, strict=True):
         one = t[k].eqNullSafe(s[sk]) if null_safe else t[k] == s[sk]
@@ -106,9 +106,16 @@ def merge_upsert(target: DataFrame, source: DataFrame, spec: MergeSpec,
     j = t.join(s, cond, "full_outer")
     matched = F.col(_T).isNotNull() & F.col(_S).isNotNull()
     target_only = F.col(_S).isNull()
+    if validate:  # a filter, so no column pruning drops it
+        fails = F.raise_error(F.lit(f"{SEVERAL} {spec.on}")).cast("boolean")
+        j = j.where(F.when(matched & (F.col(_N) > 1), fails).otherwise(True))
     out = []
     for c in target.columns:
-        on_match = F.col(_s(spec.source_col(c))) if c in spec.update else F.col(c)
+        on_match = F.col(c)
+        if choose is not None and (c in spec.update or c in spec.insert) and c not in spec.on:
+            on_match = choose(c, F.col(c), F.col(_s(spec.source_col(c))))
+        elif c in spec.update:
+            on_match = F.col(_s(spec.source_col(c)))
         out.append(F.when(target_only, F.col(c)).when(matched, on_match)
                    .otherwise(inserted(c)).cast(types[c]).alias(c))
     merged = j.select(*out)
@@ -206,9 +213,6 @@ WATERMARK_MERGE = MergeSpec(on=("dataset", "job"), update=("kind", "ts"),
 # Persistence: bucket-partitioned parquet tables.
 # ---------------------------------------------------------------------------
 
-BUCKET_COL = "key_bucket"
-
-
 def key_bucket(on: tuple[str, ...], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in on]), F.lit(buckets)).cast("int")
 
@@ -228,23 +232,47 @@ def write_table(df: DataFrame, path: str, on: tuple[str, ...], buckets: int,
     _by_bucket(df.withColumn(BUCKET_COL, key_bucket(on, buckets)), order_by).parquet(path)
 
 
+def load_table(spark: SparkSession, df: DataFrame, path: str, on: tuple[str, ...], buckets: int,
+               order_by: str | None = "created_at", token: str | None = None) -> int:
+    """``write_table`` through a stage and a redo record: a load that is cut
+    short leaves no table, or one that the next run completes, never a part
+    that passes for the whole.  Returns the number of rows."""
+    seen = Observation("load")
+    stage = stage_path(path)
+    bucket = key_bucket(on, buckets)
+    _by_bucket(df.withColumn(BUCKET_COL, bucket).observe(seen, F.collect_set(BUCKET_COL).alias("buckets")), order_by).parquet(stage)
+    touched = sorted(seen.get.get("buckets") or [])
+    rows = spark.read.parquet(stage).count() if touched else 0
+    commit(spark, path, stage, touched, rows, token)
+    return rows
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
 def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: MergeSpec,
                      buckets: int, validate: bool = True, like: DataFrame | None = None,
-                     order_by: str | None = "created_at") -> int:
-    """Apply ``merge_upsert`` to a bucket-partitioned parquet table in place.
-
-    The source is written once to the shared folder, its keys in the table's
-    types; touched bucket ids (at most ``buckets`` small integers) are
-    collected to prune the target scan; the merged buckets are staged in the
-    shared folder and then swapped in by dynamic partition overwrite, so the
-    table is never read and overwritten by the same job.  A staged bucket
-    outside the touched ones would replace rows that were not read: that
-    raises and leaves the table as it is.
+                     order_by: str | None = "created_at", token: str | None = None,
+                     choose: Callable[[str, Column, Column], Column] | None = None) -> int:
+    """Apply ``merge_upsert`` to a bucket-partitioned parquet table in place;
+    returns the number of source rows.
+
+    An earlier merge that was cut short is finished first.  The source is
+    written once to the shared folder, its keys in the table's types; the same
+    job counts its rows and observes which buckets it touches (at most
+    ``buckets`` small integers), which prune the target scan.  The merged
+    buckets are staged beside the table and swapped in whole under a redo
+    record, so the table is never read and overwritten by the same job and a
+    crash loses nothing.  A staged bucket outside the touched ones would
+    replace rows that were not read: that raises and leaves the table as it is.
+
+    ``token`` names the source: if the newest finished merge has the same one,
+    the source has been merged before and nothing is done.
     """
+    last = recover(spark, path)
+    if token is not None and last is not None and last["token"] == token:
+        return last["rows"]
     if like is not None:
         # Table schema given explicitly: a new, still empty table has no
         # files to infer it from.
@@ -255,24 +283,26 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: Me
     types = dict(target.dtypes)
     # One cast per source column, to the type of the key it feeds.
     casts = {spec.source_col(k): F.col(spec.source_col(k)).cast(types[k]) for k in spec.on}
-    source = materialize(source.withColumns(casts), "merge-source")
     key = key_bucket(tuple(spec.source_col(k) for k in spec.on), buckets)
-    touched = [r[0] for r in source.select(key.alias("b")).distinct().collect()]
+    seen = Observation("merge-source")
+    # Observed in the writing stage itself: each task's figures count once.
+    source = materialize(source.withColumns(casts).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.collect_set(key).alias("buckets")), "merge-source")
+    rows, touched = seen.get.get("rows") or 0, sorted(seen.get.get("buckets") or [])
     if not touched:
         return 0
     target = target.where(F.col(BUCKET_COL).isin(touched))
-    merged = merge_upsert(target.drop(BUCKET_COL), source, spec, validate=validate)
-    stage = shared_dir(spark, "merge-stage")
-    _by_bucket(merged.withColumn(BUCKET_COL, key_bucket(spec.on, buckets)), order_by).parquet(stage)
-    staged = spark.read.parquet(stage)
-    strays = {r[0] for r in staged.select(BUCKET_COL).distinct().collect()} - set(touched)
+    merged = merge_upsert(target.drop(BUCKET_COL), source, spec, validate=validate, choose=choose)
+    stage, written = stage_path(path), Observation("merge-stage")
+    merged = merged.withColumn(BUCKET_COL, key_bucket(spec.on, buckets)).observe(written, F.collect_set(BUCKET_COL).alias("buckets"))
+    try:
+        _by_bucket(merged, order_by).parquet(stage)
+    except PySparkException as e:
+        if SEVERAL in str(e):
+            raise ValueError(f"{SEVERAL} {spec.on}") from e
+        raise
+    strays = set(written.get["buckets"]) - set(touched)
     if strays:
         raise ValueError(f"merge staged buckets {sorted(strays)} that the source does not touch")
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        _by_bucket(staged, order_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-    # Rows merged, counted on the written source copy (parquet metadata).
-    return source.count()
+    commit(spark, path, stage, touched, rows, token)
+    return rows

@@ -13,24 +13,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
-from ledgerline.functions.coerce import stamp_load_time
-from ledgerline.operators.cdc import fold_log
+from ledgerline.operators.commit import recover
 from ledgerline.operators.joins import restrict_to
-from ledgerline.operators.merge import (BUCKET_COL, NORM_DISPUTE_MERGE, NORM_REFUND_MERGE, PURCHASE_MERGE,
-                                        MergeSpec, merge_into_table, write_table)
+from ledgerline.operators.merge import (NORM_DISPUTE_MERGE, NORM_REFUND_MERGE, PURCHASE_MERGE,
+                                        MergeSpec, load_table, merge_into_table, write_table)
 from ledgerline.operators.watermark import (NO_WATERMARK, WatermarkStore, holdback_watermark, latest_ts,
                                             scan_incremental)
 from ledgerline.plans.disputes import normalize_disputes
 from ledgerline.plans.purchases import normalize_purchases
 from ledgerline.plans.refunds import normalize_refunds
 from ledgerline.session import missing
-from ledgerline.sources.cdc_files import header_of, initial_load, read_cdc
+from ledgerline.sources.cdc_files import initial_load, read_cdc
+from ledgerline.streaming.cdc_stream import merge_log, with_places
 
 LOAD_TIME = "created_at"
 
@@ -58,6 +59,8 @@ class CdcSpec:
     latest_by: str
     # False where no value contains a line break: large files are then split.
     multiline: bool = True
+    # How far behind the watermark batches may still arrive: these are read again (applying twice changes nothing).
+    late_seconds: int = 0
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -97,18 +100,21 @@ def _iso(ts) -> str | None:
 def run_cdc_merge(spark: SparkSession, spec: CdcSpec, table_path: str, store: WatermarkStore,
                   job: str, buckets: int, run_ts: str | None = None) -> RunResult:
     """Stage 1: initial load when the table is new, then fold every batch
-    newer than the watermark into the table in one merge, and advance the
-    watermark to the newest batch applied."""
+    newer than the watermark (less ``late_seconds``) into the table in one
+    merge, and advance the watermark to the newest batch applied.  Rows keep
+    their place in the log, so late and repeated batches may be applied after
+    newer ones."""
+    recover(spark, table_path)
     data_cols = [c for c in spec.columns if c not in ("Op", LOAD_TIME)]
     if is_initial(spark, store, spec.dataset, job, table_path) and \
             path_exists(spark, f"{spec.files_path.rstrip('/')}/LOAD*"):
         snapshot = initial_load(spark, spec.files_path, data_cols, spec.types, run_ts)
-        write_table(snapshot, table_path, spec.merge.on, buckets)
+        load_table(spark, with_places(snapshot), table_path, spec.merge.on, buckets)
     since = store.get(spec.dataset, job)
-    since = None if since == NO_WATERMARK else since.replace("T", " ")
-    log = read_cdc(spark, spec.files_path, list(spec.columns), spec.types, since=since, multiline=spec.multiline)
-    if LOAD_TIME not in header_of(spark, spec.files_path):
-        log = stamp_load_time(log, run_ts, LOAD_TIME)
+    before = None if since == NO_WATERMARK else datetime.fromisoformat(since)
+    since = None if before is None else (before - timedelta(seconds=spec.late_seconds)).isoformat(sep=" ")
+    log = read_cdc(spark, spec.files_path, [c for c in spec.columns if c != LOAD_TIME], spec.types, since=since,
+                   multiline=spec.multiline, optional=(LOAD_TIME,) if LOAD_TIME in spec.columns else ())
     # Progress: one aggregate over the (pruned) batch-time column.
     newest = log.agg(F.max("file_time")).collect()[0][0]
     if newest is None:
@@ -116,12 +122,10 @@ def run_cdc_merge(spark: SparkSession, spec: CdcSpec, table_path: str, store: Wa
     like = None
     if not table_exists(spark, table_path):
         # No full load: the table starts empty, with the batches' columns.
-        like = log.select(*[c for c in (*data_cols, LOAD_TIME) if c != "file_time"])
+        like = with_places(log.select(*data_cols, F.lit(None).cast("timestamp_ntz").alias(LOAD_TIME)))
         _ensure_table(spark, table_path, like, spec.merge.on, buckets)
-    target_cols = like.columns if like is not None else \
-        [c for c in spark.read.parquet(table_path).columns if c != BUCKET_COL]
-    source = fold_log(log, spec.merge, spec.latest_by, target_cols)
-    n = merge_into_table(spark, table_path, source, spec.merge, buckets, validate=False, like=like)
+    n = merge_log(spark, log, table_path, spec.merge, spec.latest_by, buckets, like=like, run_ts=run_ts)
+    newest = newest if before is None else max(newest, before)
     store.put(spec.dataset, job, "delta merge", _iso(newest))
     return RunResult(_iso(newest), n)
 

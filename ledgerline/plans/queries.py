@@ -402,6 +402,7 @@ def q_merge_into_table(s, d):
 def q_stage1_job(s, d):
     """Files as the replication tool leaves them (no load time), half of the batches at a time."""
     from ledgerline.plans.jobs import CdcSpec, run_cdc_merge
+    from ledgerline.streaming import cdc_stream
     files, table = shared_dir(s, "job-files"), shared_dir(s, "job-table")
     store = watermark.WatermarkStore(s, shared_dir(s, "job-watermarks"))
     cdc_files.write_full_load(_payments(s, d).drop("created_at"), files)
@@ -413,7 +414,7 @@ def q_stage1_job(s, d):
     for part in (first, ~first):
         cdc_files.write_cdc_batches(log.where(part), files, mode="append")
         run_cdc_merge(s, spec, table, store, "merge", tb.lake_buckets(s), run_ts=tb.RUN_TS)
-    return merge.read_table(s, table).drop(merge.BUCKET_COL)
+    return cdc_stream.read_table(s, table)
 
 
 INCREMENT_CUT = "1998-01-01 00:00:00"

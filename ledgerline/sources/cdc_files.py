@@ -4,18 +4,26 @@ A batch folder is named ``batch=<yyyyMMdd-HHmmss>`` (the time the batch was
 cut), or batches are flat files whose name starts with that time; full-load
 files or folders start with ``LOAD``.  The batch time of every row comes from
 its file path (``_metadata.file_path``), so many batches are read by one scan
-and ordered by that time instead of one job per file.
+and ordered by that time instead of one job per file.  Files are listed once,
+their header lines are read by one small job (a task stops at a file's first
+line), and files with one header are read together.
 """
 
 from __future__ import annotations
 
+import csv
+import re
+from contextlib import contextmanager
+from datetime import datetime
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions.coerce import coerce_types, stamp_load_time
-from ledgerline.session import missing
+from ledgerline.session import materialize, missing
 
 BATCH_PATTERN = r"batch=(\d{8}-\d{6})"
 BATCH_FORMAT = "yyyyMMdd-HHmmss"
@@ -59,52 +67,114 @@ def text_schema(columns: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_cdc(spark: SparkSession, path: str, columns: list[str], types: dict[str, str],
+def list_files(spark: SparkSession, path: str, full: bool = False, since: str | None = None) -> list[str]:
+    """Paths of the CDC files at ``path`` (``full``: of the full load), those
+    of batches strictly after ``since``.  Files are listed once, as every read
+    does; none is opened."""
+    root = path.rstrip("/")
+    glob = f"{root}/LOAD*" if full else f"{root}/{{batch=*,[0-9]*}}"
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(glob).inputFiles()
+    except AnalysisException as e:
+        if not missing(e):
+            raise
+        return []
+    if since and not full:
+        after = datetime.fromisoformat(since)
+        files = [f for f in files if (t := batch_time(f)) is not None and t > after]
+    return sorted(unquote(f) for f in files)
+
+
+def batch_time(path: str) -> datetime | None:
+    """:func:`file_time` of one path."""
+    found = re.search(BATCH_PATTERN, path) or re.search(FILE_PATTERN, path)
+    return datetime.strptime(found[1], "%Y%m%d-%H%M%S") if found else None
+
+
+def _first_lines(batches):
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1)
+            return  # the rest of the file is not read
+
+
+def headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header line; empty files are left out.
+
+    One task per file reads the file's first line and stops.  Should files
+    share a task, further rounds take those whose line was not seen.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    while files:
+        with _one_file_per_task(spark):
+            lines = (spark.read.text(files).select("value", F.col("_metadata.file_path").alias("path"))
+                     .mapInArrow(_first_lines, "value string, path string").collect())
+        for line in lines:
+            names = tuple(next(csv.reader([line["value"].lstrip("\ufeff")], delimiter=CSV_OPTIONS["sep"], quotechar=CSV_OPTIONS["quote"])))
+            if len(set(names)) < len(names):
+                raise ValueError(f"header of {line['path']} names a column twice: {names}")
+            groups.setdefault(names, []).append(unquote(line["path"]))
+        seen = {_bare(f) for found in groups.values() for f in found}
+        left = [f for f in files if _bare(f) not in seen]
+        files = left if lines else []
+    return {names: sorted(found) for names, found in sorted(groups.items())}
+
+
+def _bare(path: str) -> str:
+    """A path without its scheme's varying number of slashes."""
+    return re.sub(r"^(\w+:)/+", r"\1/", path)
+
+
+@contextmanager
+def _one_file_per_task(spark: SparkSession):
+    conf = {"spark.sql.files.maxPartitionBytes": str(1 << 40), "spark.sql.files.openCostInBytes": str(1 << 40)}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def read_cdc(spark: SparkSession, path: str, columns: list[str] | None = None, types: dict[str, str] | None = None,
              full: bool = False, since: str | None = None, multiline: bool = True,
-             repair: tuple[str, ...] = ()) -> DataFrame:
+             repair: tuple[str, ...] = (), optional: tuple[str, ...] = ()) -> DataFrame:
     """Read CDC batches (``full=True``: the full-load files ``LOAD*``) as
-    text, take the given columns by the names in the header (one that the
-    files do not have is NULL), type them and add ``file_time``.
+    text, take the given columns by name, type them and add ``file_time``.
 
     Batches are folders ``batch=<time>`` or flat files whose name starts with
-    the time.  The first file's header gives the order of columns; a file
-    with another header fails instead of being read into wrong columns.
-    ``since`` keeps batches strictly newer than that time; for folders the
-    predicate is on the partition column, so older ones are never read.
-    ``multiline=False`` lets Spark split large files (only when no value
-    contains a line break).  ``repair`` names payload columns of legacy
-    exports (quotes doubled, no escape character) to run through
-    :func:`ledgerline.functions.repair_quotes`; correctly escaped files
+    the time.  Files may differ in their header: they are grouped by it, each
+    group is read with its own, and columns are aligned by name.  One that a
+    file does not have is NULL in its rows; ``optional`` columns are part of the
+    result only if some file has them; without ``columns`` all that any file has
+    are taken.  ``since`` keeps batches strictly newer than that time: older
+    files are listed, not read.  ``multiline=False`` lets Spark split large
+    files (only when no value contains a line break).  ``repair`` names payload
+    columns of legacy exports (quotes doubled, no escape character) to run
+    through :func:`ledgerline.functions.repair_quotes`; correctly escaped files
     need no repair.  Without any file the result is empty.
     """
-    root = path.rstrip("/")
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower())
-    parts = []
-    for glob in ([f"{root}/LOAD*"] if full else [batch_glob(root), f"{root}/[0-9]*"]):
-        folders = glob == batch_glob(root)
-        try:
-            found = reader.option("basePath", root).csv(glob) if folders else reader.csv(glob)
-        except AnalysisException as e:
-            if not missing(e):
-                raise
-            continue
-        names = [c for c in found.columns if not (folders and c == "batch")]
-        df = reader.schema(text_schema(names)).option("enforceSchema", "false")
-        df = df.option("basePath", root).csv(glob) if folders else df.csv(glob)
-        stamped = df.select("*") if full else df.withColumn(
-            "file_time", F.to_timestamp_ntz(F.col("batch"), F.lit(BATCH_FORMAT)) if folders else file_time())
-        if since and not full:
-            newer = (F.col("batch") > F.date_format(F.lit(since).cast("timestamp_ntz"), BATCH_FORMAT) if folders
-                     else F.col("file_time") > F.lit(since).cast("timestamp_ntz"))
-            stamped = stamped.where(newer)
-        by_name = [(F.col(c) if c in names else F.lit(None).cast("string")).alias(c) for c in columns]
-        parts.append(stamped.select(*by_name, *([] if full else ["file_time"])))
-    if not parts:
-        return _repair(coerce_types(spark.createDataFrame([], _empty_schema(columns, full)), types), repair)
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    return _repair(coerce_types(out, types), repair)
+    return read_files(spark, list_files(spark, path, full, since), columns, types, full, multiline, repair, optional)
+
+
+def read_files(spark: SparkSession, files: list[str], columns: list[str] | None = None, types: dict[str, str] | None = None,
+               full: bool = False, multiline: bool = True, repair: tuple[str, ...] = (), optional: tuple[str, ...] = ()) -> DataFrame:
+    """:func:`read_cdc` of the given files."""
+    groups = headers(spark, files)
+    found = list(dict.fromkeys(c for names in groups for c in names))
+    columns = [c for c in found if c not in optional] if columns is None else list(columns)
+    columns += [c for c in optional if c in found and c not in columns]
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower()).option("enforceSchema", "false")
+    out = spark.createDataFrame([], _empty_schema(columns, full))
+    for k, (names, paths) in enumerate(groups.items()):
+        df = reader.schema(text_schema(list(names))).csv(paths)
+        df = df.select("*") if full else df.withColumn("file_time", file_time())
+        by_name = [(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c) for c in columns]
+        df = df.select(*by_name, *([] if full else ["file_time"]))
+        out = out.unionByName(df) if k else df
+    return _repair(coerce_types(out, types or {}), repair)
 
 
 def _empty_schema(columns: list[str], full: bool) -> T.StructType:
@@ -112,16 +182,51 @@ def _empty_schema(columns: list[str], full: bool) -> T.StructType:
     return T.StructType([*text_schema(columns).fields, *extra])
 
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of the first delta file (empty without any); reads one line."""
-    root = path.rstrip("/")
-    for glob in (batch_glob(root), f"{root}/[0-9]*"):
-        try:
-            return [c for c in spark.read.options(**CSV_OPTIONS).option("basePath", root).csv(glob).columns if c != "batch"]
-        except AnalysisException as e:
-            if not missing(e):
-                raise
-    return []
+# --- types of the columns ------------------------------------------------------
+
+#: Narrowest first.  A value fits a set of these; a column's values fit the intersection.
+LATTICE = ("int", "bigint", "decimal(38,0)", "double", "date", "timestamp_ntz", "boolean")
+_WHOLE = r"^[+-]?[0-9]+$"
+_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?)?$"
+_FORMS = {"int": _WHOLE, "bigint": _WHOLE, "decimal(38,0)": _WHOLE, "double": _NUMBER, "date": _DATE, "timestamp_ntz": _TIME, "boolean": r"(?i)^(true|false)$"}
+
+
+def fitting(col: F.Column) -> F.Column:
+    """Bit mask of the types that the text fits (NULL for NULL and empty text, which fit all)."""
+    bits = [F.when(col.rlike(_FORMS[t]) & col.try_cast(t).isNotNull(), 1 << k).otherwise(0) for k, t in enumerate(LATTICE)]
+    mask = bits[0]
+    for b in bits[1:]:
+        mask = mask.bitwiseOR(b)
+    return F.when(F.length(col) > 0, mask)
+
+
+def column_types(columns: list[str]) -> list[F.Column]:
+    """One aggregate per column: the masks' intersection.  Tasks reduce their rows, Spark meets the results."""
+    return [F.bit_and(fitting(F.col(f"`{c}`"))).alias(c) for c in columns]
+
+
+def narrowest(mask: int | None) -> str:
+    """The first type of the intersection; text where there is none or no value."""
+    return next((t for k, t in enumerate(LATTICE) if mask is not None and mask >> k & 1), "string")
+
+
+def infer_cdc(spark: SparkSession, path: str, columns: list[str] | None = None, full: bool = False, since: str | None = None,
+              multiline: bool = True, forced: dict[str, str] | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """CDC rows with inferred column types, and the types.
+
+    The files are parsed once: their text is written to the shared folder while
+    the types are observed on the rows that pass, and the typed rows are cast
+    from that copy.  ``forced`` types override the inferred ones.
+    """
+    text = read_cdc(spark, path, columns, None, full, since, multiline)
+    names = [c for c in text.columns if c != "file_time"]
+    seen = Observation("cdc-types")
+    copy = materialize(text.observe(seen, F.count(F.lit(1)).alias("__rows"), *column_types(names)), "cdc-text")
+    masks = seen.get
+    types = {c: narrowest(masks.get(c)) for c in names} | {k: v for k, v in (forced or {}).items() if k in names}
+    return coerce_types(copy, {c: t for c, t in types.items() if t != "string"}), types
 
 
 def _repair(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:

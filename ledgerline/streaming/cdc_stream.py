@@ -5,15 +5,14 @@ replaces the external merge-history and file-tracking stores."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.coerce import coerce_types, stamp_load_time
-from ledgerline.operators.cdc import fold_log
+from ledgerline.functions.coerce import load_time, stamp_load_time
+from ledgerline.operators.cdc import APPLIED, APPLIED_TYPE, any_order_merge, fold_in_any_order
+from ledgerline.operators.commit import recover
 from ledgerline.operators.merge import BUCKET_COL, MergeSpec, merge_into_table, write_table
-from ledgerline.session import missing
-from ledgerline.sources.cdc_files import CSV_OPTIONS, batch_glob, file_time, text_schema
+from ledgerline.sources.cdc_files import batch_glob, read_files
 
 
 def cdc_stream(spark: SparkSession, source_path: str, columns: list[str], types: dict[str, str],
@@ -23,55 +22,56 @@ def cdc_stream(spark: SparkSession, source_path: str, columns: list[str], types:
     into the bucket-partitioned parquet table at ``table_path`` (see
     :func:`ledgerline.operators.merge.write_table`); returns the handle.
 
-    All files that are there at the start form one micro-batch, so a batch
-    of several files is never split.  It is reduced to one row per key with
-    ``fold_log`` (batches inside it ordered by their batch time) and merged
-    with ``merge_into_table``: only the hash buckets it touches are
-    rewritten.  A micro-batch that runs again after a crash is known by its
-    id and re-applies the same fold, which the keyed merge absorbs.  Files of
-    a batch at or before one already applied fail instead of being applied
-    out of order.  ``like`` gives the table's columns when the table may
-    still be empty; files without a load time get the run's.
+    All files that are there at the start form one micro-batch (only their
+    paths are collected).  Its rows are reduced
+    to one row per key with ``fold_in_any_order`` (batches inside it ordered by
+    their batch time) and merged with ``merge_into_table``: only the hash
+    buckets it touches are rewritten.  Each row keeps its place in the log
+    (column ``_applied``), so files of a batch that arrive late, after newer
+    batches were applied, or arrive twice, change just what they would have
+    changed in order.  A micro-batch that runs again after a crash is known by
+    its id; a swap that the crash cut short is finished first.  ``like`` gives
+    the table's columns when the table may still be empty; files without a
+    load time get the run's.
     """
-    stream = (spark.readStream.options(**CSV_OPTIONS).schema(text_schema(columns)).option("enforceSchema", "false")
-              .option("basePath", source_path).csv(batch_glob(source_path)))
-    stream = stream.withColumn("file_time", file_time())
-    stream = coerce_types(stream.drop("batch") if "batch" in stream.columns else stream, types)
-    if LOAD_TIME not in stream.columns:
-        stream = stamp_load_time(stream, run_ts)
-    progress_path = f"{table_path.rstrip('/')}_progress"
+    # The stream carries paths alone: the file source keeps the log of those seen, and a micro-batch's
+    # files are read like any CDC files, whatever their headers.
+    stream = (spark.readStream.format("binaryFile").schema(PATHS).option("recursiveFileLookup", "true")
+              .load(batch_glob(source_path)).select("path"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        oldest, newest = batch.agg(F.min("file_time"), F.max("file_time")).collect()[0]
-        if newest is None:
-            return
-        before = _applied(spark, progress_path, batch_id)
-        if before is not None and oldest.isoformat() <= before:
-            raise ValueError(f"files of CDC batch {oldest} arrived after batch {before} was applied")
-        cols = like.columns if like is not None else spark.read.parquet(table_path).columns
-        target_cols = [c for c in cols if c != BUCKET_COL]
-        merge_into_table(spark, table_path, fold_log(batch, spec, ts, target_cols), spec, buckets,
-                         validate=False, like=like)
-        # One appended row per micro-batch: there or not, never half written.
-        spark.createDataFrame([(batch_id, newest.isoformat())], PROGRESS).coalesce(1).write.mode("append").parquet(progress_path)
+        files = [r[0] for r in batch.collect()]
+        log = read_files(spark, files, [c for c in columns if c != LOAD_TIME], types, optional=(LOAD_TIME,) if LOAD_TIME in columns else ())
+        merge_log(spark, log, table_path, spec, ts, buckets, like=like, run_ts=run_ts, token=f"{checkpoint}/{batch_id}")
 
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-PROGRESS = "batch_id long, applied string"
 LOAD_TIME = "created_at"
+PATHS = "path string, modificationTime timestamp, length long, content binary"
 
 
-def _applied(spark: SparkSession, progress_path: str, batch_id: int) -> str | None:
-    """Newest batch time that other micro-batches have applied, or None."""
-    try:
-        log = spark.read.schema(PROGRESS).parquet(progress_path)
-    except AnalysisException as e:
-        if not missing(e):
-            raise
-        return None
-    return log.where(F.col("batch_id") != batch_id).agg(F.max("applied")).collect()[0][0]
+def merge_log(spark: SparkSession, log: DataFrame, table_path: str, spec: MergeSpec, ts: str, buckets: int,
+              like: DataFrame | None = None, run_ts: str | None = None, token: str | None = None) -> int:
+    """Fold CDC rows (with ``file_time``) and merge them into the table,
+    whatever batches have been merged before; returns the keys merged.  Rows
+    without a load time of their own get the run's.  Inserts without a key
+    match nothing: each is appended."""
+    recover(spark, table_path)
+    stamped = LOAD_TIME not in log.columns
+    log = stamp_load_time(log, run_ts, LOAD_TIME) if stamped else log.withColumn(LOAD_TIME, F.coalesce(LOAD_TIME, load_time(run_ts)))
+    base = like if like is not None else spark.read.parquet(table_path)
+    like = with_places(base.drop(BUCKET_COL))
+    cols = [c for c in like.columns if c != APPLIED]
+    merge, choose = any_order_merge(spec, [c for c in cols if c in log.columns], LOAD_TIME if stamped else None)
+    return merge_into_table(spark, table_path, fold_in_any_order(log, spec, ts, cols), merge, buckets,
+                            validate=False, like=like, token=token, choose=choose)
+
+
+def with_places(df: DataFrame) -> DataFrame:
+    """The table's columns with the places of applied rows (NULL: there before the log)."""
+    return df if APPLIED in df.columns else df.withColumn(APPLIED, F.lit(None).cast(APPLIED_TYPE))
 
 
 def start_table(df: DataFrame, table_path: str, spec: MergeSpec, buckets: int) -> None:
@@ -80,4 +80,5 @@ def start_table(df: DataFrame, table_path: str, spec: MergeSpec, buckets: int) -
 
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:
-    return spark.read.parquet(table_path).drop(BUCKET_COL)
+    """The table's own columns."""
+    return spark.read.parquet(table_path).drop(BUCKET_COL, APPLIED)

@@ -67,8 +67,8 @@ def test_merge_idempotent_and_row_count_law(spark):
 def test_merge_validate_rejects_duplicate_source_keys(spark):
     target = _t(spark, [("a", "v", "d", 1)])
     source = spark.createDataFrame([("a", "x", "d"), ("a", "y", "d")], "k string, v string, data string")
-    with pytest.raises(ValueError):
-        merge_upsert(target, source, SPEC, validate=True)
+    with pytest.raises(Exception, match="several rows"):
+        merge_upsert(target, source, SPEC, validate=True).collect()
 
 
 def test_append_by_name(spark):

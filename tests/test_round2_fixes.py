@@ -73,11 +73,11 @@ def test_ties_raise_only_where_they_match(spark):
     target = spark.createDataFrame([("a", "t")], "k string, v string")
     twice = spark.createDataFrame([("b", "1"), ("b", "2")], "k string, v string")
     assert merge_upsert(target, twice, SPEC).count() == 3
-    with pytest.raises(ValueError, match="several rows"):
-        merge_upsert(target, twice.unionByName(spark.createDataFrame([("a", "1"), ("a", "2")], "k string, v string")), SPEC)
+    with pytest.raises(Exception, match="several rows"):
+        merge_upsert(target, twice.unionByName(spark.createDataFrame([("a", "1"), ("a", "2")], "k string, v string")), SPEC).collect()
     batch = spark.createDataFrame([("U", "a", "1", T0), ("U", "a", "2", T0)], "Op string, k string, v string, t timestamp_ntz")
-    with pytest.raises(ValueError, match="several rows"):
-        apply_delta(target.withColumn("t", F.lit(None).cast("timestamp_ntz")), batch, MergeSpec(("k",), ("v", "t"), ("k", "v", "t")), "t")
+    with pytest.raises(Exception, match="several rows"):
+        apply_delta(target.withColumn("t", F.lit(None).cast("timestamp_ntz")), batch, MergeSpec(("k",), ("v", "t"), ("k", "v", "t")), "t").collect()
 
 
 def _csv(path, name, text):
@@ -92,8 +92,8 @@ def test_columns_are_taken_by_header_name(spark):
     got = read_cdc(spark, path, ["Op", "a", "b", "gone"], {}).first()
     assert (got["a"], got["b"], got["gone"]) == ("ay", "bee", None)
     _csv(path, "batch=20240102-000000/part-0.csv", "Op|a|extra|b\nI|ay|x|bee\n")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_cdc(spark, path, ["Op", "a", "b"], {}).collect()
+    got = read_cdc(spark, path, ["Op", "a", "b"], {}).collect()
+    assert [(r["a"], r["b"]) for r in got] == [("ay", "bee")] * 2
 
 
 def test_flat_files_with_the_time_in_their_name(spark):
@@ -145,8 +145,8 @@ def test_a_batch_of_two_files_is_one_unit(spark):
     assert [r["v"] for r in read_table(spark, table).collect()] == ["newer"]
 
 
-def test_a_replayed_micro_batch_is_applied_again(spark, monkeypatch):
-    """A crash after the progress row and before the checkpoint's commit."""
+def test_a_replayed_micro_batch_changes_nothing(spark, monkeypatch):
+    """A crash after the merge and before the checkpoint's commit."""
     like, src, table, checkpoint = _stream_tables(spark)
     _csv(src, "batch=20240101-000000/a.csv", "Op|k|v|t|created_at\nI|1|one|2024-01-03 00:00:00|2024-01-04 00:00:00\n")
     write = streaming.merge_into_table
@@ -154,7 +154,6 @@ def test_a_replayed_micro_batch_is_applied_again(spark, monkeypatch):
 
     def crash(*args, **kwargs):
         calls.append(write(*args, **kwargs))
-        spark.createDataFrame([(0, T0.isoformat())], streaming.PROGRESS).write.mode("append").parquet(f"{table}_progress")
         raise RuntimeError("crash")
 
     monkeypatch.setattr(streaming, "merge_into_table", crash)
@@ -164,8 +163,8 @@ def test_a_replayed_micro_batch_is_applied_again(spark, monkeypatch):
     _stream(spark, src, table, checkpoint, like)
     assert calls == [1] and [r["v"] for r in read_table(spark, table).collect()] == ["one"]
     _csv(src, "batch=20231231-000000/late.csv", "Op|k|v|t|created_at\nU|1|late|2024-01-05 00:00:00|2024-01-04 00:00:00\n")
-    with pytest.raises(Exception, match="after batch"):
-        _stream(spark, src, table, checkpoint, like)
+    _stream(spark, src, table, checkpoint, like)
+    assert [r["v"] for r in read_table(spark, table).collect()] == ["one"]  # a late batch is older than what is there
 
 
 def test_overlapping_puts_lose_nothing(spark):
