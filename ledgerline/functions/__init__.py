@@ -2,9 +2,10 @@
 
 from ledgerline.functions.coerce import coerce_types, load_time, stamp_load_time
 from ledgerline.functions.payload import (dispute_fields, epoch_to_ts, extract_payment_fields,
-                                          field_or_empty, parse_payload)
+                                          field_or_empty, parse_payload, payload_defect, split_payloads)
 from ledgerline.functions.purchase import (is_full_refund, is_fully_refunded_short_term,
                                            operational_costs, processing_fee, purchase_flags)
+from ledgerline.functions.sql import register_sql_functions
 from ledgerline.functions.states import state_name
 from ledgerline.functions.text import repair_quotes, strip_outer_quote
 
@@ -12,5 +13,5 @@ __all__ = [
     "coerce_types", "load_time", "stamp_load_time", "dispute_fields", "epoch_to_ts",
     "extract_payment_fields", "field_or_empty", "parse_payload", "is_full_refund",
     "is_fully_refunded_short_term", "operational_costs", "processing_fee", "purchase_flags",
-    "state_name", "repair_quotes", "strip_outer_quote",
+    "payload_defect", "split_payloads", "register_sql_functions", "state_name", "repair_quotes", "strip_outer_quote",
 ]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ledgerline.functions.text import strip_outer_quote
 from ledgerline.schemas import PAYLOAD_DDL
 
 
@@ -18,6 +20,41 @@ def parse_payload(c: Column | str, kind: str = "payment", ddl: str | None = None
     return F.from_json(_c(c), ddl or PAYLOAD_DDL[kind])
 
 
+def payload_defect(c: Column | str, kind: str = "payment", ddl: str | None = None) -> Column:
+    """Why a payload does not fit its layout, or NULL where it does (and for
+    NULL and empty text, which hold no payload): ``not JSON``, ``not an object``
+    or ``<field> is not <type>`` for the first top-level scalar field of the
+    layout that holds a value of another type.  The text is parsed once, to a
+    variant."""
+    text = _c(c)
+    doc = F.try_parse_json(text)
+    layout = T.StructType.fromDDL(ddl or PAYLOAD_DDL[kind])
+    reason = F.lit(None).cast("string")
+    for field in reversed(layout.fields):
+        if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            continue
+        name, path = field.dataType.simpleString(), f"$.{field.name}"
+        # Text holds any scalar; a JSON null is no value.
+        bad = F.try_variant_get(doc, path, "string").isNotNull() & F.try_variant_get(doc, path, name).isNull()
+        reason = F.when(bad, F.lit(f"{field.name} is not {name}")).otherwise(reason)
+    return (F.when(F.coalesce(text, F.lit("")) == "", F.lit(None).cast("string"))
+            .when(doc.isNull(), F.lit("not JSON"))
+            .when(~F.startswith(F.schema_of_variant(doc), F.lit("OBJECT")), F.lit("not an object"))
+            .otherwise(reason))
+
+
+def split_payloads(df: DataFrame, col: str, key: str, kind: str = "payment", ddl: str | None = None,
+                   into: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """(typed rows, dead letters): rows whose payload fits its layout (or that
+    have none) with the parsed struct as ``into``, and the others as (key, raw
+    text, reason).  Every row is in one of the two."""
+    judged = df.withColumn("__text", strip_outer_quote(col))
+    judged = judged.withColumn("__reason", payload_defect("__text", kind, ddl))
+    good = judged.where(F.col("__reason").isNull()).withColumn(into, parse_payload("__text", kind, ddl)).drop("__text", "__reason")
+    dead = judged.where(F.col("__reason").isNotNull()).select(key, F.col(col).alias("raw"), F.col("__reason").alias("reason"))
+    return good, dead
+
+
 def field_or_empty(c: Column | str) -> Column:
     """A nested string field, or ``''`` when it (or any parent) is missing."""
     return F.coalesce(_c(c), F.lit(""))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 
 
-def _lookup_keys() -> dict[str, str]:
+def lookup_keys() -> dict[str, str]:
     # Both spellings of a state, normalised the way inputs are: spaces
     # removed, upper case.  Abbreviations have two letters and no full name
     # has, so one map serves both the abbreviation and the name lookup.
@@ -24,7 +24,7 @@ def state_name(c: Column | str) -> Column:
     else (including ``''`` and NULL) -> ``'UNKNOWN'``.  Only the space
     character is removed before the lookup."""
     c = F.col(c) if isinstance(c, str) else c
-    pairs = _lookup_keys()
+    pairs = lookup_keys()
     lookup = F.create_map(*[F.lit(x) for x in itertools.chain.from_iterable(pairs.items())])
     key = F.upper(F.replace(c, F.lit(" "), F.lit("")))
     return F.coalesce(F.try_element_at(lookup, key), F.lit(K.UNKNOWN_STATE))

@@ -104,7 +104,12 @@ def swap(spark: SparkSession, path: str, stage: str, buckets: list[int]) -> None
 
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """Columns that a partitioned folder keeps in folder names, outermost first."""
-    files = spark.read.parquet(path).inputFiles()
+    try:
+        files = spark.read.parquet(path).inputFiles()
+    except AnalysisException as e:
+        if not missing(e):
+            raise
+        return []
     return [part.split("=", 1)[0] for part in (files[0].split("/") if files else []) if "=" in part]
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.operators.commit import BUCKET_COL, commit, recover, stage_path
+from ledgerline.operators.commit import BUCKET_COL, commit, partition_columns, recover, stage_path
 from ledgerline.session import materialize
 
 _T, _S, _N = "__t_present", "__s_present", "__s_rows"
@@ -217,30 +217,43 @@ def key_bucket(on: tuple[str, ...], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in on]), F.lit(buckets)).cast("int")
 
 
-def _by_bucket(df: DataFrame, order_by: str | None):
+#: Second level of folders, below the bucket: year * 100 + month of the load time.
+LOAD_COL = "load_month"
+
+
+def load_month(ts_col: str) -> Column:
+    return F.year(ts_col) * 100 + F.month(ts_col)
+
+
+def _by_bucket(df: DataFrame, order_by: str | None, by_load: bool = False):
     """A writer of one bucket per task (adaptive execution splits a bucket
     that is too big), sorted by ``order_by`` inside, so that row-group
-    statistics prune a filter on it."""
-    order = [BUCKET_COL] + ([order_by] if order_by and order_by in df.columns else [])
+    statistics prune a filter on it.  ``by_load`` adds the level of load
+    months, by which a watermark prunes whole folders."""
+    levels = [BUCKET_COL]
+    if by_load:
+        df, levels = df.withColumn(LOAD_COL, load_month(order_by)), [BUCKET_COL, LOAD_COL]
+    order = levels + ([order_by] if order_by and order_by in df.columns else [])
     return (df.hint("rebalance", BUCKET_COL).sortWithinPartitions(*order)
-            .write.mode("overwrite").partitionBy(BUCKET_COL))
+            .write.mode("overwrite").partitionBy(*levels))
 
 
 def write_table(df: DataFrame, path: str, on: tuple[str, ...], buckets: int,
-                order_by: str | None = "created_at") -> None:
-    """Write a table partitioned by the hash bucket of its key."""
-    _by_bucket(df.withColumn(BUCKET_COL, key_bucket(on, buckets)), order_by).parquet(path)
+                order_by: str | None = "created_at", by_load: bool = False) -> None:
+    """Write a table partitioned by the hash bucket of its key (``by_load``:
+    and below it by the month of ``order_by``)."""
+    _by_bucket(df.withColumn(BUCKET_COL, key_bucket(on, buckets)), order_by, by_load).parquet(path)
 
 
 def load_table(spark: SparkSession, df: DataFrame, path: str, on: tuple[str, ...], buckets: int,
-               order_by: str | None = "created_at", token: str | None = None) -> int:
+               order_by: str | None = "created_at", token: str | None = None, by_load: bool = False) -> int:
     """``write_table`` through a stage and a redo record: a load that is cut
     short leaves no table, or one that the next run completes, never a part
     that passes for the whole.  Returns the number of rows."""
     seen = Observation("load")
     stage = stage_path(path)
     bucket = key_bucket(on, buckets)
-    _by_bucket(df.withColumn(BUCKET_COL, bucket).observe(seen, F.collect_set(BUCKET_COL).alias("buckets")), order_by).parquet(stage)
+    _by_bucket(df.withColumn(BUCKET_COL, bucket).observe(seen, F.collect_set(BUCKET_COL).alias("buckets")), order_by, by_load).parquet(stage)
     touched = sorted(seen.get.get("buckets") or [])
     rows = spark.read.parquet(stage).count() if touched else 0
     commit(spark, path, stage, touched, rows, token)
@@ -254,7 +267,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: MergeSpec,
                      buckets: int, validate: bool = True, like: DataFrame | None = None,
                      order_by: str | None = "created_at", token: str | None = None,
-                     choose: Callable[[str, Column, Column], Column] | None = None) -> int:
+                     choose: Callable[[str, Column, Column], Column] | None = None, by_load: bool = False) -> int:
     """Apply ``merge_upsert`` to a bucket-partitioned parquet table in place;
     returns the number of source rows.
 
@@ -268,7 +281,10 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: Me
     replace rows that were not read: that raises and leaves the table as it is.
 
     ``token`` names the source: if the newest finished merge has the same one,
-    the source has been merged before and nothing is done.
+    the source has been merged before and nothing is done.  A table with the
+    level of load months keeps it (``by_load`` starts it): a bucket's folder is
+    replaced with all its months, so rows that move to another month leave
+    nothing behind.
     """
     last = recover(spark, path)
     if token is not None and last is not None and last["token"] == token:
@@ -276,10 +292,11 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: Me
     if like is not None:
         # Table schema given explicitly: a new, still empty table has no
         # files to infer it from.
-        schema = like.withColumn(BUCKET_COL, F.lit(0).cast("int")).schema
-        target = spark.read.schema(schema).parquet(path)
+        target = spark.read.schema(like.withColumn(BUCKET_COL, F.lit(0).cast("int")).schema).parquet(path)
+        by_load = by_load or LOAD_COL in partition_columns(spark, path)
     else:
         target = read_table(spark, path)
+        by_load = by_load or LOAD_COL in target.columns
     types = dict(target.dtypes)
     # One cast per source column, to the type of the key it feeds.
     casts = {spec.source_col(k): F.col(spec.source_col(k)).cast(types[k]) for k in spec.on}
@@ -292,11 +309,11 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: Me
     if not touched:
         return 0
     target = target.where(F.col(BUCKET_COL).isin(touched))
-    merged = merge_upsert(target.drop(BUCKET_COL), source, spec, validate=validate, choose=choose)
+    merged = merge_upsert(target.drop(BUCKET_COL, LOAD_COL), source, spec, validate=validate, choose=choose)
     stage, written = stage_path(path), Observation("merge-stage")
     merged = merged.withColumn(BUCKET_COL, key_bucket(spec.on, buckets)).observe(written, F.collect_set(BUCKET_COL).alias("buckets"))
     try:
-        _by_bucket(merged, order_by).parquet(stage)
+        _by_bucket(merged, order_by, by_load).parquet(stage)
     except PySparkException as e:
         if SEVERAL in str(e):
             raise ValueError(f"{SEVERAL} {spec.on}") from e

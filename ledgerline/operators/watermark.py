@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.operators.merge import WATERMARK_MERGE, merge_upsert
+from ledgerline.operators.merge import LOAD_COL, WATERMARK_MERGE, merge_upsert
 from ledgerline.session import missing
 
 NO_WATERMARK = "NA"
+LOAD_TIME = "created_at"
 
 WATERMARK_SCHEMA = T.StructType([
     T.StructField("dataset", T.StringType()), T.StructField("job", T.StringType()),
@@ -32,11 +33,16 @@ def scan_incremental(df: DataFrame, ts_col: str, watermark: str | None) -> DataF
     """Rows loaded strictly after the watermark (whole seconds; rows of the
     watermark's own second are read again, which the keyed MERGE absorbs).
     The predicate is a bare column comparison, so it reaches the parquet
-    scan as a pushed filter."""
+    scan as a pushed filter; in a table with the level of load months (of
+    ``created_at``) the watermark's month prunes older folders, whose files are
+    not opened."""
     floor = watermark_floor(watermark)
     if floor is None:
         return df
-    return df.where(F.col(ts_col) > F.to_timestamp_ntz(F.lit(floor), F.lit("yyyy-MM-dd HH:mm:ss")))
+    rows = df.where(F.col(ts_col) > F.to_timestamp_ntz(F.lit(floor), F.lit("yyyy-MM-dd HH:mm:ss")))
+    if LOAD_COL in df.columns and ts_col == LOAD_TIME:
+        rows = rows.where(F.col(LOAD_COL) >= int(floor[:4]) * 100 + int(floor[5:7])).drop(LOAD_COL)
+    return rows
 
 
 def holdback_watermark(*sources: tuple[DataFrame, str], alias: str = "created_at") -> DataFrame:

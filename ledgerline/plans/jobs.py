@@ -61,6 +61,8 @@ class CdcSpec:
     multiline: bool = True
     # How far behind the watermark batches may still arrive: these are read again (applying twice changes nothing).
     late_seconds: int = 0
+    # Whether the table has a level of load months below its buckets, by which downstream watermarks prune.
+    by_load: bool = False
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -109,7 +111,7 @@ def run_cdc_merge(spark: SparkSession, spec: CdcSpec, table_path: str, store: Wa
     if is_initial(spark, store, spec.dataset, job, table_path) and \
             path_exists(spark, f"{spec.files_path.rstrip('/')}/LOAD*"):
         snapshot = initial_load(spark, spec.files_path, data_cols, spec.types, run_ts)
-        load_table(spark, with_places(snapshot), table_path, spec.merge.on, buckets)
+        load_table(spark, with_places(snapshot), table_path, spec.merge.on, buckets, by_load=spec.by_load)
     since = store.get(spec.dataset, job)
     before = None if since == NO_WATERMARK else datetime.fromisoformat(since)
     since = None if before is None else (before - timedelta(seconds=spec.late_seconds)).isoformat(sep=" ")
@@ -124,7 +126,7 @@ def run_cdc_merge(spark: SparkSession, spec: CdcSpec, table_path: str, store: Wa
         # No full load: the table starts empty, with the batches' columns.
         like = with_places(log.select(*data_cols, F.lit(None).cast("timestamp_ntz").alias(LOAD_TIME)))
         _ensure_table(spark, table_path, like, spec.merge.on, buckets)
-    n = merge_log(spark, log, table_path, spec.merge, spec.latest_by, buckets, like=like, run_ts=run_ts)
+    n = merge_log(spark, log, table_path, spec.merge, spec.latest_by, buckets, like=like, run_ts=run_ts, by_load=spec.by_load)
     newest = newest if before is None else max(newest, before)
     store.put(spec.dataset, job, "delta merge", _iso(newest))
     return RunResult(_iso(newest), n)
@@ -153,6 +155,9 @@ def run_normalize_purchases(spark: SparkSession, *, payments: DataFrame, refunds
                 .agg(F.max("created_at").alias("created_at"), F.max("n").alias("n")).collect()[0])
     if not progress["n"]:
         return RunResult(None)
+    # What a small increment needs of the whole tables is picked out where it lies, not shuffled.
+    refunds = restrict_to(refunds, increment, "payment_intent_id")
+    events = restrict_to(events, increment, "user_email", "email")
     rows = normalize_purchases(increment, refunds, versions, events, run_ts=run_ts)
     target = rows.select(*[F.lit(None).cast("bigint").alias("id") if c == "id" else F.col(c)
                            for c in _purchase_columns()])

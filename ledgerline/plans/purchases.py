@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline import constants as K
 from ledgerline.functions import (extract_payment_fields, is_fully_refunded_short_term,
                                   operational_costs, parse_payload, processing_fee,
-                                  purchase_flags, state_name, strip_outer_quote)
+                                  purchase_flags, register_sql_functions, state_name, strip_outer_quote)
 from ledgerline.functions.coerce import load_time
 from ledgerline.operators.joins import join_asof, join_next, join_payment_refund
 from ledgerline.schemas import PAYMENT_USED_DDL
@@ -28,6 +28,15 @@ HOT_KEY_ROWS = 1_000_000
 VERSION_BROADCAST_MAX_ROWS = 1_000_000
 
 
+def product_history_view(versions: DataFrame) -> DataFrame:
+    """Product versions with their purchase-channel and renewal flags."""
+    return versions.withColumns({
+        "is_in_app_purchase": F.col("purchase_location") == "In-App",
+        "is_renewal": F.col("type") == "Renewal",
+        "is_website_purchase": F.col("purchase_location") == "Website",
+    })
+
+
 def prepare_payments(payments: DataFrame) -> DataFrame:
     """Strip the outer quotes of the payload, parse it and pull the product
     tag, provider name and provider id (``''`` when missing)."""
@@ -36,17 +45,22 @@ def prepare_payments(payments: DataFrame) -> DataFrame:
     return payments.withColumns(fields).drop("payment_data")
 
 
-def purchase_base(payments: DataFrame, refunds: DataFrame, versions: DataFrame) -> DataFrame:
-    """Payment facts with refund, flags, fee and the latest product version
-    at or before the payment (one row per payment)."""
+def payments_with_versions(payments: DataFrame, refunds: DataFrame, versions: DataFrame) -> DataFrame:
+    """Payments with their refund and the latest product version at or before
+    the payment (one row per payment)."""
     j = join_payment_refund(prepare_payments(payments), refunds) \
         .withColumnRenamed("amount_refunded", "refunded_amount")
     vcols = {"operational_costs": "new_operational_costs", "id": "product_history_id",
              "name": "product_name", "category": "product_category"}
-    j = join_asof(j, versions, left_key="productTag", right_key="tag",
-                  left_time="payment_created_at", right_time="starting_at", tiebreak=["id"],
-                  columns=vcols, bucket_seconds=VERSION_BUCKET_SECONDS,
-                  broadcast_max_rows=VERSION_BROADCAST_MAX_ROWS, hot_key_rows=HOT_KEY_ROWS)
+    return join_asof(j, versions, left_key="productTag", right_key="tag",
+                     left_time="payment_created_at", right_time="starting_at", tiebreak=["id"],
+                     columns=vcols, bucket_seconds=VERSION_BUCKET_SECONDS,
+                     broadcast_max_rows=VERSION_BROADCAST_MAX_ROWS, hot_key_rows=HOT_KEY_ROWS)
+
+
+def purchase_base(payments: DataFrame, refunds: DataFrame, versions: DataFrame) -> DataFrame:
+    """Payment facts with refund, flags, fee and product version."""
+    j = payments_with_versions(payments, refunds, versions)
     flags = purchase_flags("productTag", "product_category")
     return j.select(
         F.col("payment_intent_id").alias("external_id"),
@@ -81,6 +95,37 @@ def attribute_referrals(base: DataFrame, events: DataFrame,
     }).drop("__event_type", "__campaign_id", "__campaign_name")
 
 
+BASE_SQL = """
+SELECT payment_intent_id AS external_id, payment_created_at AS created_at, amount, refunded_amount,
+       is_fully_refunded_short_term(amount, refunded_amount, payment_created_at, refunded_at) AS is_fully_refunded_short_term,
+       productTag AS product, productTag AS product_tag,
+       is_full_fare(productTag) AS is_full_fare, is_renewal(productTag) AS is_renewal, is_renewal_new(productTag) AS is_renewal_new,
+       is_other(productTag) AS is_other, is_addon(product_category) AS is_addon, has_appointment(productTag) AS has_appointment,
+       email, phone, name, state, new_operational_costs, product_history_id, product_name, provider, provider_id,
+       processing_fee(amount) AS payment_processing_fees
+FROM {payments}"""
+
+PURCHASE_SQL = """
+SELECT 1 AS q, :processor AS payment_processor, external_id, created_at, amount, refunded_amount, is_fully_refunded_short_term,
+       product, product_tag, is_full_fare, is_renewal, is_renewal_new, is_other, is_addon, email, phone AS phone_number, name,
+       coalesce(state, 'NULL') AS state,
+       operational_costs(has_appointment, is_full_fare, is_renewal, is_addon, created_at) AS operational_costs,
+       new_operational_costs, product_history_id, product_name, provider, provider_id, payment_processing_fees,
+       amount - payment_processing_fees AS net_amount, CAST(:run_ts AS TIMESTAMP_NTZ) AS processed_at,
+       campaign_id, campaign_name, is_referral_purchase, state_name(coalesce(state, 'NULL')) AS state_name
+FROM {purchases}"""
+
+
+def normalize_purchases_sql(payments: DataFrame, refunds: DataFrame, versions: DataFrame, events: DataFrame,
+                            run_ts: str, processor: str = K.PAYMENT_PROCESSOR) -> DataFrame:
+    """:func:`normalize_purchases` as SQL text that calls the registered
+    functions; the two time-conditioned joins are the library's."""
+    spark = payments.sparkSession
+    register_sql_functions(spark)
+    base = materialize(spark.sql(BASE_SQL, payments=payments_with_versions(payments, refunds, versions)), "purchase-base")
+    return spark.sql(PURCHASE_SQL, {"processor": processor, "run_ts": run_ts}, purchases=attribute_referrals(base, events))
+
+
 def normalize_purchases(payments: DataFrame, refunds: DataFrame, versions: DataFrame,
                         events: DataFrame, run_ts: str | None = None,
                         processor: str = K.PAYMENT_PROCESSOR) -> DataFrame:

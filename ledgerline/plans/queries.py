@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from ledgerline import schemas
 from ledgerline.functions import (coerce_types, is_fully_refunded_short_term, operational_costs,
-                                  parse_payload, processing_fee, purchase_flags, repair_quotes, state_name,
-                                  strip_outer_quote)
-from ledgerline.operators import cdc, dedup, joins, merge, watermark
+                                  parse_payload, processing_fee, purchase_flags, repair_quotes, split_payloads,
+                                  state_name, strip_outer_quote)
+from ledgerline.operators import cdc, dedup, joins, merge, metrics, watermark
 from ledgerline.plans import disputes as nd
 from ledgerline.plans import purchases as npur
 from ledgerline.plans import refunds as nref
@@ -280,12 +280,7 @@ def q_join_dispute_payment(s, d):
 
 
 def q_product_history_view(s, d):
-    v = _versions(s, d)
-    return v.withColumns({
-        "is_in_app_purchase": F.col("purchase_location") == "In-App",
-        "is_renewal": F.col("type") == "Renewal",
-        "is_website_purchase": F.col("purchase_location") == "Website",
-    })
+    return npur.product_history_view(_versions(s, d))
 
 
 def q_exclude_accounts(s, d):
@@ -343,12 +338,13 @@ def q_normalize_disputes(s, d):
 
 
 def q_run_metrics(s, d):
-    p = q_normalize_purchases(s, d).agg(F.count(F.lit(1)).alias("n"))
-    r = q_normalize_refunds(s, d).agg(F.count(F.lit(1)).alias("n"))
-    x = q_normalize_disputes(s, d).agg(F.count(F.lit(1)).alias("n"))
-    return (p.select(F.lit("purchases").alias("output"), "n")
-            .unionByName(r.select(F.lit("refunds").alias("output"), "n"))
-            .unionByName(x.select(F.lit("disputes").alias("output"), "n")))
+    """Rows of each output, counted as it is written: every plan runs once."""
+    counts = []
+    for name, plan in (("purchases", q_normalize_purchases), ("refunds", q_normalize_refunds), ("disputes", q_normalize_disputes)):
+        rows, figures = metrics.observed(plan(s, d), name, n=F.count(F.lit(1)))
+        materialize(rows, f"out-{name}")
+        counts.append((name, figures()["n"]))
+    return s.createDataFrame(counts, "output string, n long")
 
 
 # --- files and streaming -----------------------------------------------------
@@ -479,7 +475,81 @@ def q_is_initial(s, d):
         F.lit(seen[0]).alias("without_table"), F.lit(seen[1]).alias("empty_table"), F.lit(seen[2]).alias("loaded"), "n")
 
 
+# --- files of several layouts, inferred types, late batches, pruned scans ----------
+
+def q_read_cdc_layouts(s, d):
+    """Earlier batches lack a column and have another order, later ones have one more."""
+    path, rows = shared_dir(s, "cdc-layouts"), _cdc_rows(s, d)
+    first = F.col("file_time") <= F.lit(PENDING_SINCE).cast("timestamp_ntz")
+    early = rows.where(first).drop("phone")
+    cdc_files.write_cdc_batches(early.select("Op", *sorted(c for c in early.columns if c != "Op")), path)
+    cdc_files.write_cdc_batches(rows.where(~first).withColumn("channel", F.upper("status")), path, mode="append")
+    return cdc_files.read_cdc(s, path, [*_CDC_COLUMNS, "channel"], schemas.CDC_COERCE["payment"] | {"created_at": "timestamp_ntz"})
+
+
+def q_infer_cdc(s, d):
+    """The type of each column of all CDC files, one pass."""
+    path = shared_dir(s, "cdc-infer")
+    cdc_files.write_cdc_batches(_cdc_rows(s, d), path)
+    rows, types = cdc_files.infer_cdc(s, path, _CDC_COLUMNS)
+    n = rows.agg(*[F.count(c).alias(c) for c in types]).first()
+    return s.createDataFrame([(c, t, n[c]) for c, t in types.items()], "column string, type string, n_values long")
+
+
+def q_late_batches(s, d):
+    """The newer batches are delivered and applied first."""
+    from ledgerline.plans.jobs import CdcSpec, run_cdc_merge
+    from ledgerline.streaming import cdc_stream
+    files, table = shared_dir(s, "late-files"), shared_dir(s, "late-table")
+    store = watermark.WatermarkStore(s, shared_dir(s, "late-watermarks"))
+    cdc_files.write_full_load(_payments(s, d).drop("created_at"), files)
+    spec = CdcSpec("stripe_payment", files, tuple(_CDC_COLUMNS), schemas.CDC_COERCE["payment"],
+                   merge.PAYMENT_MERGE, "payment_updated_at", late_seconds=366 * 86400, by_load=True)
+    log = _cdc_rows(s, d).drop("created_at")
+    first = F.col("file_time") <= F.lit(PENDING_SINCE).cast("timestamp_ntz")
+    for part in (~first, first):
+        cdc_files.write_cdc_batches(log.where(part), files, mode="append")
+        run_cdc_merge(s, spec, table, store, "merge", tb.lake_buckets(s), run_ts=tb.RUN_TS)
+    return cdc_stream.read_table(s, table)
+
+
+def q_scan_incremental_pruned(s, d):
+    """The watermark prunes folders of load months."""
+    path = shared_dir(s, "by-load")
+    merge.write_table(_payments(s, d), path, merge.PAYMENT_MERGE.on, 4, by_load=True)
+    return watermark.scan_incremental(merge.read_table(s, path), "created_at", INCREMENTAL_WATERMARK).drop(merge.BUCKET_COL)
+
+
+def q_restricted_join(s, d):
+    """Payments picked out by a Bloom filter of the refunds' keys, as for increments of many keys."""
+    payments, refunds = _payments(s, d), _refunds(s, d)
+    found = joins.restrict_to(payments, refunds, "payment_intent_id", most=0)
+    j = joins.join_refund_payment(refunds, found)
+    return j.select("payment_intent_id", "amount_refunded", "payment_created_at", "email", "payment_amount")
+
+
+def q_normalize_purchases_sql(s, d):
+    return npur.normalize_purchases_sql(_payments(s, d), _refunds(s, d), _versions(s, d), _events(s, d), tb.RUN_TS)
+
+
+def q_payload_dead_letters(s, d):
+    """Typed rows and dead letters of payments whose payload is damaged in three ways, by the last digit of their id."""
+    last = F.right("payment_intent_id", F.lit(1))
+    damaged = (F.when(last == "7", F.left("payment_data", F.lit(40))).when(last == "3", F.lit("[1, 2]"))
+               .when(last == "5", F.lit('{"amount": "many"}')).otherwise(F.col("payment_data")))
+    good, dead = split_payloads(_payments(s, d).withColumn("payment_data", damaged), "payment_data", "payment_intent_id")
+    return (good.select("payment_intent_id", F.lit(True).alias("fits"), F.lit(None).cast("string").alias("reason"), F.col("payload.amount").alias("amount_cents"))
+            .unionByName(dead.select("payment_intent_id", F.lit(False).alias("fits"), "reason", F.lit(None).cast("int").alias("amount_cents"))))
+
+
 QUERIES: dict[str, Query] = {
+    "read_cdc_layouts": q_read_cdc_layouts,
+    "infer_cdc": q_infer_cdc,
+    "late_batches": q_late_batches,
+    "scan_incremental_pruned": q_scan_incremental_pruned,
+    "restricted_join": q_restricted_join,
+    "normalize_purchases_sql": q_normalize_purchases_sql,
+    "payload_dead_letters": q_payload_dead_letters,
     "merge_into_table": q_merge_into_table,
     "stage1_job": q_stage1_job,
     "incremental_purchases": q_incremental_purchases,

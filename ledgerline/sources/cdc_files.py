@@ -70,9 +70,9 @@ def text_schema(columns: list[str]) -> T.StructType:
 def list_files(spark: SparkSession, path: str, full: bool = False, since: str | None = None) -> list[str]:
     """Paths of the CDC files at ``path`` (``full``: of the full load), those
     of batches strictly after ``since``.  Files are listed once, as every read
-    does; none is opened."""
+    does, and of older folders only the names; no file is opened."""
     root = path.rstrip("/")
-    glob = f"{root}/LOAD*" if full else f"{root}/{{batch=*,[0-9]*}}"
+    glob = f"{root}/LOAD*" if full else f"{root}/{_batches(since)}"
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(glob).inputFiles()
     except AnalysisException as e:
@@ -85,6 +85,21 @@ def list_files(spark: SparkSession, path: str, full: bool = False, since: str |
     return sorted(unquote(f) for f in files)
 
 
+def _batches(since: str | None) -> str:
+    """Glob of batch folders and flat batch files; with ``since``, of names from that second on."""
+    if not since:
+        return "{batch=*,[0-9]*}"
+    stamps = stamps_from(datetime.fromisoformat(since).strftime("%Y%m%d-%H%M%S"))
+    return "{" + ",".join(f"{start}{s}" for s in stamps for start in ("batch=", "")) + "}"
+
+
+def stamps_from(stamp: str) -> list[str]:
+    """Globs of the names that begin with a time not before ``stamp``: the time
+    itself, or its first digits and then a larger one."""
+    larger = [f"{stamp[:k]}[{int(c) + 1}-9]*" for k, c in enumerate(stamp) if c.isdigit() and c < "9"]
+    return [f"{stamp}*", *larger]
+
+
 def batch_time(path: str) -> datetime | None:
     """:func:`file_time` of one path."""
     found = re.search(BATCH_PATTERN, path) or re.search(FILE_PATTERN, path)
@@ -238,7 +253,13 @@ def pending_batches(spark: SparkSession, path: str, since: str | None = None) ->
     """Distinct batch times after ``since``, in time order (for progress
     reporting; the pipelines consume batches as one DataFrame).  Only paths
     are listed; no file is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path.rstrip("/")).select("path")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        files = files.load(f"{path.rstrip('/')}/{_batches(since)}").select("path")
+    except AnalysisException as e:
+        if not missing(e):
+            raise
+        return spark.createDataFrame([], "file_time timestamp_ntz")
     t = files.select(file_time("path").alias("file_time")).where("file_time is not null").distinct()
     if since:
         t = t.where(F.col("file_time") > F.lit(since).cast("timestamp_ntz"))

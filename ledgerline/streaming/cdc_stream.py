@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.coerce import load_time, stamp_load_time
 from ledgerline.operators.cdc import APPLIED, APPLIED_TYPE, any_order_merge, fold_in_any_order
 from ledgerline.operators.commit import recover
-from ledgerline.operators.merge import BUCKET_COL, MergeSpec, merge_into_table, write_table
+from ledgerline.operators.merge import BUCKET_COL, LOAD_COL, MergeSpec, merge_into_table, write_table
 from ledgerline.sources.cdc_files import batch_glob, read_files
 
 
@@ -53,7 +53,7 @@ PATHS = "path string, modificationTime timestamp, length long, content binary"
 
 
 def merge_log(spark: SparkSession, log: DataFrame, table_path: str, spec: MergeSpec, ts: str, buckets: int,
-              like: DataFrame | None = None, run_ts: str | None = None, token: str | None = None) -> int:
+              like: DataFrame | None = None, run_ts: str | None = None, token: str | None = None, by_load: bool = False) -> int:
     """Fold CDC rows (with ``file_time``) and merge them into the table,
     whatever batches have been merged before; returns the keys merged.  Rows
     without a load time of their own get the run's.  Inserts without a key
@@ -62,11 +62,11 @@ def merge_log(spark: SparkSession, log: DataFrame, table_path: str, spec: MergeS
     stamped = LOAD_TIME not in log.columns
     log = stamp_load_time(log, run_ts, LOAD_TIME) if stamped else log.withColumn(LOAD_TIME, F.coalesce(LOAD_TIME, load_time(run_ts)))
     base = like if like is not None else spark.read.parquet(table_path)
-    like = with_places(base.drop(BUCKET_COL))
+    like = with_places(base.drop(BUCKET_COL, LOAD_COL))
     cols = [c for c in like.columns if c != APPLIED]
     merge, choose = any_order_merge(spec, [c for c in cols if c in log.columns], LOAD_TIME if stamped else None)
     return merge_into_table(spark, table_path, fold_in_any_order(log, spec, ts, cols), merge, buckets,
-                            validate=False, like=like, token=token, choose=choose)
+                            validate=False, like=like, token=token, choose=choose, by_load=by_load)
 
 
 def with_places(df: DataFrame) -> DataFrame:
@@ -81,4 +81,4 @@ def start_table(df: DataFrame, table_path: str, spec: MergeSpec, buckets: int) -
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:
     """The table's own columns."""
-    return spark.read.parquet(table_path).drop(BUCKET_COL, APPLIED)
+    return spark.read.parquet(table_path).drop(BUCKET_COL, LOAD_COL, APPLIED)
