@@ -160,4 +160,4 @@ def test_restrict_to_keeps_what_the_increment_needs(spark):
     rows_ = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
     increment = spark.createDataFrame([(3,), (3,), (None,), (500,)], "k long")
     assert [r["k"] for r in restrict_to(rows_, increment, "k").collect()] == [3]
-    assert restrict_to(rows_, increment, "k", most=1).count() == 100
+    assert restrict_to(rows_, increment, "k", most=1, words=0).count() == 100
