@@ -4,9 +4,12 @@ Documents become token ids and one end id.  Only longer ones are cut, into
 pieces of a whole sequence; the rest of each document is one item.  A round
 deals the items over tasks, each of which packs its own best fit, longest
 first, and emits the sequences that are nearly full.  What stays underfull
-goes on as one item (its members stay together) to the next round, with fewer
-tasks: a tree of merges whose tasks each hold at most ``task_items`` items.
-A round that no longer brings the underfull bins down ends the tree.
+goes on as one item to the next round, with fewer tasks: a tree of merges whose
+tasks each hold at most ``task_items`` items.  An item is a number and its
+length alone; which pieces it holds, and where, is a table beside it that each
+round's moves are joined to, so a task's memory does not grow with the members
+of a bin.  The tree ends after a round in one task, or when a round joins less
+than ``LEAST_GAIN`` of the open bins, at any size.
 
 The tokenizer drops white space and never joins over it, so the ids of a text
 are those of its words in a row; a task encodes each different word once.
@@ -38,6 +41,7 @@ END_ID = 0
 NEARLY_FULL = 16
 TASK_ITEMS = 100_000
 MERGE = 4
+LEAST_GAIN = 0.01
 #: Words that a Python worker remembers with their ids.
 CACHE_WORDS = 400_000
 TAIL = re.compile(r"(?<=[^\W_])([.,]+)$")
@@ -46,7 +50,8 @@ _TOKENIZERS: dict[str, object] = {}
 _IDS: dict[str, dict[str, bytes]] = {}
 
 PIECE = "doc_id long, piece int, start long, length int, ids_crc32 long"
-BIN = f"used int, members array<struct<{PIECE.replace(' long', ': long').replace(' int', ': int')}, at: int>>"
+#: A round's moves: an item, the bin that it is in from now on (named after its first item), its place there, and what the bin holds.
+MOVE = "item long, bin long, base long, used int"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -169,17 +174,15 @@ def _round(length: int):
         rows = [f for f in frames if len(f)]
         if not rows:
             return
-        items = pd.concat(rows, ignore_index=True)
-        used, members = items["used"].tolist(), items["members"].tolist()
-        out_used, out_members = [], []
-        for b in best_fit(used, length):
-            base, inside = 0, []
-            for i in b:
-                inside += [{**m, "at": m["at"] + base} for m in members[i]]
-                base += used[i]
-            out_used.append(base)
-            out_members.append(inside)
-        yield pd.DataFrame({"used": out_used, "members": out_members})
+        items = pd.concat(rows, ignore_index=True).sort_values(["used", "bin"], ascending=[False, True])
+        used, names = items["used"].tolist(), items["bin"].to_numpy()
+        bins = best_fit(used, length)
+        order = np.fromiter((i for b in bins for i in b), np.int64, len(used))
+        size, count = np.array(used, np.int64)[order], np.fromiter(map(len, bins), np.int64, len(bins))
+        first = np.concatenate([[0], np.cumsum(count)[:-1]])
+        before = np.cumsum(size) - size
+        whole = np.add.reduceat(size, first)
+        yield pd.DataFrame({"item": names[order], "bin": np.repeat(names[order[first]], count), "base": before - np.repeat(before[first], count), "used": np.repeat(whole, count).astype(np.int32)})
 
     return join
 
@@ -188,26 +191,31 @@ def pack(items: DataFrame, length: int = LENGTH, nearly_full: int = NEARLY_FULL,
     """Pieces with sequence_id and offset.  ``items``: piece rows, none longer than ``length``."""
     spark = items.sparkSession
     fields = [c.split()[0] for c in PIECE.split(", ")]
-    member = F.array(F.struct(*fields, F.lit(0).alias("at"))).alias("members")
-    left = items.where(F.col("length") < length).select(F.col("length").alias("used"), member)
-    n = left.count()
+    items = materialize(items.select(*fields, F.monotonically_increasing_id().alias("item")), "numbered-pieces")
+    done = items.where(F.col("length") >= length).select("item", F.col("item").alias("bin"), F.lit(0).cast("long").alias("at"))
+    left = items.where(F.col("length") < length).select(F.col("item").alias("bin"), F.col("length").alias("used"))
+    n, k, places = left.count(), 0, None  # places: pieces of open bins
     tasks = max(1, min(parallelism(spark), -(-n // 2_000)), -(-n // task_items))
-    bins, k = items.where(F.col("length") >= length).select(member), 0
     while n:
         k += 1
-        packed = materialize(left.repartition(tasks).mapInPandas(_round(length), BIN), f"pack-{k}")
-        left = packed.where(F.col("used") < length - nearly_full)
+        moves = materialize(left.repartition(tasks).mapInPandas(_round(length), MOVE), f"pack-{k}")
+        if places is None:
+            places = moves.select("item", "bin", F.col("base").alias("at"), "used")
+        else:
+            moved = moves.select(F.col("item").alias("old"), F.col("bin").alias("new"), "base", F.col("used").alias("filled"))
+            places = places.join(moved, places["bin"] == moved["old"]).select("item", F.col("new").alias("bin"), (F.col("at") + F.col("base")).alias("at"), F.col("filled").alias("used"))
+            places = materialize(places, f"places-{k}")
+        full = F.col("used") >= length - nearly_full
+        left = moves.where(~full & (F.col("item") == F.col("bin"))).select("bin", "used")
         before, n = n, left.count()
-        if tasks == 1 or (n > 0.9 * before and n > task_items):
-            bins = bins.unionByName(packed.select("members"))
+        if tasks == 1 or n > (1 - LEAST_GAIN) * before:
+            done = done.unionByName(places.drop("used"))
             break
-        bins = bins.unionByName(packed.where(F.col("used") >= length - nearly_full).select("members"))
+        done = done.unionByName(places.where(full).drop("used"))
+        places = places.where(~full)
         tasks = max(1, min(tasks // merge, -(-n // 2_000)), -(-n // task_items))
-    # Written before the members part, so that all of a sequence keep its number.
-    numbered = materialize(bins.withColumn("sequence_id", F.monotonically_increasing_id()), "sequences")
-    return (numbered.select("sequence_id", F.explode("members").alias("m"))
-            .select(*[F.col(f"m.{c}").alias(c) for c in fields], "sequence_id", F.col("m.at").cast("long").alias("offset"))
-            .withColumn("length", F.col("length").cast("long")))
+    placed = done.select("item", F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
+    return items.join(placed, "item").select(*fields, "sequence_id", "offset").withColumn("length", F.col("length").cast("long"))
 
 
 def pack_documents(df: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -57,6 +57,26 @@ def test_several_rounds_keep_every_piece(spark):
     assert got["sequence_id"].nunique() <= 1.03 * sum(x[3] for x in items) / 100 + 1
 
 
+def test_small_tasks_pack_as_well_as_one(spark):
+    """At any number of items per task: within half a hundredth of one task's sequences, and no size ends the rounds early."""
+    rng = random.Random(6)
+    df = spark.createDataFrame([(i, 0, 0, min(1024, 1 + int(rng.lognormvariate(4.7, 1))), i) for i in range(6000)], P.PIECE)
+    one = P.pack(df, length=1024).select("sequence_id").distinct().count()
+    for task_items in (300, 1500):
+        got = P.pack(df, length=1024, task_items=task_items, nearly_full=4)
+        assert got.select("sequence_id").distinct().count() <= 1.005 * one + 1 and got.count() == 6000
+
+
+def test_repeated_rows_over_several_rounds(spark):
+    """Pieces that are equal in every column keep places of their own."""
+    df = spark.createDataFrame([(i % 7, 0, 0, 10 + i % 3, 5) for i in range(900)], P.PIECE)
+    got = P.pack(df, length=100, nearly_full=0, task_items=100, merge=2).toPandas()
+    assert len(got) == 900
+    for _, g in got.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert g["offset"].tolist() == [0, *np.cumsum(g["length"])[:-1].tolist()] and g["length"].sum() <= 100
+
+
 def test_best_fit_is_near_the_bound():
     rng = random.Random(1)
     sizes = [rng.randint(1, 2047) for _ in range(5000)]
