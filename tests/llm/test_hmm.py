@@ -71,8 +71,8 @@ def test_counts_and_base_score(spark):
         assert a[6] < 0 and math.isfinite(a[6])
 
 
-def test_words_given_a_class_are_a_distribution(spark):
-    """The probabilities of all one-word texts (each known word, one unknown word a class) and of the empty text sum to at most 1, near it with the second tokens."""
+def test_start_model_rows_are_distributions():
+    """What each state emits, where it moves and where a text starts sum to one."""
     rng = np.random.default_rng(2)
     c = rng.integers(0, 5, H.CLASSES).astype(float)
     m = H.start_model(c, 4)
