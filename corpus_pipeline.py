@@ -14,7 +14,7 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm.common import load, materialize
+from ledgerline.llm.common import load, materialize, small_batches
 from ledgerline.llm.exact_dedup import drop_exact_copies, one_per_text
 from ledgerline.llm.jaccard import drop_near_copies
 from ledgerline.llm.mixing import mixed
@@ -27,12 +27,12 @@ BATCH_BYTES = 8 << 20
 
 
 def _in_small_batches(stage):
-    """The stage with Arrow batches of at most BATCH_BYTES, also when its result is written later."""
+    """The stage with Arrow batches of at most BATCH_BYTES, its result written inside; the session's setting is put back."""
 
     @functools.wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-        return stage(spark, docs, sf_dir)
+        with small_batches(spark, BATCH_BYTES):
+            return materialize(stage(spark, docs, sf_dir), f"pipeline-{stage.__name__}")
 
     return run
 
@@ -73,6 +73,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows over the whole ``documents`` table."""
     docs = load(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for _, stage in STAGES[:-1]:
+        docs = stage(spark, docs, sf_dir)
     return STAGES[-1][1](spark, docs, sf_dir)
