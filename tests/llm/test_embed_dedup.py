@@ -25,6 +25,21 @@ def clustered(seed, n=300, dim=16):
     return rows
 
 
+def reachable(links) -> np.ndarray:
+    """The smallest row that each row reaches, by a walk along the links."""
+    root = np.arange(len(links))
+    for start in range(len(links)):
+        todo, seen = [start], {start}
+        while todo:
+            for j in np.flatnonzero(links[todo.pop()]).tolist():
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        root[start] = min(seen)
+    return root
+
+
+
 def expected(rows, cosine=0.93):
     fine = []
     for i, v, label in rows:
@@ -36,7 +51,7 @@ def expected(rows, cosine=0.93):
         for b in range(a):
             if fine[a] is not None and fine[b] is not None and rows[a][2] == rows[b][2] and len(fine[a]) == len(fine[b]):
                 links[a, b] = links[b, a] = fine[a] @ fine[b] >= cosine
-    root = E.smallest_reachable(links)
+    root = reachable(links)
     out = []
     for k, (i, _, _) in enumerate(rows):
         same = [rows[j][0] for j in np.flatnonzero(root == root[k])]

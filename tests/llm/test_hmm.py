@@ -71,6 +71,35 @@ def test_counts_and_base_score(spark):
         assert a[6] < 0 and math.isfinite(a[6])
 
 
+def test_score_is_the_plain_forward_of_the_trained_model(spark, monkeypatch):
+    """End to end: the model that the rounds leave, held against the textbook recursion over words and their classes."""
+    rows = [r for r in awkward() if r[1] is None or len(r[1]) < 5000]
+    seen = {}
+    real = H._round
+    monkeypatch.setattr(H, "_round", lambda blocks, model: seen.update(model=real(blocks, model)) or seen["model"])
+    got = H.scores(frame(spark, rows), states=3, rounds=2).collect()
+    m = seen["model"]
+    tokens = [words(lower(r[1])) for r in rows]
+    held = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 10 == 0 for r in rows]
+    vocab = sorted({w for ts in tokens for w in ts})
+    group = dict(zip(vocab, H.word_classes(vocab).tolist(), strict=True)) | {None: 0}
+    c = Counter(t for ts, h in zip(tokens, held, strict=True) if not h for t in [*ts, None])
+    inside, kinds = Counter(), Counter()
+    for w, n in c.items():
+        inside[group[w]] += n
+        kinds[group[w]] += 1
+
+    def score(ts):
+        ts = [*ts, None]
+        of = np.array([group[t] for t in ts])
+        return plain_forward(of, m["first"], m["move"], m["emit"]) + sum(math.log10((c[t] + 0.1) / (inside[g] + 0.1 * (kinds[g] + 1))) for t, g in zip(ts, of, strict=True))
+
+    have = sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in got)
+    want = sorted((str(r[0]), len(ts) + 1, score(ts)) for r, ts in zip(rows, tokens, strict=True))
+    assert [x[:2] for x in have] == [x[:2] for x in want]
+    assert [x[2] for x in have] == pytest.approx([x[2] for x in want], rel=1e-9)
+
+
 def test_start_model_rows_are_distributions():
     """What each state emits, where it moves and where a text starts sum to one."""
     rng = np.random.default_rng(2)
