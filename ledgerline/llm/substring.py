@@ -312,8 +312,11 @@ def covers(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, most: int = MO
     simple = found.where("alike").select("key", "first", whole.alias("spans"))
     open_runs = found.where("not alike")
     picked = materialize(open_runs.groupBy("key").agg(F.collect_set("first").alias("firsts")), "open-runs")
-    seqs = materialize(sequences(with_text(docs, picked, 4 * F.size("firsts"), "inner"), width, gram), "sequences")
-    large = materialize(seqs.groupBy("anchor").agg(F.count_distinct("content").alias("kinds")).where(F.col("kinds") > most).select("anchor"), "large-anchors")
+    # Equal sequences are one row with their copies before they are dealt by anchor (combined in each task first).
+    seqs = (sequences(with_text(docs, picked, 4 * F.size("firsts"), "inner"), width, gram)
+            .groupBy("anchor", "content").agg(F.min("words").alias("words"), F.sum("copies").alias("copies")))
+    seqs = materialize(seqs, "sequences")
+    large = materialize(seqs.groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > most).select("anchor"), "large-anchors")
     if large.isEmpty():
         marked = shard_spans(seqs, width)
     else:
