@@ -12,9 +12,8 @@ can repeat travel to the shard that can answer for them:
    (its anchor).  Equal windows have equal anchors; neighbouring windows mostly
    share one, so a document yields a row per run of windows, not per word.
 2. Anchors that occur once in the corpus cannot belong to a repeated window.
-   Where all runs of an anchor are one and the same sequence in several places,
-   every window in them repeats.  Only the runs of other anchors go on, as word
-   sequences, equal ones of a task's texts merged with their number.
+   The runs of all others go on as word sequences, equal ones merged with their
+   number in each task and once more before they are dealt.
 3. A shard holds all sequences of an anchor.  It builds one suffix automaton of
    them, with the number of places of each state, and streams every sequence
    through it: the matching statistics at each word give the state of the last
@@ -102,20 +101,20 @@ def runs(texts: pa.Array, width: int, gram: int):
     return h, at, start, stop, anchor[start], places, content
 
 
-ANCHORS = "anchor long, content long, key long, first int, n int, places int"
+ANCHORS = "anchor long, content long, key long, first int, places int"
 
 
 def anchors(docs: DataFrame, width: int, gram: int) -> DataFrame:
-    """One row per run of windows: its anchor, hash of its words, text, first window in the text, windows, places of the anchor."""
+    """One row per run of windows: its anchor, hash of its words, text, first window in the text, places of the anchor."""
 
     def find(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                _, at, start, stop, anchor, places, content = runs(part.column("text"), width, gram)
+                _, at, start, _, anchor, places, content = runs(part.column("text"), width, gram)
                 doc = np.searchsorted(at, start, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), part.column("key").take(pa.array(doc)), pa.array((start - at[doc]).astype(np.int32)),
-                     pa.array((stop - start).astype(np.int32)), pa.array(places.astype(np.int32))], [c.split()[0] for c in ANCHORS.split(", ")])
+                     pa.array(places.astype(np.int32))], [c.split()[0] for c in ANCHORS.split(", ")])
 
     return docs.mapInArrow(find, ANCHORS)
 
@@ -303,15 +302,9 @@ def _merged(rows: DataFrame) -> DataFrame:
 def covers(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, most: int = MOST) -> DataFrame:
     """(key, spans): per text with repeated windows, the spans of these as pairs of 32-bit numbers (first window, end)."""
     found = materialize(anchors(docs, width, gram), "anchors")
-    twice = (found.groupBy("anchor").agg(F.sum("places").alias("places"), F.count("*").alias("rows"), F.min("content").alias("x"), F.max("content").alias("y"))
-             .where("places >= 2").select("anchor", F.expr("x = y and rows >= 2").alias("alike")))
-    found = materialize(found.join(materialize(twice, "repeated-anchors"), "anchor").select("anchor", "content", "key", "first", "n", "alike"), "repeated-runs")
-    # Runs whose every window repeats: one span from 0 to n, as little-endian bytes.
-    number = F.concat(*[F.lpad(F.hex(F.shiftrightunsigned("n", 8 * i).bitwiseAND(255)), 2, "0") for i in range(4)])
-    whole = F.unhex(F.concat(F.lit("00000000"), number))
-    simple = found.where("alike").select("key", "first", whole.alias("spans"))
-    open_runs = found.where("not alike")
-    picked = materialize(open_runs.groupBy("key").agg(F.collect_set("first").alias("firsts")), "open-runs")
+    twice = materialize(found.groupBy("anchor").agg(F.sum("places").alias("places")).where("places >= 2").select("anchor"), "repeated-anchors")
+    found = materialize(found.join(twice, "anchor").select("anchor", "content", "key", "first"), "repeated-runs")
+    picked = materialize(found.groupBy("key").agg(F.collect_set("first").alias("firsts")), "picked-runs")
     # Equal sequences are one row with their copies before they are dealt by anchor (combined in each task first).
     seqs = (sequences(with_text(docs, picked, 4 * F.size("firsts"), "inner"), width, gram)
             .groupBy("anchor", "content").agg(F.min("words").alias("words"), F.sum("copies").alias("copies")))
@@ -322,8 +315,7 @@ def covers(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, most: int = MO
     else:
         marked = shard_spans(seqs.join(large, "anchor", "left_anti"), width).unionByName(window_spans(seqs.join(large, "anchor", "left_semi"), width))
     marked = materialize(marked, "marked")
-    marked = open_runs.select("anchor", "content", "key", "first").join(marked, ["anchor", "content"]).select("key", "first", "spans")
-    return _merged(simple.unionByName(marked))
+    return _merged(found.join(marked, ["anchor", "content"]).select("key", "first", "spans"))
 
 
 def remove_repeats(df: DataFrame, width: int = WIDTH, gram: int = GRAM, most: int = MOST, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
