@@ -57,8 +57,8 @@ class CdcSpec:
     types: dict[str, str]
     merge: MergeSpec
     latest_by: str
-    # False where no value contains a line break: large files are then split.
-    multiline: bool = True
+    # False where no value contains a line break: large files are then split; "split" splits them in any case.
+    multiline: bool | str = True
     # How far behind the watermark batches may still arrive: these are read again (applying twice changes nothing).
     late_seconds: int = 0
     # Whether the table has a level of load months below its buckets, by which downstream watermarks prune.

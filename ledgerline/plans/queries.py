@@ -487,6 +487,13 @@ def q_read_cdc_layouts(s, d):
     return cdc_files.read_cdc(s, path, [*_CDC_COLUMNS, "channel"], schemas.CDC_COERCE["payment"] | {"created_at": "timestamp_ntz"})
 
 
+def q_read_cdc_split(s, d):
+    """Files with line breaks inside values, read by splits."""
+    path = shared_dir(s, "cdc-split")
+    cdc_files.write_cdc_batches(_cdc_rows(s, d).withColumn("payment_data", F.replace("payment_data", F.lit(","), F.lit(",\n"))), path)
+    return cdc_files.read_cdc(s, path, _CDC_COLUMNS, schemas.CDC_COERCE["payment"] | {"created_at": "timestamp_ntz"}, multiline="split")
+
+
 def q_infer_cdc(s, d):
     """The type of each column of all CDC files, one pass."""
     path = shared_dir(s, "cdc-infer")
@@ -545,6 +552,7 @@ def q_payload_dead_letters(s, d):
 QUERIES: dict[str, Query] = {
     "read_cdc_layouts": q_read_cdc_layouts,
     "infer_cdc": q_infer_cdc,
+    "read_cdc_split": q_read_cdc_split,
     "late_batches": q_late_batches,
     "scan_incremental_pruned": q_scan_incremental_pruned,
     "restricted_join": q_restricted_join,

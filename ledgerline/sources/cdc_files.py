@@ -19,6 +19,7 @@ from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,7 +155,7 @@ def _one_file_per_task(spark: SparkSession):
 
 
 def read_cdc(spark: SparkSession, path: str, columns: list[str] | None = None, types: dict[str, str] | None = None,
-             full: bool = False, since: str | None = None, multiline: bool = True,
+             full: bool = False, since: str | None = None, multiline: bool | str = True,
              repair: tuple[str, ...] = (), optional: tuple[str, ...] = ()) -> DataFrame:
     """Read CDC batches (``full=True``: the full-load files ``LOAD*``) as
     text, take the given columns by name, type them and add ``file_time``.
@@ -165,8 +166,10 @@ def read_cdc(spark: SparkSession, path: str, columns: list[str] | None = None, t
     file does not have is NULL in its rows; ``optional`` columns are part of the
     result only if some file has them; without ``columns`` all that any file has
     are taken.  ``since`` keeps batches strictly newer than that time: older
-    files are listed, not read.  ``multiline=False`` lets Spark split large
-    files (only when no value contains a line break).  ``repair`` names payload
+    files are listed, not read.  By default a file is one task;
+    ``multiline=False`` lets Spark split large files (only when no value
+    contains a line break), ``multiline="split"`` splits them whatever the
+    values hold (see :func:`split_records`).  ``repair`` names payload
     columns of legacy exports (quotes doubled, no escape character) to run
     through :func:`ledgerline.functions.repair_quotes`; correctly escaped files
     need no repair.  Without any file the result is empty.
@@ -175,23 +178,77 @@ def read_cdc(spark: SparkSession, path: str, columns: list[str] | None = None, t
 
 
 def read_files(spark: SparkSession, files: list[str], columns: list[str] | None = None, types: dict[str, str] | None = None,
-               full: bool = False, multiline: bool = True, repair: tuple[str, ...] = (), optional: tuple[str, ...] = ()) -> DataFrame:
+               full: bool = False, multiline: bool | str = True, repair: tuple[str, ...] = (), optional: tuple[str, ...] = ()) -> DataFrame:
     """:func:`read_cdc` of the given files."""
     groups = headers(spark, files)
     found = list(dict.fromkeys(c for names in groups for c in names))
     columns = [c for c in found if c not in optional] if columns is None else list(columns)
     columns += [c for c in optional if c in found and c not in columns]
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline).lower()).option("enforceSchema", "false")
+    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline is True).lower()).option("enforceSchema", "false")
     out = spark.createDataFrame([], _empty_schema(columns, full))
     for k, (names, paths) in enumerate(groups.items()):
-        df = reader.schema(text_schema(list(names))).csv(paths)
-        df = df.select("*") if full else df.withColumn("file_time", file_time())
+        if multiline == "split":
+            df = split_records(spark, paths, list(names))
+            df = df.drop("path") if full else df.withColumn("file_time", file_time("path"))
+        else:
+            df = reader.schema(text_schema(list(names))).csv(paths)
+            df = df.select("*") if full else df.withColumn("file_time", file_time())
         by_name = [(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c) for c in columns]
         df = df.select(*by_name, *([] if full else ["file_time"]))
         out = out.unionByName(df) if k else df
     return _repair(coerce_types(out, types or {}), repair)
 
 
+#: Stands for a line break inside a value while a record is parsed (a private character).
+_BREAK = "\ue00a"
+
+
+def split_records(spark: SparkSession, files: list[str], names: list[str]) -> DataFrame:
+    """Records of CSV files with one header, as text columns and ``path``, read
+    by splits although values may hold line breaks.
+
+    A line break lies inside a value where the quotes before it, from the start
+    of the file, are odd in number (an escaped quote is two).  Each split counts
+    its quotes; the parity in which a split begins is the sum over the splits
+    before it, one narrow row per split.  Within a split a running parity finds
+    where records begin.  Lines that are whole records go straight to the
+    parser; only those that are parts of one are brought together, across
+    splits where a record runs over them.  Quotes must stand only around values
+    or doubled inside them, as replication tools write them.
+    """
+    lines = (spark.read.option("lineSep", "\n").text(files)
+             .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"),
+                     F.monotonically_increasing_id().alias("line")))
+    lines = lines.withColumn("odd", (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2)
+    in_file, in_split = W.partitionBy("path").orderBy("split"), W.partitionBy("path", "split").orderBy("line")
+    earlier, before = in_file.rowsBetween(W.unboundedPreceding, -1), in_split.rowsBetween(W.unboundedPreceding, -1)
+    opens = lines.groupBy("path", "split").agg((F.sum("odd") % 2).alias("odd"))
+    opens = opens.select("path", "split", (F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2).alias("open"))
+    placed = lines.join(opens, ["path", "split"])
+    placed = placed.withColumn("inside", (F.col("open") + F.coalesce(F.sum("odd").over(before), F.lit(0))) % 2)
+    placed = placed.withColumn("record", F.sum(1 - F.col("inside")).over(in_split.rowsBetween(W.unboundedPreceding, 0)))
+    # Written once: the lines are used three times from here on.
+    placed = materialize(placed.select("value", "path", "split", "line", "odd", "inside", "record"), "csv-lines")
+    # The header is the first record of its file.
+    placed = placed.where("not (split = 0 and record = 1)")
+    whole = placed.where("inside = 0 and odd = 0").select("path", F.col("value").alias("text"))
+    parts = placed.where("inside = 1 or odd = 1")
+    # A split's lines before its first record belong to the last record of the nearest split before it that has one.
+    last = placed.groupBy("path", "split").agg(F.max("record").alias("last"))
+    owner = F.last(F.when(F.col("last") > 0, F.struct("split", F.col("last").alias("record"))), ignorenulls=True).over(earlier)
+    parts = parts.join(last.select("path", "split", owner.alias("owner")), ["path", "split"])
+    own = F.col("record") > 0
+    parts = parts.select("path", F.when(own, F.col("split")).otherwise(F.col("owner.split")).alias("from"), F.when(own, F.col("record")).otherwise(F.col("owner.record")).alias("nth"),
+                         F.struct("split", "line", "value").alias("piece"))
+    joined = (parts.groupBy("path", "from", "nth").agg(F.sort_array(F.collect_list("piece")).alias("pieces"))
+              .select("path", F.array_join(F.transform("pieces", lambda p: p["value"]), _BREAK).alias("text")))
+    text = F.regexp_replace("text", "\r$", "")
+    options = {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "multiLine")}
+    row = F.from_csv(text, ", ".join(f"`{c}` string" for c in names), options)
+    rows = whole.unionByName(joined).where(F.length(text) > 0).select("path", row.alias("row"))
+    return rows.select("path", *[F.replace(F.col(f"row.`{c}`"), F.lit(_BREAK), F.lit("\n")).alias(c) for c in names])
+
+
 def _empty_schema(columns: list[str], full: bool) -> T.StructType:
     extra = [] if full else [T.StructField("file_time", T.TimestampNTZType())]
     return T.StructType([*text_schema(columns).fields, *extra])

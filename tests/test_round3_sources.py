@@ -60,6 +60,32 @@ def test_header_that_names_a_column_twice(spark):
         C.read_cdc(spark, path, ["k"])
 
 
+@pytest.mark.parametrize("size", [64, 300, 1 << 20])
+def test_files_are_split_inside_records(spark, size):
+    """Splits far smaller than records: every way of breaking them gives the rows of the one-task reader."""
+    rng = random.Random(size)
+    path = shared_dir(spark, "splits").removeprefix("file:")
+    values = ["", "plain", "two\nlines", "a \"quoted\" part\nand |", "x" * 200 + "\n" * 5 + "y", "\n", '""', "été\n", "\\N not null", None]
+    for f in range(3):
+        text = "Op|k|v\n"
+        for k in range(60):
+            v = rng.choice(values)
+            text += f"I|{f}.{k}|" + ("\\N" if v is None else '"' + v.replace('"', '""') + '"' if v != "plain" else v) + "\n"
+        _file(path, f"batch=2024010{f + 1}-000000/a.csv", text if f else text.rstrip("\n"))
+    _file(path, "batch=20240105-000000/crlf.csv", 'Op|k|v\r\nI|c.1|plain\r\nI|c.2|"q"\r\n')
+    want = rows(C.read_cdc(spark, path, ["Op", "k", "v"]).where("k not like 'c.%'"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, str(size))
+        got = C.read_cdc(spark, path, ["Op", "k", "v"], multiline="split")
+        assert rows(got.where("k not like 'c.%'")) == want and len(want) == 180
+        assert sorted((r["k"], r["v"]) for r in got.where("k like 'c.%'").collect()) == [("c.1", "plain"), ("c.2", "q")]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_no_files(spark):
     assert C.read_cdc(spark, shared_dir(spark, "none"), ["Op", "k"], {"k": "int"}).dtypes == [("Op", "string"), ("k", "int"), ("file_time", "timestamp_ntz")]
 
