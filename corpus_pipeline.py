@@ -27,12 +27,15 @@ BATCH_BYTES = 8 << 20
 
 
 def _in_small_batches(stage):
-    """The stage with Arrow batches of at most BATCH_BYTES, its result written inside; the session's setting is put back."""
+    """The stage with Arrow batches of at most BATCH_BYTES, also when its result is written later by whoever called it.
+
+    ``run`` puts the session's setting back; a caller of single stages does so after writing.
+    """
 
     @functools.wraps(stage)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        with small_batches(spark, BATCH_BYTES):
-            return materialize(stage(spark, docs, sf_dir), f"pipeline-{stage.__name__}")
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
 
     return run
 
@@ -72,7 +75,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows over the whole ``documents`` table."""
-    docs = load(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = stage(spark, docs, sf_dir)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    with small_batches(spark, BATCH_BYTES):  # the setting is put back: each stage is written inside, and packing writes its sequences itself
+        docs = load(spark, sf_dir, "documents")
+        for name, stage in STAGES[:-1]:
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        return STAGES[-1][1](spark, docs, sf_dir)
