@@ -47,7 +47,7 @@ GATE = 20.0
 DISCOUNT = 0.75
 #: Least mass that a class or context leaves to the level below.
 LEAST = 1e-6
-FIT_DOCS = 60_000
+FIT_DOCS = 30_000
 #: The held-out rows, and the share of the others that the logistic curve is fitted on.
 FOLDS = 5
 CURVE_SHARE = 4
