@@ -15,6 +15,7 @@ import csv
 import re
 from contextlib import contextmanager
 from datetime import datetime
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -265,12 +266,30 @@ _TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,
 _FORMS = {"int": _WHOLE, "bigint": _WHOLE, "decimal(38,0)": _WHOLE, "double": _NUMBER, "date": _DATE, "timestamp_ntz": _TIME, "boolean": r"(?i)^(true|false)$"}
 
 
+def _bits(*types: str) -> int:
+    return sum(1 << LATTICE.index(t) for t in types)
+
+
 def fitting(col: F.Column) -> F.Column:
-    """Bit mask of the types that the text fits (NULL for NULL and empty text, which fit all)."""
-    bits = [F.when(col.rlike(_FORMS[t]) & col.try_cast(t).isNotNull(), 1 << k).otherwise(0) for k, t in enumerate(LATTICE)]
-    mask = bits[0]
-    for b in bits[1:]:
-        mask = mask.bitwiseOR(b)
+    """Bit mask of the types that the text fits (NULL for NULL and empty text, which fit all).
+
+    The forms are told apart first: a value has one of them (a whole number is
+    also a number, a date also a time), and only the casts of that form are
+    tried.  Most text is told from all of them by its first character.
+    """
+    def has(form: str) -> F.Column:
+        return col.rlike(_FORMS[form])
+
+    def cast(types: tuple[str, ...]) -> F.Column:
+        return reduce(F.Column.bitwiseOR, (F.when(col.try_cast(t).isNotNull(), _bits(t)).otherwise(0) for t in types))
+
+    first = F.substring(col, 1, 1)
+    # A whole number that is an int is also all that follows.
+    whole = F.when(col.try_cast("int").isNotNull(), _bits("int", "bigint", "decimal(38,0)", "double")).otherwise(cast(("bigint", "decimal(38,0)", "double")))
+    mask = (F.when(first.isin(*"tTfF"), F.when(has("boolean"), cast(("boolean",))).otherwise(0))
+            .when(~first.isin(*"+-.0123456789"), 0)
+            .when(has("int"), whole).when(has("double"), cast(("double",)))
+            .when(has("date"), cast(("date", "timestamp_ntz"))).when(has("timestamp_ntz"), cast(("timestamp_ntz",))).otherwise(0))
     return F.when(F.length(col) > 0, mask)
 
 
