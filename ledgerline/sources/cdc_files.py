@@ -167,8 +167,9 @@ def read_cdc(spark: SparkSession, path: str, columns: list[str] | None = None, t
     file does not have is NULL in its rows; ``optional`` columns are part of the
     result only if some file has them; without ``columns`` all that any file has
     are taken.  ``since`` keeps batches strictly newer than that time: older
-    files are listed, not read.  By default a file is one task;
-    ``multiline=False`` lets Spark split large files (only when no value
+    files are listed, not read.  By default a file is one task, unless it is
+    larger than ``LARGE_FILE`` and :func:`line_files` finds that each of its
+    lines is a record: it is then split; ``multiline=False`` lets Spark split large files (only when no value
     contains a line break), ``multiline="split"`` splits them whatever the
     values hold (see :func:`split_records`).  ``repair`` names payload
     columns of legacy exports (quotes doubled, no escape character) to run
@@ -185,14 +186,20 @@ def read_files(spark: SparkSession, files: list[str], columns: list[str] | None
     found = list(dict.fromkeys(c for names in groups for c in names))
     columns = [c for c in found if c not in optional] if columns is None else list(columns)
     columns += [c for c in optional if c in found and c not in columns]
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multiline is True).lower()).option("enforceSchema", "false")
+    reader = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "false")
     out = spark.createDataFrame([], _empty_schema(columns, full))
-    for k, (names, paths) in enumerate(groups.items()):
-        if multiline == "split":
+    by_line = line_files(spark, files) if multiline is True else set()
+    reads = []
+    for names, paths in groups.items():
+        lined = [f for f in paths if _bare(f) in by_line]
+        whole = [f for f in paths if _bare(f) not in by_line]
+        reads += [(names, some, how) for some, how in ((whole, multiline), (lined, False)) if some]
+    for k, (names, paths, how) in enumerate(reads):
+        if how == "split":
             df = split_records(spark, paths, list(names))
             df = df.drop("path") if full else df.withColumn("file_time", file_time("path"))
         else:
-            df = reader.schema(text_schema(list(names))).csv(paths)
+            df = reader.option("multiLine", str(how is True).lower()).schema(text_schema(list(names))).csv(paths)
             df = df.select("*") if full else df.withColumn("file_time", file_time())
         by_name = [(F.col(f"`{c}`") if c in names else F.lit(None).cast("string")).alias(c) for c in columns]
         df = df.select(*by_name, *([] if full else ["file_time"]))
@@ -200,6 +207,33 @@ def read_files(spark: SparkSession, files: list[str], columns: list[str] | None
     return _repair(coerce_types(out, types or {}), repair)
 
 
+#: Bytes of a file from which on it is worth a look whether it can be split (a split's usual size).
+LARGE_FILE = 128 << 20
+
+
+def line_files(spark: SparkSession, files: list[str], larger_than: int | None = None) -> set[str]:
+    """The large ones of the files in which each line is a whole record, so
+    that splitting them changes nothing.
+
+    A line is whole if, doubled quotes apart, all its quotes are around a
+    field, and if it has nothing that a reader of lines takes otherwise than
+    one of files: a carriage return, no text, a byte order mark.  One pass over
+    the large files, by splits; only names are collected.
+    """
+    if not files:
+        return set()
+    larger_than = LARGE_FILE if larger_than is None else larger_than
+    large = [r[0] for r in spark.read.format("binaryFile").load(files).where(F.col("length") > larger_than).select("path").collect()]
+    if not large:
+        return set()
+    sep, line = re.escape(CSV_OPTIONS["sep"]), F.col("value")
+    fields = F.regexp_replace(F.replace(line, F.lit('""'), F.lit("")), rf'(^|{sep})"[^"]*"(?={sep}|\z)', "")
+    other = F.contains(fields, F.lit('"')) | F.contains(line, F.lit("\r")) | (F.trim(line) == "") | F.startswith(line, F.lit("\ufeff"))
+    lines = spark.read.option("lineSep", "\n").text(large).select("value", F.col("_metadata.file_path").alias("path"))
+    mixed = {_bare(unquote(r[0])) for r in lines.where(other).select("path").distinct().collect()}
+    return {_bare(f) for f in large} - mixed
+
+
 #: Stands for a line break inside a value while a record is parsed (a private character).
 _BREAK = "\ue00a"
 
