@@ -378,9 +378,9 @@ def q_cdc_stream(s, d):
     from ledgerline.streaming.cdc_stream import cdc_stream, read_table, start_table
     src, tgt, ck = shared_dir(s, "cdc-src"), shared_dir(s, "cdc-tgt"), shared_dir(s, "cdc-ckpt")
     cdc_files.write_cdc_batches(_cdc_rows(s, d), src)
-    start_table(_payments(s, d), tgt, merge.PAYMENT_MERGE, buckets=tb.lake_buckets(s))
+    start_table(_payments(s, d), tgt, merge.PAYMENT_MERGE, buckets=tb.lake_buckets(s, d))
     q = cdc_stream(s, src, _CDC_COLUMNS, schemas.CDC_COERCE["payment"] | {"created_at": "timestamp_ntz"},
-                   tgt, merge.PAYMENT_MERGE, "payment_updated_at", ck, buckets=tb.lake_buckets(s))
+                   tgt, merge.PAYMENT_MERGE, "payment_updated_at", ck, buckets=tb.lake_buckets(s, d))
     q.awaitTermination()
     return read_table(s, tgt)
 
@@ -389,7 +389,7 @@ def q_cdc_stream(s, d):
 
 def q_merge_into_table(s, d):
     path = shared_dir(s, "merge-table")
-    buckets = tb.lake_buckets(s)
+    buckets = tb.lake_buckets(s, d)
     merge.write_table(_payments(s, d), path, merge.PAYMENT_MERGE.on, buckets)
     merge.merge_into_table(s, path, tb.lake_table(s, d, "payment_updates"), merge.PAYMENT_MERGE, buckets)
     return merge.read_table(s, path).drop(merge.BUCKET_COL)
@@ -405,11 +405,11 @@ def q_stage1_job(s, d):
     spec = CdcSpec("stripe_payment", files, tuple(_CDC_COLUMNS), schemas.CDC_COERCE["payment"],
                    merge.PAYMENT_MERGE, "payment_updated_at")
     log = _cdc_rows(s, d).drop("created_at")
-    run_cdc_merge(s, spec, table, store, "merge", tb.lake_buckets(s), run_ts=tb.RUN_TS)  # no batches yet
+    run_cdc_merge(s, spec, table, store, "merge", tb.lake_buckets(s, d), run_ts=tb.RUN_TS)  # no batches yet
     first = F.col("file_time") <= F.lit(PENDING_SINCE).cast("timestamp_ntz")
     for part in (first, ~first):
         cdc_files.write_cdc_batches(log.where(part), files, mode="append")
-        run_cdc_merge(s, spec, table, store, "merge", tb.lake_buckets(s), run_ts=tb.RUN_TS)
+        run_cdc_merge(s, spec, table, store, "merge", tb.lake_buckets(s, d), run_ts=tb.RUN_TS)
     return cdc_stream.read_table(s, table)
 
 
@@ -435,7 +435,7 @@ def q_incremental_purchases(s, d):
     got = _two_runs(s, _payments(s, d), lambda rows, path, store: run_normalize_purchases(
         s, payments=rows, refunds=_refunds(s, d), versions=_versions(s, d), events=_events(s, d),
         client_billing=next(loaded), target_path=path, store=store,
-        dataset="purchases", job="norm", buckets=tb.lake_buckets(s), run_ts=tb.RUN_TS))
+        dataset="purchases", job="norm", buckets=tb.lake_buckets(s, d), run_ts=tb.RUN_TS))
     return got.drop("id")
 
 
@@ -444,14 +444,14 @@ def q_incremental_refunds(s, d):
     return _two_runs(s, _refunds(s, d), lambda rows, path, store: run_normalize_refunds(
         s, refunds=rows, payments=_payments(s, d), versions=_versions(s, d),
         exclude_patterns=tb.TEST_INTERNAL_EMAIL_PATTERNS, target_path=path, store=store,
-        dataset="refunds", job="norm", buckets=tb.lake_buckets(s), run_ts=tb.RUN_TS))
+        dataset="refunds", job="norm", buckets=tb.lake_buckets(s, d), run_ts=tb.RUN_TS))
 
 
 def q_incremental_disputes(s, d):
     from ledgerline.plans.jobs import run_normalize_disputes
     return _two_runs(s, _disputes(s, d), lambda rows, path, store: run_normalize_disputes(
         s, disputes=rows, payments=_payments(s, d), target_path=path, store=store,
-        dataset="disputes", job="norm", buckets=tb.lake_buckets(s), run_ts=tb.RUN_TS))
+        dataset="disputes", job="norm", buckets=tb.lake_buckets(s, d), run_ts=tb.RUN_TS))
 
 
 def q_watermark_get(s, d):
@@ -469,7 +469,7 @@ def q_is_initial(s, d):
     path, store = shared_dir(s, "initial-table"), watermark.WatermarkStore(s, shared_dir(s, "watermarks"))
     seen = [is_initial(s, store, "stripe_payment", "merge", path)]
     for rows in (_payments(s, d).limit(0), _payments(s, d)):
-        merge.write_table(rows, path, merge.PAYMENT_MERGE.on, tb.lake_buckets(s))
+        merge.write_table(rows, path, merge.PAYMENT_MERGE.on, tb.lake_buckets(s, d))
         seen.append(is_initial(s, store, "stripe_payment", "merge", path))
     return merge.read_table(s, path).agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(seen[0]).alias("without_table"), F.lit(seen[1]).alias("empty_table"), F.lit(seen[2]).alias("loaded"), "n")
@@ -516,7 +516,7 @@ def q_late_batches(s, d):
     first = F.col("file_time") <= F.lit(PENDING_SINCE).cast("timestamp_ntz")
     for part in (~first, first):
         cdc_files.write_cdc_batches(log.where(part), files, mode="append")
-        run_cdc_merge(s, spec, table, store, "merge", tb.lake_buckets(s), run_ts=tb.RUN_TS)
+        run_cdc_merge(s, spec, table, store, "merge", tb.lake_buckets(s, d), run_ts=tb.RUN_TS)
     return cdc_stream.read_table(s, table)
 
 

@@ -23,6 +23,8 @@ Mapping (one row each):
 
 from __future__ import annotations
 
+from contextlib import contextmanager, nullcontext
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +63,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Derived lake tables already written in this session: (app id, sf_dir, name) -> table.
 _LAKE: dict[tuple[str, str, str], str] = {}
+# Bucket counts by session and input: (app id, sf_dir) -> buckets.
+_BUCKETS: dict[tuple[str, str], int] = {}
+#: Orders, events or four line items that a bucket holds on average: what a task sorts, joins and
+#: writes of one bucket stays this big whatever the input.
+BUCKET_ROWS = 400_000
 
 
 def lake_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,7 +78,9 @@ def lake_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ``spark.checkpoint.dir``, one file per bucket), bucketed by the table
     key with one bucket count for all tables: joins on the key between two
     lake tables (payment/refund, refund/payment) need no shuffle, and scans
-    get column pruning and filter pushdown.
+    get column pruning and filter pushdown.  Tables whose builder gives rows
+    that lie by the key already (``LAKE_PLACED``) are written as they come; one
+    without a key is not bucketed.
     """
     import uuid
 
@@ -82,18 +91,42 @@ def lake_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if table is None:
         path = shared_dir(spark, f"lake-{name}")
         table = f"lake_{name}_{uuid.uuid4().hex[:10]}"
-        buckets = lake_buckets(spark)
-        (LAKE_BUILDERS[name](spark, sf_dir).repartition(buckets, LAKE_KEYS[name])
-         .write.bucketBy(buckets, LAKE_KEYS[name]).option("path", path).saveAsTable(table))
+        buckets, by = lake_buckets(spark, sf_dir), LAKE_KEYS.get(name)
+        rows = LAKE_BUILDERS[name](spark, sf_dir)
+        if by is not None and name not in LAKE_PLACED:
+            rows = rows.repartition(buckets, by)
+        out = rows.write if by is None else rows.write.bucketBy(buckets, by)
+        with _in_buckets(spark, buckets) if name in LAKE_PLACED else nullcontext():
+            out.option("path", path).saveAsTable(table)
         _LAKE[key] = table
     return spark.table(table)
 
 
-def lake_buckets(spark: SparkSession) -> int:
-    """Bucket count shared by all lake tables (co-located joins need equal
-    counts); here the cluster's default parallelism."""
-    from ledgerline.session import parallelism
-    return parallelism(spark)
+def lake_buckets(spark: SparkSession, sf_dir: str) -> int:
+    """Bucket count shared by all lake tables of an input (co-located joins need
+    equal counts): the cluster's default parallelism, or more where a bucket
+    would hold over ``BUCKET_ROWS``.  Rows are counted by the files' footers."""
+    from ledgerline.session import app_id, parallelism
+
+    key = (app_id(spark), sf_dir.rstrip("/"))
+    if key not in _BUCKETS:
+        orders, events, lines = (read_table(spark, sf_dir, t).count() for t in ("orders", "events", "lineitem"))
+        _BUCKETS[key] = max(parallelism(spark), -(-max(orders, events, lines // 4) // BUCKET_ROWS))
+    return _BUCKETS[key]
+
+
+@contextmanager
+def _in_buckets(spark: SparkSession, buckets: int):
+    """A plan runs with one task per bucket, in shuffles and in scans of bucketed tables."""
+    conf = {"spark.sql.shuffle.partitions": str(buckets), "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def _ntz(s: str) -> Column:
@@ -156,15 +189,25 @@ def _order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each table is joined to the narrower side that has its key, and the two
+    sides meet by the payment's key in the buckets of the lake: the joined rows
+    are moved once, and the tables made of them (payments, refunds) not at all."""
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    buckets = lake_buckets(spark, sf_dir)
     lines = order_lines(spark, sf_dir)
-    return (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
-            .join(c, o.o_custkey == c.c_custkey, "left")
-            .join(p, F.col("first_line.l_partkey") == p.p_partkey, "left")
-            .join(s, F.col("first_line.l_suppkey") == s.s_suppkey, "left"))
+    lines = (lines.join(s, F.col("first_line.l_suppkey") == s.s_suppkey, "left")
+             .join(p, F.col("first_line.l_partkey") == p.p_partkey, "left")
+             .drop("first_line", "p_partkey").withColumn("__line_key", _payment_key("l_orderkey")).drop("l_orderkey"))
+    o = o.join(c, o.o_custkey == c.c_custkey, "left").drop("c_custkey").withColumn("payment_intent_id", _payment_key("o_orderkey"))
+    o, lines = o.repartition(buckets, "payment_intent_id"), lines.repartition(buckets, "__line_key")
+    return o.join(lines, F.col("payment_intent_id") == F.col("__line_key"), "left").drop("__line_key")
+
+
+def _payment_key(order_key: str) -> Column:
+    return F.concat(F.lit("pi_"), F.col(order_key).cast("string"))
 
 
 def _payment_json(k: Column, cents: Column, status: Column, tag: Column,
@@ -188,7 +231,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     tag = product_tag(F.col("p_type"), F.col("p_brand"))
     updated = _hours(F.col("o_orderkey") % 48, F.col("o_orderdate"))
     return f.select(
-        F.concat(F.lit("pi_"), k).alias("payment_intent_id"),
+        "payment_intent_id",
         status.alias("status"),
         F.concat(F.lit("ch_"), k).alias("charge_id"),
         customer_email(F.col("o_custkey"), F.col("c_mktsegment")).alias("email"),
@@ -247,7 +290,7 @@ def refunds(spark: SparkSession, sf_dir: str, flag: str = "R") -> DataFrame:
     refunded_at = F.when(F.col("o_orderkey") % 10 != 9,
                          _hours((F.col("o_orderkey") % 4) * 12 + shift, F.col("o_orderdate")))
     return f.select(
-        F.concat(F.lit("pi_"), k).alias("payment_intent_id"),
+        "payment_intent_id",
         F.when(disputed, F.concat(F.lit("dp_"), k)).alias("dispute_id"),
         F.concat(F.lit("ch_"), k).alias("charge_id"),
         _money(F.col(cents_col)).alias("amount_refunded"),
@@ -398,10 +441,12 @@ LAKE_BUILDERS = {
 }
 
 LAKE_KEYS = {
-    "order_facts": "o_orderkey",
+    "order_facts": "payment_intent_id",
     "payment": "payment_intent_id", "payment_updates": "payment_intent_id",
     "refund": "payment_intent_id", "refund_updates": "payment_intent_id",
     "dispute": "payment_intent_id", "dispute_updates": "payment_intent_id",
-    "product_history": "tag", "referral_event": "user_email", "client_billing": "l_orderkey",
-    "cdc": "payment_intent_id",
+    "product_history": "tag", "referral_event": "user_email", "cdc": "payment_intent_id",
 }
+
+#: Tables whose rows come by their key: the order facts are joined in the buckets, payments and refunds read these.
+LAKE_PLACED = ("order_facts", "payment", "refund", "refund_updates")
