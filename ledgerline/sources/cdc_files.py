@@ -35,6 +35,9 @@ FILE_PATTERN = r"(\d{8}-\d{6})\d*[^/]*$"
 CSV_OPTIONS = {"header": "true", "sep": "|", "quote": '"', "escape": '"', "multiLine": "true",
                "nullValue": "\\N"}
 
+#: Bytes of a file from which on it is worth a look whether it can be split (a split's usual size).
+LARGE_FILE = 128 << 20
+
 
 def batch_glob(path: str) -> str:
     """Only the batch folders of a CDC location (full-load files live beside them)."""
@@ -112,20 +115,21 @@ def _first_lines(batches):
     for batch in batches:
         if batch.num_rows:
             yield batch.slice(0, 1)
-            return  # the rest of the file is not read
+            return
 
 
 def headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
     """Files by their header line; empty files are left out.
 
-    One task per file reads the file's first line and stops.  Should files
-    share a task, further rounds take those whose line was not seen.
+    One task per file takes the file's first line, and drops the rest; a large
+    file is split, and its later splits give nothing.  Should files share a
+    task, further rounds take those whose line was not seen.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     while files:
         with _one_file_per_task(spark):
-            lines = (spark.read.text(files).select("value", F.col("_metadata.file_path").alias("path"))
-                     .mapInArrow(_first_lines, "value string, path string").collect())
+            lines = (spark.read.text(files).where(F.col("_metadata.file_block_start") == 0)
+                     .select("value", F.col("_metadata.file_path").alias("path")).mapInArrow(_first_lines, "value string, path string").collect())
         for line in lines:
             names = tuple(next(csv.reader([line["value"].lstrip("\ufeff")], delimiter=CSV_OPTIONS["sep"], quotechar=CSV_OPTIONS["quote"])))
             if len(set(names)) < len(names):
@@ -144,7 +148,7 @@ def _bare(path: str) -> str:
 
 @contextmanager
 def _one_file_per_task(spark: SparkSession):
-    conf = {"spark.sql.files.maxPartitionBytes": str(1 << 40), "spark.sql.files.openCostInBytes": str(1 << 40)}
+    conf = {"spark.sql.files.maxPartitionBytes": str(LARGE_FILE), "spark.sql.files.openCostInBytes": str(1 << 40)}
     before = {k: spark.conf.get(k) for k in conf}
     try:
         for k, v in conf.items():
@@ -207,10 +211,6 @@ def read_files(spark: SparkSession, files: list[str], columns: list[str] | None
     return _repair(coerce_types(out, types or {}), repair)
 
 
-#: Bytes of a file from which on it is worth a look whether it can be split (a split's usual size).
-LARGE_FILE = 128 << 20
-
-
 def line_files(spark: SparkSession, files: list[str], larger_than: int | None = None) -> set[str]:
     """The large ones of the files in which each line is a whole record, so
     that splitting them changes nothing.

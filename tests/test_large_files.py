@@ -45,3 +45,14 @@ def test_large_file_is_split(spark, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_header_of_a_split_file(spark, monkeypatch):
+    path = shared_dir(spark, "headers").removeprefix("file:")
+    _write(path, "plain", PLAIN * 1000)
+    _write(path, "other", ["x|1"] * 3000, "v|k")
+    monkeypatch.setattr(C, "LARGE_FILE", 5000)
+    with C._one_file_per_task(spark):
+        assert spark.read.text(f"{path}/LOAD").rdd.getNumPartitions() > 4
+    groups = C.headers(spark, C.list_files(spark, path, full=True))
+    assert {names: [os.path.basename(f) for f in files] for names, files in groups.items()} == {("k", "v"): ["plain.csv"], ("v", "k"): ["other.csv"]}
