@@ -15,7 +15,8 @@ whole table and an interrupted swap is finished by the next run.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from contextlib import contextmanager
+from dataclasses import dataclass, field, replace
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -23,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerline.operators.commit import BUCKET_COL, commit, partition_columns, recover, stage_path
-from ledgerline.session import materialize
+from ledgerline.session import CODEC, materialize
 
 _T, _S, _N = "__t_present", "__s_present", "__s_rows"
 SEVERAL = "MERGE source has several rows for one key of"
@@ -225,17 +226,38 @@ def load_month(ts_col: str) -> Column:
     return F.year(ts_col) * 100 + F.month(ts_col)
 
 
-def _by_bucket(df: DataFrame, order_by: str | None, by_load: bool = False):
+def _by_bucket(df: DataFrame, order_by: str | None, by_load: bool = False, placed: bool = False):
     """A writer of one bucket per task (adaptive execution splits a bucket
     that is too big), sorted by ``order_by`` inside, so that row-group
     statistics prune a filter on it.  ``by_load`` adds the level of load
-    months, by which a watermark prunes whole folders."""
+    months, by which a watermark prunes whole folders.  Rows that are
+    ``placed`` lie by bucket already and are not moved."""
     levels = [BUCKET_COL]
     if by_load:
         df, levels = df.withColumn(LOAD_COL, load_month(order_by)), [BUCKET_COL, LOAD_COL]
     order = levels + ([order_by] if order_by and order_by in df.columns else [])
-    return (df.hint("rebalance", BUCKET_COL).sortWithinPartitions(*order)
-            .write.mode("overwrite").partitionBy(*levels))
+    df = df if placed else df.hint("rebalance", BUCKET_COL)
+    return df.sortWithinPartitions(*order).write.mode("overwrite").option("compression", CODEC).partitionBy(*levels)
+
+
+def _in_bucket(df: DataFrame, keys: tuple[str, ...], buckets: int, tasks: int) -> DataFrame:
+    """Rows dealt to tasks by the bucket of their key, which is their column ``BUCKET_COL``."""
+    return df.withColumn(BUCKET_COL, key_bucket(keys, buckets)).repartition(tasks, BUCKET_COL)
+
+
+@contextmanager
+def _met_by_bucket(spark: SparkSession):
+    """A join on the bucket and the key meets rows that lie by the bucket alone."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def write_table(df: DataFrame, path: str, on: tuple[str, ...], buckets: int,
@@ -308,15 +330,21 @@ def merge_into_table(spark: SparkSession, path: str, source: DataFrame, spec: Me
     rows, touched = seen.get.get("rows") or 0, sorted(seen.get.get("buckets") or [])
     if not touched:
         return 0
-    target = target.where(F.col(BUCKET_COL).isin(touched))
-    merged = merge_upsert(target.drop(BUCKET_COL, LOAD_COL), source, spec, validate=validate, choose=choose)
+    target = target.where(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL, LOAD_COL)
+    # Both sides are moved once, by the bucket: there they are joined and written.
+    tasks = max(len(touched), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    target = _in_bucket(target, spec.on, buckets, tasks)
+    source = _in_bucket(source, tuple(spec.source_col(k) for k in spec.on), buckets, tasks)
+    spec = replace(spec, on=(BUCKET_COL, *spec.on), insert=(*spec.insert, BUCKET_COL))
+    merged = merge_upsert(target, source, spec, validate=validate, choose=choose)
     stage, written = stage_path(path), Observation("merge-stage")
-    merged = merged.withColumn(BUCKET_COL, key_bucket(spec.on, buckets)).observe(written, F.collect_set(BUCKET_COL).alias("buckets"))
+    merged = merged.observe(written, F.collect_set(BUCKET_COL).alias("buckets"))
     try:
-        _by_bucket(merged, order_by, by_load).parquet(stage)
+        with _met_by_bucket(spark):
+            _by_bucket(merged, order_by, by_load, placed=True).parquet(stage)
     except PySparkException as e:
         if SEVERAL in str(e):
-            raise ValueError(f"{SEVERAL} {spec.on}") from e
+            raise ValueError(f"{SEVERAL} {spec.on[1:]}") from e
         raise
     strays = set(written.get["buckets"]) - set(touched)
     if strays:

@@ -504,18 +504,18 @@ def q_infer_cdc(s, d):
 
 
 def q_late_batches(s, d):
-    """The newer batches are delivered and applied first."""
+    """The newer batches are delivered and applied first.  The replication tool packs its files."""
     from ledgerline.plans.jobs import CdcSpec, run_cdc_merge
     from ledgerline.streaming import cdc_stream
     files, table = shared_dir(s, "late-files"), shared_dir(s, "late-table")
     store = watermark.WatermarkStore(s, shared_dir(s, "late-watermarks"))
-    cdc_files.write_full_load(_payments(s, d).drop("created_at"), files)
+    cdc_files.write_full_load(_payments(s, d).drop("created_at"), files, compression="gzip")
     spec = CdcSpec("stripe_payment", files, tuple(_CDC_COLUMNS), schemas.CDC_COERCE["payment"],
                    merge.PAYMENT_MERGE, "payment_updated_at", late_seconds=366 * 86400, by_load=True)
     log = _cdc_rows(s, d).drop("created_at")
     first = F.col("file_time") <= F.lit(PENDING_SINCE).cast("timestamp_ntz")
     for part in (~first, first):
-        cdc_files.write_cdc_batches(log.where(part), files, mode="append")
+        cdc_files.write_cdc_batches(log.where(part), files, mode="append", compression="gzip")
         run_cdc_merge(s, spec, table, store, "merge", tb.lake_buckets(s, d), run_ts=tb.RUN_TS)
     return cdc_stream.read_table(s, table)
 

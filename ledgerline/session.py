@@ -106,6 +106,10 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.default.parallelism", "8"))
 
 
+#: Codec of the files the library writes: read back once or a few times, so bytes count for more than the time to pack them.
+CODEC = "zstd"
+
+
 def materialize(df, name: str = "stage"):
     """Cut the lineage of ``df``: write it once as parquet to a fresh folder
     under the shared checkpoint folder and continue from the written copy
@@ -113,5 +117,5 @@ def materialize(df, name: str = "stage"):
     recompute an expensive input)."""
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", CODEC).parquet(path)
     return spark.read.parquet(path)

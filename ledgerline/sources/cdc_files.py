@@ -53,17 +53,19 @@ def file_time(path_col: str = "_metadata.file_path") -> F.Column:
     return F.to_timestamp_ntz(stamp, F.lit(BATCH_FORMAT))
 
 
-def write_cdc_batches(df: DataFrame, path: str, time_col: str = "file_time", mode: str = "overwrite") -> None:
+def write_cdc_batches(df: DataFrame, path: str, time_col: str = "file_time", mode: str = "overwrite",
+                      compression: str = "none") -> None:
     """Write rows as CDC batch files, one folder per batch time.  Every
-    column is written as text, as a replication tool would."""
+    column is written as text, as a replication tool would (some pack their
+    files: ``compression="gzip"``; a packed file is read by one task)."""
     out = df.withColumn("batch", F.date_format(F.col(time_col), BATCH_FORMAT)).drop(time_col)
     out = out.select(*[F.col(c).cast("string").alias(c) if c != "batch" else F.col(c) for c in out.columns])
-    out.write.mode(mode).options(**CSV_OPTIONS).partitionBy("batch").csv(path)
+    out.write.mode(mode).options(**CSV_OPTIONS, compression=compression).partitionBy("batch").csv(path)
 
 
-def write_full_load(df: DataFrame, path: str) -> None:
+def write_full_load(df: DataFrame, path: str, compression: str = "none") -> None:
     df.select(*[F.col(c).cast("string") for c in df.columns]) \
-        .write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{path.rstrip('/')}/LOAD")
+        .write.mode("overwrite").options(**CSV_OPTIONS, compression=compression).csv(f"{path.rstrip('/')}/LOAD")
 
 
 def text_schema(columns: list[str]) -> T.StructType:

@@ -84,7 +84,7 @@ def lake_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     import uuid
 
-    from ledgerline.session import app_id, shared_dir
+    from ledgerline.session import CODEC, app_id, shared_dir
 
     key = (app_id(spark), sf_dir.rstrip("/"), name)
     table = _LAKE.get(key)
@@ -97,7 +97,7 @@ def lake_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             rows = rows.repartition(buckets, by)
         out = rows.write if by is None else rows.write.bucketBy(buckets, by)
         with _in_buckets(spark, buckets) if name in LAKE_PLACED else nullcontext():
-            out.option("path", path).saveAsTable(table)
+            out.option("compression", CODEC).option("path", path).saveAsTable(table)
         _LAKE[key] = table
     return spark.table(table)
 
