@@ -129,13 +129,17 @@ def _nearest(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str
     """
     lcols = left.columns
     rstruct = F.struct(F.struct(*pick).alias("k"), F.struct(*[c.alias(n) for n, c in payload.items()]).alias("v"))
+    # Left key and time travel once, beside the other columns, where the union leaves their types alone.
+    sides = ((left_key, right_key, "__k"), (left_time, right_time, "__t"))
+    beside = {lc: u for lc, rc, u in sides if left.schema[lc].dataType == right.schema[rc].dataType}
+    lstruct = F.struct(F.lit(True).alias("__row"), *[F.col(c) for c in lcols if c not in beside])
     null_r = F.lit(None).cast(right.select(rstruct.alias("r")).schema["r"].dataType)
-    null_l = F.lit(None).cast(left.select(F.struct(*lcols).alias("l")).schema["l"].dataType)
+    null_l = F.lit(None).cast(left.select(lstruct.alias("l")).schema["l"].dataType)
     # Rights at the bound's own time are included unless strict: included
     # rights sort before the left row at equal time in the walk order.
     r_side, l_side = (0, 1) if not strict else (1, 0)
     L = left.select(F.col(left_key).alias("__k"), F.col(left_time).alias("__t"), F.lit(l_side).alias("__side"),
-                    F.struct(*lcols).alias("__l"), null_r.alias("__r"))
+                    lstruct.alias("__l"), null_r.alias("__r"))
     R = right.where(F.col(right_key).isNotNull() & F.col(right_time).isNotNull()).select(
         F.col(right_key).alias("__k"), F.col(right_time).alias("__t"), F.lit(r_side).alias("__side"),
         null_l.alias("__l"), rstruct.alias("__r"))
@@ -159,7 +163,7 @@ def _nearest(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str
     # Left rows without a key have no partner; a deterministic row hash
     # spreads them (a NULL key could hold a third of all rows).
     u = u.withColumn("__b", F.when(F.col("__k").isNull(),
-                                   F.lit(-1) - F.pmod(F.xxhash64("__l"), F.lit(NULL_KEY_SPREAD)))
+                                   F.lit(-1) - F.pmod(F.xxhash64("__l", "__t"), F.lit(NULL_KEY_SPREAD)))
                      .otherwise(F.col("__b")))
     # Walk forwards in time for as-of, backwards for "next".
     t_order = F.col("__t").desc_nulls_last() if forward else F.col("__t").asc_nulls_first()
@@ -186,7 +190,8 @@ def _nearest(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str
         best = F.col("__best")
     # A left row without a time has no partner.
     best = F.when(F.col("__t").isNotNull(), best)
-    return within.select("__l.*", *[best.getField("v").getField(n).alias(n) for n in payload])
+    rows = [F.col(beside[c]).alias(c) if c in beside else F.col("__l").getField(c).alias(c) for c in lcols]
+    return within.select(*rows, *[best.getField("v").getField(n).alias(n) for n in payload])
 
 
 def version_intervals(right: DataFrame, right_key: str, right_time: str, tiebreak: list[str],

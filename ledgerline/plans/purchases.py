@@ -4,7 +4,7 @@ table)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import constants as K
@@ -81,18 +81,41 @@ def attribute_referrals(base: DataFrame, events: DataFrame,
                         qualifying_type: str = K.QUALIFYING_EVENT_TYPE) -> DataFrame:
     """Campaign attribution from the nearest following referral event of the
     buyer (any type, ranked by whole-second distance, then event id); only a
-    qualifying nearest event on a full-fare purchase counts."""
-    j = join_next(base, events, left_key="email", right_key="user_email", left_time="created_at",
-                  right_time="event_date", rank=[F.unix_timestamp("event_date"), F.col("event_id")],
-                  columns={"event_type": "__event_type", "campaign_id": "__campaign_id",
-                           "campaign_name": "__campaign_name"},
-                  bucket_seconds=EVENT_BUCKET_SECONDS, hot_key_rows=HOT_KEY_ROWS)
-    hit = F.coalesce(F.col("is_full_fare") & (F.col("__event_type") == qualifying_type), F.lit(False))
-    return j.withColumns({
-        "campaign_id": F.when(hit, F.col("__campaign_id")).otherwise(F.lit("")),
-        "campaign_name": F.when(hit, F.col("__campaign_name")).otherwise(F.lit("")),
-        "is_referral_purchase": hit,
-    }).drop("__event_type", "__campaign_id", "__campaign_name")
+    qualifying nearest event on a full-fare purchase counts.
+
+    Only id, e-mail and time of the purchases travel to their buyer's events,
+    and only qualifying events travel back to the id: the purchases themselves
+    are not moved by e-mail, and not at all where they lie by id already.
+    """
+    found = qualifying_events(base, events, qualifying_type)
+    on_id = (F.col("external_id") == F.col("__id")) & _equal("email", "__email") & _equal("created_at", "__time")
+    on_buyer = (F.col("email") == F.col("__email")) & (F.col("created_at") == F.col("__time"))
+    j = (base.where(F.col("external_id").isNotNull()).join(found.where(F.col("__id").isNotNull()), on_id, "left")
+         .unionByName(base.where(F.col("external_id").isNull()).join(found.where(F.col("__id").isNull()), on_buyer, "left")))
+    hit = F.coalesce(F.col("is_full_fare") & F.col("__time").isNotNull(), F.lit(False))
+    return j.select(*base.columns,
+                    F.when(hit, F.col("__campaign_id")).otherwise(F.lit("")).alias("campaign_id"),
+                    F.when(hit, F.col("__campaign_name")).otherwise(F.lit("")).alias("campaign_name"),
+                    hit.alias("is_referral_purchase"))
+
+
+def qualifying_events(base: DataFrame, events: DataFrame, qualifying_type: str) -> DataFrame:
+    """(__id, __email, __time, __campaign_id, __campaign_name), one row per
+    purchase id, e-mail and time whose nearest following event is of the
+    qualifying type; written once."""
+    buyers = (base.where(F.col("email").isNotNull() & F.col("created_at").isNotNull())
+              .select(F.col("external_id").alias("__id"), F.col("email").alias("__email"), F.col("created_at").alias("__time")).distinct())
+    nearest = join_next(buyers, events, left_key="__email", right_key="user_email", left_time="__time",
+                        right_time="event_date", rank=[F.unix_timestamp("event_date"), F.col("event_id")],
+                        columns={"event_type": "__event_type", "campaign_id": "__campaign_id",
+                                 "campaign_name": "__campaign_name"},
+                        bucket_seconds=EVENT_BUCKET_SECONDS, hot_key_rows=HOT_KEY_ROWS)
+    return materialize(nearest.where(F.col("__event_type") == qualifying_type).drop("__event_type"), "purchase-referrals")
+
+
+def _equal(a: str, b: str) -> Column:
+    """Equality that a join tests beside its key, so that rows meet by the key alone."""
+    return (F.col(a) <= F.col(b)) & (F.col(a) >= F.col(b))
 
 
 BASE_SQL = """
