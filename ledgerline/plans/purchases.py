@@ -145,7 +145,7 @@ def normalize_purchases_sql(payments: DataFrame, refunds: DataFrame, versions: D
     functions; the two time-conditioned joins are the library's."""
     spark = payments.sparkSession
     register_sql_functions(spark)
-    base = materialize(spark.sql(BASE_SQL, payments=payments_with_versions(payments, refunds, versions)), "purchase-base")
+    base = spark.sql(BASE_SQL, payments=payments_with_versions(payments, refunds, versions))
     return spark.sql(PURCHASE_SQL, {"processor": processor, "run_ts": run_ts}, purchases=attribute_referrals(base, events))
 
 
