@@ -153,9 +153,9 @@ def normalize_purchases(payments: DataFrame, refunds: DataFrame, versions: DataF
                         events: DataFrame, run_ts: str | None = None,
                         processor: str = K.PAYMENT_PROCESSOR) -> DataFrame:
     """Purchase rows ready to merge into the purchase table (no ``id``)."""
-    # The enriched increment feeds the referral join twice (rows and the
-    # per-bucket summary); it is written once instead of recomputed.
-    base = materialize(purchase_base(payments, refunds, versions), "purchase-base")
+    # The referral join takes three columns of the payments and gives few rows, which are
+    # written; the enriched increment is then computed once and needs no copy.
+    base = purchase_base(payments, refunds, versions)
     p = attribute_referrals(base, events)
     state = F.coalesce(F.col("state"), F.lit("NULL"))
     return p.select(
